@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewright.llm.byte_bpe import encode_column
+from candlewright.llm.simhash import near_duplicates
 from candlewright.llm.token_counts import count_tokens
 
 
@@ -23,9 +25,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_column(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id",), with_ids=False)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"), "n_members")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
