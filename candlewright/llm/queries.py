@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.llm.byte_bpe import encode_column
+from candlewright.llm.langid import fit, identify, training_row
 from candlewright.llm.simhash import near_duplicates
 from candlewright.llm.token_counts import count_tokens
 
@@ -25,6 +26,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_column(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id",), with_ids=False)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = identify(docs, fit(docs), keep=("doc_id",))
+    return found.select("doc_id", (~F.coalesce(training_row("doc_id"), F.lit(True))).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"), "n_members")
@@ -33,6 +40,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
 
