@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewright.llm import langid, quality
 from candlewright.llm.byte_bpe import encode_column
-from candlewright.llm.langid import fit, identify, training_row
 from candlewright.llm.simhash import near_duplicates
 from candlewright.llm.token_counts import count_tokens
 
@@ -18,18 +18,28 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _held_out() -> Column:
+    return (~F.coalesce(langid.training_row("doc_id"), F.lit(True))).alias("held_out")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=("doc_id",), limit=2048)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = quality.score_quality(docs, quality.fit(docs, _read(spark, sf_dir, "labels")), keep=("doc_id",), threshold=0.3)
+    return found.select("doc_id", _held_out(), "score", "predicted")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_column(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id",), with_ids=False)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    found = identify(docs, fit(docs), keep=("doc_id",))
-    return found.select("doc_id", (~F.coalesce(training_row("doc_id"), F.lit(True))).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+    found = langid.identify(docs, langid.fit(docs), keep=("doc_id",))
+    return found.select("doc_id", _held_out(), "lang_pred", "score", "cross_entropy", "rejected")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +49,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op5_quality": op5_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
