@@ -55,17 +55,15 @@ def split_hot(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFr
     """Add ``tile``: rows of a key with more than ``limit`` rows are dealt to chunks, and every pair of chunks is a tile.
 
     Two rows of one key share at least one tile, so pairs are complete, and a tile holds about ``2 * limit`` rows
-    however large its key is. ``member`` decides the chunk. Rows of other keys keep the single tile 0.
+    however large its key is. ``member`` decides the chunk. Rows of other keys keep the single tile 0. The large keys
+    are counted into a table first: Spark then sees its size, and broadcasts it only if that is small.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
-    sizes = sizes.select(*keys, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_chunks"))
+    sizes, _ = cut(sizes.select(*keys, F.ceil(F.col("_n") / F.lit(limit)).cast("long").alias("_chunks")), "large")
     own = F.pmod(F.xxhash64(F.col(member)), F.col("_chunks")).cast("long")
     with_sizes = df.join(sizes, keys, "left").withColumn("_own", own)
     tiles = F.when(F.col("_chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.transform(
-            F.sequence(F.lit(0).cast("long"), F.col("_chunks").cast("long") - 1),
-            lambda j: F.least(F.col("_own"), j) * F.col("_chunks") + F.greatest(F.col("_own"), j),
-        )
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1), lambda j: F.least(F.col("_own"), j) * F.col("_chunks") + F.greatest(F.col("_own"), j))
     )
     return with_sizes.withColumn("tile", F.explode(tiles)).drop("_chunks", "_own")
 
