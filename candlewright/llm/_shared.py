@@ -52,10 +52,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def split_hot(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFrame:
-    """Add ``tile``: rows of a key with more than ``limit`` rows are dealt to chunks, and every pair of chunks is a tile.
+    """Add ``tile``, ``chunk`` and ``chunks`` (0: not dealt out).
 
-    Two rows of one key share at least one tile, so pairs are complete, and a tile holds about ``2 * limit`` rows
-    however large its key is. ``member`` decides the chunk. Rows of other keys keep the single tile 0. The large keys
+    Rows of a key with more than ``limit`` rows are dealt to chunks, and every pair of chunks (i, j), i <= j, is the tile
+    ``i * chunks + j``. Two rows of one key share at least one tile, so pairs are complete, and a tile holds about ``2 * limit`` rows
+    however large its key is. ``member`` decides the chunk. Rows of other keys have the single tile 0. The large keys
     are counted into a table first: Spark then sees its size, and broadcasts it only if that is small.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
@@ -65,7 +66,8 @@ def split_hot(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFr
     tiles = F.when(F.col("_chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1), lambda j: F.least(F.col("_own"), j) * F.col("_chunks") + F.greatest(F.col("_own"), j))
     )
-    return with_sizes.withColumn("tile", F.explode(tiles)).drop("_chunks", "_own")
+    dealt = with_sizes.withColumn("tile", F.explode(tiles))
+    return dealt.withColumn("chunk", F.coalesce("_own", F.lit(0).cast("long"))).withColumn("chunks", F.coalesce("_chunks", F.lit(0).cast("long"))).drop("_chunks", "_own")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from candlewright.llm import chat, langid, quality
 from candlewright.llm.ann import nearest
 from candlewright.llm.byte_bpe import encode_column
+from candlewright.llm.embedding_dedup import near_vectors
 from candlewright.llm.simhash import near_duplicates
 from candlewright.llm.token_counts import count_tokens
 
@@ -44,6 +45,10 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_column(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id",), with_ids=False)
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op5_quality": op5_quality,
     "op6_nearest": op6_nearest,
+    "op7_near_vectors": op7_near_vectors,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
