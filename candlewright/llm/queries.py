@@ -12,6 +12,7 @@ from candlewright.llm import chat, langid, quality
 from candlewright.llm.ann import nearest
 from candlewright.llm.byte_bpe import encode_column
 from candlewright.llm.embedding_dedup import near_vectors
+from candlewright.llm.mixing import mix_report
 from candlewright.llm.simhash import near_duplicates
 from candlewright.llm.token_counts import count_tokens
 
@@ -35,6 +36,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=("doc_id",), limit=2048)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(_read(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     found = quality.score_quality(docs, quality.fit(docs, _read(spark, sf_dir, "labels")), keep=("doc_id",), threshold=0.3)
@@ -67,6 +72,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat": op2_chat,
     "op3_token_counts": op3_token_counts,
+    "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_nearest": op6_nearest,
     "op7_near_vectors": op7_near_vectors,
