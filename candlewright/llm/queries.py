@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.llm import chat, langid, quality
+from candlewright.llm._shared import shared_dir
 from candlewright.llm.ann import nearest
 from candlewright.llm.byte_bpe import encode_column
 from candlewright.llm.embedding_dedup import near_vectors
 from candlewright.llm.mixing import mix_report
+from candlewright.llm.sharding import shard_arrivals
 from candlewright.llm.simhash import near_duplicates
 from candlewright.llm.token_counts import count_tokens
 
@@ -25,6 +28,11 @@ def _held_out() -> Column:
     return (~F.coalesce(langid.training_row("doc_id"), F.lit(True))).alias("held_out")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = shard_arrivals(_read(spark, sf_dir, "documents"), f"{shared_dir(spark)}/candlewright/shards-{uuid.uuid4().hex}")
+    return store.read().select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql("SELECT -1L AS conv_id, turn, role, text FROM VALUES (0L, 'user', :said), (1L, 'assistant', :said) AS t(turn, role, text)", args={"said": said})
@@ -70,6 +78,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_chat": op2_chat,
     "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ESCAPED = "replace(replace(replace(replace(replace({0}, chr(92), chr(92) || chr(92)), '<s>', '<' || chr(92) || 's>'), '</s>', '<' || chr(92) || '/s>'), '[INST]', '[' || chr(92) || 'INST]'), '[/INST]', '[' || chr(92) || '/INST]')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_sharding": "SELECT doc_id, lang, source, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents",
     "op2_chat": f"""
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
