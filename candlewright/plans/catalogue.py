@@ -6,6 +6,8 @@ daily candles of the orders by status. Prices that went through averages are rou
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +16,11 @@ from pyspark.sql.window import Window
 
 from candlewright.functions import moving
 from candlewright.functions import time as t
-from candlewright.operators import gaps, indicators, intervals, rollup
+from candlewright.operators import export, gaps, indicators, intervals, rollup
 from candlewright.operators.series import numbered
-from candlewright.schema import KEY, PRICES, SERIES, as_candles
-from candlewright.sources import config, payloads, store, tables
+from candlewright.schema import CANDLES, PRICES, SERIES, as_candles
+from candlewright.sources import config, payloads, rest, store, tables
+from candlewright.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -504,3 +507,74 @@ def millis_text(spark, d):
     ms = t.millis(F.col("ts"))
     day = t.millis_text(ms, F.lit(1440))
     return e.select("event_id", t.millis_text(ms).alias("at_second"), day.alias("on_day"), t.date_millis(day).alias("midnight"))
+
+
+# --- store, requests and streams ----------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that driver and executors share: below spark.checkpoint.dir, or an own one where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="candlewright-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/candlewright/{name}-{uuid.uuid4().hex}"
+
+
+@query("store_round_trip", ORACLE_SQL["upsert_last_wins"])
+def store_round_trip(spark, d):
+    s = store.CandleStore(spark, _folder(spark, "store")).create()
+    c = events(spark, d, 60)
+    s.write(c)
+    s.write(as_candles(c.withColumn("ts", F.col("ts") + 7_200_000).withColumn("open", F.col("open") + 1000).withColumn("close", F.col("close") + 1000)))
+    s.compact()
+    s.vacuum()
+    return s.scan().select("symbol", "ts", "open", "close")
+
+
+@query("store_range_read", f"WITH {sql_events(60)} SELECT ts, open, close FROM c WHERE symbol = 'click' AND ts >= {FROM_MS} AND ts < {TO_MS + 1}")
+def store_range_read(spark, d):
+    s = store.CandleStore(spark, _folder(spark, "store")).create()
+    s.write(events(spark, d, 60))
+    return s.query(("synthetic", "test", "click", 60), FROM_MS, TO_MS + 1, ["open", "close"])
+
+
+@query(
+    "request_plan",
+    f"WITH {sql_events(60)}, {_bounds_sql()}, p AS (SELECT symbol, hi, unnest(range(lo, hi, 1800000000)) AS request_start FROM b) SELECT symbol, request_start, least(request_start + 1800000000, hi) AS request_end FROM p",
+)
+def request_plan(spark, d):
+    return rest.plan_requests(_bounds(events(spark, d, 60)), 60, 500).select("symbol", "request_start", "request_end")
+
+
+@query("exchange_selection", "SELECT 'second' AS name")
+def exchange_selection(spark, d):
+    return config.chosen_exchange(config.exchanges(spark, {"first": {"active": False}, "second": {"active": True}, "third": {"active": True}})).select("name")
+
+
+@query("stream_candles_1h", f"WITH {sql_events(60)} SELECT {BAR_SQL} FROM c WHERE ts + 3600000 <= (SELECT max(ts) FROM c)")
+def stream_candles_1h(spark, d):
+    """What a stream of the events has emitted once it read them all: all slots but those still open."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    # A pattern, since the table may be a file as well as a folder of files.
+    ticks = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")
+    made = live.stream_candles(ticks, F.col("event_type"), F.col("ts"), F.col("value"), F.lit(1), [F.col("event_id")], 60)
+    s = store.CandleStore(spark, _folder(spark, "stream-store")).create()
+    live.start(made, s, _folder(spark, "stream-checkpoint")).awaitTermination()
+    return s.scan().select(BAR)
+
+
+@query("stream_features", f"{FEATURES_SQL} SELECT symbol, ts, ema_9, ema_26, ema_50, ema_100, ema_200, macd, macd_signal, macd_hist, rsi_14 FROM f")
+def stream_features(spark, d):
+    """The indicators of a stream of candles, bar by bar with a few numbers of state; as in batch."""
+    source, out = _folder(spark, "bars"), _folder(spark, "live")
+    lines(spark, d).repartition(1).sortWithinPartitions("ts").write.parquet(source)
+    made = live.live_features(spark.readStream.schema(CANDLES).parquet(source))
+    made.writeStream.outputMode("append").option("checkpointLocation", _folder(spark, "live-checkpoint")).option("path", out).format("parquet").trigger(availableNow=True).start().awaitTermination()
+    names = live.LiveIndicators().names()
+    return spark.read.schema(made.schema).parquet(out).select("symbol", "ts", *[F.round(n, 6).alias(n) for n in names])
+
+
+@query("feature_blocks")
+def feature_blocks(spark, d):
+    return export.blocks(indicators.with_features(lines(spark, d)), rows=1024)

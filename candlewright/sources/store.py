@@ -149,11 +149,15 @@ class CandleStore:
         rows.sortWithinPartitions("series", "ts").write.partitionBy("series").parquet(f"{self.root}/snapshots/{snap}")
         self._point({json.dumps(list(s)): snap for s in touched})
 
-    def compact(self, series: list[tuple] | None = None, files: int = 1) -> None:
-        """Rewrite series as ``files`` files each, in the order of time; the candles stay as they are."""
+    def compact(self, series: list[tuple] | None = None, rows_per_file: int = 5_000_000) -> None:
+        """Rewrite series in files of about ``rows_per_file`` candles in the order of time; the candles stay as they are.
+
+        Ranges of (series, time) are files: a long series has several and no task holds one as a whole.
+        """
         touched = [tuple(json.loads(s)) for s in self._current() if series is None or tuple(json.loads(s)) in set(series)]
-        for s in touched:
-            self._replace(self.scan(series=[s]), [s], files)
+        if touched:
+            rows = self.scan(series=touched)
+            self._replace(rows, touched, max(1, -(-rows.count() // rows_per_file)))
 
     def vacuum(self) -> int:
         """Delete snapshots that no series uses any more; returns how many."""
