@@ -17,12 +17,13 @@ def first_of_key(candles: DataFrame, arrival: Column | None = None) -> DataFrame
     return candles.groupBy(*KEY).agg(F.min_by(F.struct(*PRICES), order).alias("_c")).select(*KEY, "_c.*")
 
 
-def rollup(candles: DataFrame, source_minutes: int, target_minutes: int, now_ms: int | None = None, dedup: bool = True) -> DataFrame:
+def rollup(candles: DataFrame, source_minutes: int, target_minutes: int, now_ms: int | None = None, dedup: bool = True, reach_of: DataFrame | None = None) -> DataFrame:
     """Candles of ``target_minutes`` from those of ``source_minutes``.
 
     A slot has the first open, highest high, lowest low, last close and summed volume of its candles; slots without
     candles do not appear, gaps inside a slot are no matter, and a slot appears only when the source has reached its
-    end (and ``now``, if given). The short slot at the end of a day or year ends there.
+    end (and ``now``, if given). The short slot at the end of a day or year ends there. ``reach_of`` has the source's
+    timestamps where ``candles`` are only a part of it.
     """
     if target_minutes <= 0 or source_minutes <= 0:
         return as_candles(candles.limit(0))
@@ -35,7 +36,8 @@ def rollup(candles: DataFrame, source_minutes: int, target_minutes: int, now_ms:
         F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume")
     )
     # Only the last slot of a series can be open; its series' last candle tells.
-    reach = source.groupBy(*KEYS).agg((F.max("ts") + source_minutes * MINUTE_MS).alias("_reach"))
+    stamps = source if reach_of is None else reach_of.where(F.col("timeframe_minutes") == source_minutes)
+    reach = stamps.groupBy(*KEYS).agg((F.max("ts") + source_minutes * MINUTE_MS).alias("_reach"))
     if now_ms is not None:
         reach = reach.withColumn("_reach", F.least("_reach", F.lit(now_ms)))
     closed = made.join(reach, KEYS).where(slot_end(F.col("_slot"), minutes) <= F.col("_reach"))
@@ -72,15 +74,15 @@ def layers(targets: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def incremental_rollup(candles: DataFrame, source_minutes: int, target_minutes: int, start_ts: int, end_ts: int, now_ms: int | None = None) -> DataFrame:
     """Slots that begin in [start_ts, end_ts], from only the candles that those slots can hold.
 
-    The bounds are literals, so they reach the scan as pushed filters. The source is read up to one target interval
-    behind the last slot, and one source interval more, which tells whether that slot is closed.
+    The bounds are literals, so they reach the scan as pushed filters; whether the last slot is closed takes the
+    newest timestamp of the source besides, which reads that column alone.
     """
     if end_ts < start_ts:
         return as_candles(candles.limit(0))
-    high = end_ts + (target_minutes + source_minutes) * MINUTE_MS
+    high = end_ts + target_minutes * MINUTE_MS
     part = candles.where((F.col("ts") >= start_ts) & (F.col("ts") < high))
     # A slot that began before start_ts is cut off on the left and goes.
-    return rollup(part, source_minutes, target_minutes, now_ms).where(F.col("ts").between(start_ts, end_ts))
+    return rollup(part, source_minutes, target_minutes, now_ms, reach_of=candles).where(F.col("ts").between(start_ts, end_ts))
 
 
 def slot_series(bounds: DataFrame, minutes: int, start: str = "start_ts", end: str = "end_ts") -> DataFrame:

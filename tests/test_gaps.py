@@ -1,0 +1,92 @@
+from helpers import DAY, HOUR, JAN_2024, candles
+
+from candlewright.operators import gaps, intervals
+from candlewright.schema import SERIES
+
+
+def hours(spark, present):
+    return candles(spark, [(JAN_2024 + h * HOUR, 1, 1, 1, 1, 1) for h in present], 60)
+
+
+def bounds(spark, lo, hi):
+    return spark.createDataFrame([("m", "c", "S", JAN_2024 + lo * HOUR, JAN_2024 + hi * HOUR)], "market string, category string, symbol string, start_ts long, end_ts long")
+
+
+def spans(df):
+    return sorted(((r.start_ts - JAN_2024) // HOUR, (r.end_ts - JAN_2024) // HOUR) for r in df.collect())
+
+
+def test_missing_and_its_intervals(spark):
+    c = hours(spark, [0, 1, 4, 5, 9])
+    missing = gaps.missing(gaps.expected(bounds(spark, 0, 10), 60), c)
+    merged = gaps.merge_intervals(missing, 60)
+    assert spans(merged) == [(2, 3), (6, 8), (10, 10)]
+    assert [r.n_missing for r in gaps.missing_count(merged, 60).collect()] == [6]
+
+
+def test_up_to_date_has_none(spark):
+    c = hours(spark, range(5))
+    assert gaps.merge_intervals(gaps.missing(gaps.expected(bounds(spark, 0, 4), 60), c), 60).count() == 0
+    assert gaps.expected(bounds(spark, 4, 0), 60).count() == 0
+
+
+def test_start_is_floored_to_the_grid(spark):
+    b = spark.createDataFrame([("m", "c", "S", JAN_2024 + 1, JAN_2024 + 2 * HOUR)], "market string, category string, symbol string, start_ts long, end_ts long")
+    assert gaps.expected(b, 60).count() == 3
+
+
+def test_runs_over_bucket_edges_are_one(spark, monkeypatch):
+    monkeypatch.setattr(gaps, "BUCKET", 4)
+    merged = gaps.merge_intervals(hours(spark, [*range(2, 19), 25]).select(*SERIES, "ts"), 60)
+    assert spans(merged) == [(2, 18), (25, 25)]
+    assert sorted(r.n for r in merged.collect()) == [1, 17]
+
+
+def test_custom_slots_with_a_short_one_stay_together(spark):
+    minutes, day = 1000, 1440 * 60_000
+    b = spark.createDataFrame([("m", "c", "S", JAN_2024, JAN_2024 + 2 * day)], "market string, category string, symbol string, start_ts long, end_ts long")
+    slots = gaps.expected(b, minutes, custom=True)
+    got = [r.ts - JAN_2024 for r in slots.orderBy("ts").collect()]
+    assert got == [0, 60_000_000, day, day + 60_000_000, 2 * day]
+    assert gaps.merge_intervals(slots, minutes).count() == 1
+
+
+def test_overview_and_top_gaps(spark):
+    c = hours(spark, [0, 1, 1, 4, 9])
+    o = gaps.overview(c).first()
+    assert (o.total, o.n_distinct, o.n_dup, o.expected, o.missing, o.n_gaps) == (5, 4, 1, 10, 6, 2)
+    assert [(r.gap_ms // HOUR, r.n_missing) for r in gaps.top_gaps(c, 1).collect()] == [(5, 4)]
+    assert gaps.overview(hours(spark, [])).count() == 0
+
+
+def intervals_df(spark, pairs):
+    return spark.createDataFrame([("m", "c", "S", 60, JAN_2024 + a * HOUR, JAN_2024 + b * HOUR) for a, b in pairs], "market string, category string, symbol string, timeframe_minutes int, start_ts long, end_ts long")
+
+
+def test_membership_is_inclusive_and_survives_overlap(spark):
+    c = hours(spark, range(0, 24))
+    v = intervals_df(spark, [(2, 4), (3, 9), (9, 9), (12, 11), (15, 15)])
+    for width in (1, HOUR * 2, 90 * DAY):
+        got = sorted((r.ts - JAN_2024) // HOUR for r in intervals.in_intervals(c, v, bin_ms=width if width > 1 else HOUR).collect())
+        assert got == [2, 3, 4, 5, 6, 7, 8, 9, 15]
+    assert intervals.in_intervals(c, intervals_df(spark, [(5, 4)])).count() == 0
+
+
+def test_membership_matches_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    pairs = [(a, a + rng.randint(-2, 6)) for a in (rng.randint(0, 200) for _ in range(40))]
+    c = hours(spark, range(0, 210, 3))
+    want = sorted(h for h in range(0, 210, 3) if any(a <= h <= b for a, b in pairs))
+    got = sorted((r.ts - JAN_2024) // HOUR for r in intervals.in_intervals(c, intervals_df(spark, pairs), bin_ms=7 * HOUR).collect())
+    assert got == want
+    wide = sorted((r.ts - JAN_2024) // HOUR for r in intervals.near_intervals(c, intervals_df(spark, pairs[:3]), HOUR).collect())
+    assert wide == sorted(h for h in range(0, 210, 3) if any(a - 2 <= h <= b + 2 for a, b in pairs[:3]))
+
+
+def test_as_of_takes_the_last_slot(spark):
+    c = hours(spark, [0, 3, 7, 8, 20])
+    slots = hours(spark, [1, 7, 9]).select(*SERIES, "ts").withColumnRenamed("ts", "slot_start")
+    got = [(None if r.slot_start is None else (r.slot_start - JAN_2024) // HOUR) for r in intervals.last_at_or_before(c, slots, bin_ms=4 * HOUR).orderBy("ts").collect()]
+    assert got == [None, 1, 7, 7, 9]
