@@ -25,7 +25,7 @@ BLOCK, SHARD, MOST = 512, 1024, 3
 WEIGHTS = (5, 2, 1)
 ROUNDS = 24
 #: Documents of a source that are put in order together, and slots that are made together.
-BUCKET_ROWS, SLOT_CHUNK = 4000, 4096
+BUCKET_ROWS, SLOT_CHUNK = 1000, 4096
 BLANKS = " \t\n\x0b\f\r"
 
 
@@ -121,7 +121,8 @@ def pieces(rows: DataFrame, mix: DataFrame, keep: list[str], block: int = BLOCK)
     where no slot takes a block, and equal where a cut slot ends before the row begins.
     """
     cuts = rows.where("size > 0").select("rank", "off", "size", *keep, F.explode(F.expr(f"sequence(off div {block}, (off + size - 1) div {block})")).alias("block"))
-    joined = cuts.join(mix, ["rank", "block"], "left")
+    # Slots are exploded from a few source rows, so Spark would take them for small; they are as many as the blocks.
+    joined = cuts.join(mix.hint("merge"), ["rank", "block"], "left")
     begin = F.greatest(F.col("off"), F.col("block") * block)
     end = F.least(F.col("off") + F.col("size"), F.col("block") * block + F.col("words"))
     taken = F.when(F.col("words").isNotNull(), F.greatest(F.lit(0).cast("long"), end - begin))
