@@ -1,0 +1,134 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from data import clashing, doc, docs, odd_rows, words
+from pyspark.sql import functions as F
+
+from candlewright.llm import mixing as m
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def slow_targets(sizes, weights=(5, 2, 1), most=3):
+    """Resharing step by step."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [s for s in sizes if s is None]
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, fixed, share = sum(sizes.values()), {}, {}
+    while True:
+        free = [s for s in order if s not in fixed]
+        left, all_ = total - sum(fixed.values()), sum(w[s] for s in free)
+        share = {s: left * w[s] / all_ for s in free}
+        over = [s for s in free if share[s] > most * sizes[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: most * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, "c": 100}, {"a": 10, "b": 500, "c": 3, None: 7}, {"z": 1}, {"a": 0, "b": 9}, {"é": 5, "f": 50, "": 2, "G": 900, "aa": 33}])
+def test_targets(spark, sizes):
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r.source: r.target for r in m.targets(df).collect()}
+    want = slow_targets(sizes)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-9 * max(1, want[s]) for s in want)
+
+
+def test_word_count(spark):
+    df = docs(spark, odd_rows())
+    for r in df.select("text", m.word_count(F.col("text")).alias("n")).collect():
+        assert r.n == len(WORD.findall(r.text or ""))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000])
+def test_permutations(spark, n):
+    df = spark.range(n).select("id", F.lit(n).cast("long").alias("n"))
+    there = df.withColumn("p", m.permuted(F.col("id"), F.col("n"), [F.lit(1), F.lit(2).cast("long")]))
+    back = there.withColumn("b", m.permuted(F.col("p"), F.col("n"), [F.lit(1), F.lit(2).cast("long")], backwards=True)).collect()
+    assert sorted(r.p for r in back) == list(range(n)) and all(r.b == r.id for r in back)
+    if n == 1000:
+        assert sum(r.p == r.id for r in back) < 20 and len({r.p // 100 for r in back[:100]}) == 10
+
+
+def corpus(seed=0, n=60):
+    rng = random.Random(seed)
+    rows = [doc(100 + i, words(rng.choice([1, 5, 30, 200]), i), source=rng.choice(["s0", "s0", "s0", "s1", "s2", "s3", None])) for i in range(n)]
+    return [*rows, *[r for r in odd_rows() if r[0] != 7]]
+
+
+@pytest.mark.parametrize("block", [4, 16, 512])
+def test_report(spark, block):
+    rows = corpus()
+    df = clashing(docs(spark, rows))
+    got = m.mix_report(df, block=block, shard=8).collect()
+    assert sorted((r.doc_id, r.size) for r in got if r.doc_id is not None) == sorted((r[0], len(WORD.findall(r[1] or ""))) for r in rows if r[0] is not None)
+    source, sizes = {r[0]: r[3] for r in rows}, Counter()
+    for r in rows:
+        sizes[r[3]] += len(WORD.findall(r[1] or ""))
+    want = slow_targets(dict(sizes))
+    taken = Counter()
+    for r in got:
+        s = source[r.doc_id]
+        assert (r.source_size, round(r.target, 6)) == (sizes[s], round(want[s], 6)) and 0 <= r.taken <= 3 * r.size
+        assert (r.first_shard is None) == (r.taken == 0)
+        taken[s] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in want)
+    again = m.mix_report(df.repartition(7), block=block, shard=8)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+
+
+def test_slots_fill_shards_and_follow_the_targets(spark):
+    df = spark.createDataFrame([("a", 40_000), ("b", 30_000), ("c", 30_000)], "source string, size long")
+    mix = m.slots(m.targets(df), block=10, shard=500).collect()
+    per = defaultdict(Counter)
+    for r in mix:
+        per[r.shard][r["rank"]] += 1
+    assert all(sum(c.values()) == 500 for s, c in per.items() if s < max(per))
+    assert len({(r.shard, r.position) for r in mix}) == len(mix)
+    share = Counter(r["rank"] for r in mix)
+    for c in per.values():  # five standard deviations of a multinomial draw
+        for k, n in share.items():
+            p = n / len(mix)
+            assert abs(c[k] - sum(c.values()) * p) <= 5 * (sum(c.values()) * p * (1 - p)) ** 0.5 + 1
+    uses = Counter((r["rank"], r.block) for r in mix)
+    for k in share:
+        n = [v for (s, _), v in uses.items() if s == k]
+        assert max(n) - min(n) <= 1
+
+
+def test_mixed_documents(spark):
+    rows = corpus(3)
+    df = clashing(docs(spark, rows))
+    mixed = m.mix_documents(df, block=8, shard=4)
+    assert mixed.columns == df.columns
+    got, report = Counter(), Counter()
+    texts = defaultdict(set)
+    for r in rows:
+        texts[r[0]].add(r[1])
+    for r in mixed.collect():
+        n = WORD.findall(r.text)
+        got[r.doc_id] += len(n)
+        assert r.n_chars == len(r.text) and r.size == "mine"
+        assert r.text in texts[r.doc_id] or any(is_part(n, WORD.findall(t or "")) for t in texts[r.doc_id])
+    for r in m.mix_report(df, block=8, shard=4).collect():
+        report[r.doc_id] += r.taken
+    assert sum(got.values()) == sum(report.values())
+
+
+def is_part(some, whole):
+    it = iter(whole)
+    return all(w in it for w in some)
+
+
+def test_nothing_to_mix(spark):
+    assert m.mix_report(docs(spark, [])).count() == 0 and m.mix_documents(docs(spark, [])).count() == 0
+    none = [doc(1, None), doc(2, "", source=None)]
+    assert [(r.size, r.target, r.taken) for r in m.mix_report(docs(spark, none)).collect()] == [(0, 0.0, 0)] * 2
+    assert m.mix_documents(docs(spark, none)).count() == 0
+
+
+def test_no_python_runs(spark):
+    df = docs(spark, corpus())
+    for made in (m.mix_report(df), m.mix_documents(df)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
