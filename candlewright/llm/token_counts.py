@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -13,21 +12,18 @@ from pyspark.sql import functions as F
 
 from candlewright.llm._shared import arrow_limits
 
-#: Characters of a part of a long text, and of all the parts that one call of the tokenizer gets.
-PART_CHARS, CALL_CHARS = 1 << 15, 1 << 18
+#: Characters of new parts that one call of the tokenizer gets, and of the texts that are cut together.
+CALL_CHARS, GROUP_CHARS = 1 << 18, 1 << 18
+#: Parts whose counts a worker remembers, and the longest of them.
+KNOWN_PARTS, KNOWN_CHARS = 300_000, 64
 
 
-def safe_cuts(text: str, size: int = PART_CHARS) -> list[str]:
-    """Parts of a text, each cut before an ASCII blank: no token, special token or normal form goes past one.
+def safe_parts(text: str) -> list[str]:
+    """The parts of a text between ASCII blanks and line ends; white space itself has no tokens.
 
-    This holds for tokenizers that drop white space before they merge; a text without a blank stays whole.
+    No token, special token or normal form goes past one, for tokenizers that drop white space before they merge.
     """
-    parts, at = [], 0
-    while len(text) - at > size and (end := text.find(" ", at + size)) > 0:
-        parts.append(text[at:end])
-        at = end
-    parts.append(text[at:] if at else text)
-    return parts
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
 class JsonCounter:
@@ -41,8 +37,32 @@ class JsonCounter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def __call__(self, parts: list[str]) -> list[int]:
-        return [len(x) for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        self.known: dict[str, int] = {"": 0}
+
+    def _encode(self, parts: list[str]) -> Iterator[tuple[str, int]]:
+        """Counts of parts, from batches of about equal size."""
+        batch, held = [], 0
+        for part in parts:
+            batch.append(part)
+            held += len(part)
+            if held >= CALL_CHARS:
+                yield from zip(batch, map(len, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)), strict=True)
+                batch, held = [], 0
+        if batch:
+            yield from zip(batch, map(len, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)), strict=True)
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        """Counts of whole texts: their parts', each different one of which is encoded once."""
+        cut = [safe_parts(t) for t in texts]
+        new = set().union(*cut).difference(self.known)
+        long = dict(self._encode([p for p in new if len(p) > KNOWN_CHARS]))
+        if len(self.known) + len(new) > KNOWN_PARTS:
+            self.known = {"": 0}
+            new = set().union(*cut).difference(self.known)
+        self.known.update(self._encode([p for p in new if len(p) <= KNOWN_CHARS]))
+        if not long:
+            return [sum(map(self.known.__getitem__, parts)) for parts in cut]
+        return [sum(self.known[p] if len(p) <= KNOWN_CHARS else long[p] for p in parts) for parts in cut]
 
 
 class PieceCounter:
@@ -53,8 +73,8 @@ class PieceCounter:
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def __call__(self, parts: list[str]) -> list[int]:
-        return [len(x) for x in self.sp.encode(parts, num_threads=1)]
+    def __call__(self, texts: list[str]) -> list[int]:
+        return [len(x) for x in self.sp.encode(texts, num_threads=1)]
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = (), limit: int = 2048) -> DataFrame:
@@ -68,32 +88,21 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", keep: tuple[str,
     head = "".join(f"_k{i} {kept.schema[i].dataType.simpleString()}, " for i in range(len(keep)))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = not path.endswith(".json")
-        count = PieceCounter(path) if whole else JsonCounter(path)
+        count = JsonCounter(path) if path.endswith(".json") else PieceCounter(path)
         for batch in batches:
             texts = batch.column("_text")
-            tokens = np.zeros(batch.num_rows, np.int64)
-            parts: list[str] = []
-            rows: list[int] = []
+            tokens: list[int] = []
+            group: list[str] = []
             held = 0
-
-            def flush() -> None:
-                np.add.at(tokens, rows, count(parts))  # noqa: B023
-                parts.clear()  # noqa: B023
-                rows.clear()  # noqa: B023
-
-            for i, value in enumerate(texts):
-                for part in [value.as_py() or ""] if whole else safe_cuts(value.as_py() or ""):
-                    parts.append(part)
-                    rows.append(i)
-                    held += len(part)
-                    if held >= CALL_CHARS:
-                        flush()
-                        held = 0
-            if parts:
-                flush()
+            for value in texts:
+                group.append(value.as_py() or "")
+                held += len(group[-1])
+                if held >= GROUP_CHARS:
+                    tokens += count(group)
+                    group, held = [], 0
+            tokens += count(group)
             n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n_bytes, pa.array(tokens), pa.array(tokens > limit)], names=[*batch.schema.names[:-1], "n_bytes", "n_tokens", "over_limit"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n_bytes, pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_())], names=[*batch.schema.names[:-1], "n_bytes", "n_tokens", "over_limit"])
 
     out = kept.mapInArrow(apply, head + "n_bytes long, n_tokens long, over_limit boolean")
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "n_bytes", "n_tokens", "over_limit")

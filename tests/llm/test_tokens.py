@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from candlewright.llm.byte_bpe import ByteBpe, byte_characters, encode_column, read_ranks, safe_parts
-from candlewright.llm.token_counts import count_tokens, safe_cuts
+from candlewright.llm import token_counts
+from candlewright.llm.token_counts import JsonCounter, count_tokens, safe_parts as white_parts
 
 JSON, RANKS = P.path("word_bpe_49k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 
@@ -82,11 +83,22 @@ def test_pieces_are_counted_whole(spark):
         assert r.n_tokens == len(sp.encode({x[0]: x[1] or "" for x in rows}[r.doc_id]))
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="ab \u0301\u0130<|endoftx>'s\n\t1!", max_size=200), st.integers(1, 20))
-def test_cuts_do_not_change_counts(text, size):
-    t = Tokenizer.from_file(JSON) if not hasattr(test_cuts_do_not_change_counts, "t") else test_cuts_do_not_change_counts.t
-    test_cuts_do_not_change_counts.t = t
-    parts = safe_cuts(text, size)
-    assert "".join(parts) == text
-    assert sum(len(t.encode(p, add_special_tokens=False).ids) for p in parts) == len(t.encode(text, add_special_tokens=False).ids)
+@pytest.fixture(scope="module")
+def counter():
+    return JsonCounter(JSON)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab \u0301\u0130\u00a0\x85\x1c<|endoftx>'s\n\t\r1!\U0001d4b3", max_size=200))
+def test_parts_do_not_change_counts(counter, text):
+    assert "".join(white_parts(text)) == text.translate(dict.fromkeys(map(ord, " \n\t\r")))
+    assert counter([text, "a b"])[0] == len(counter.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_counter_forgets_and_remembers(counter, monkeypatch):
+    monkeypatch.setattr(token_counts, "KNOWN_PARTS", 50)
+    monkeypatch.setattr(token_counts, "CALL_CHARS", 30)
+    texts = [words(40, i) + " " + "y" * 200 for i in range(6)]
+    for _ in range(2):
+        assert counter(texts) == [len(counter.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counter([]) == []
