@@ -38,10 +38,20 @@ def hadoop_fs(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The application's folder in the shared one."""
+    return f"{shared_dir(spark)}/candlewright/{spark.sparkContext.applicationId}"
+
+
+def clear_tables(spark: SparkSession) -> None:
+    """Delete the tables that operators of this application wrote; results that are still to be read need them."""
+    drop_path(spark, own_dir(spark))
+
+
 def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it again: ends the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/candlewright/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.llm import chat, langid, quality
-from candlewright.llm._shared import shared_dir
+from candlewright.llm._shared import own_dir
 from candlewright.llm.ann import nearest
 from candlewright.llm.byte_bpe import encode_column
 from candlewright.llm.embedding_dedup import near_vectors
@@ -29,7 +29,7 @@ def _held_out() -> Column:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = shard_arrivals(_read(spark, sf_dir, "documents"), f"{shared_dir(spark)}/candlewright/shards-{uuid.uuid4().hex}")
+    store = shard_arrivals(_read(spark, sf_dir, "documents"), f"{own_dir(spark)}/shards-{uuid.uuid4().hex}")
     return store.read().select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
