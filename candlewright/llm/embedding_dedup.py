@@ -25,9 +25,9 @@ from candlewright.llm._vectors import cosines, matrix, unit, usable
 
 BLOCKS = 4
 #: Vectors of a cell that are compared as one; the pairs of larger cells are dealt out in tiles.
-CELL_ROWS = 2048
-#: Rows of a label that a cell may hold before one more dimension is cut into cells.
-DENSE = 1500
+CELL_ROWS = 4096
+#: Rows of a label that need no more than one dimension cut into cells; each further one is for 2.2 times as many.
+DENSE, THINNING = 8192, 2.2
 
 
 class Blocks:
@@ -131,8 +131,8 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", ve
     classes, _ = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
     dense = classes.groupBy("_label").count().agg(F.max("count")).first()[0] or 0
     sizes = [r[0] for r in classes.select(F.size("_v")).distinct().orderBy(F.size("_v")).collect()]
-    # A cell as wide as the radius keeps about half of what one dimension holds, of isotropic vectors.
-    cut_dims = int(min(5, max(1, np.ceil(np.log(max(1, dense / DENSE)) / np.log(2)))))
+    # Of isotropic vectors about one in THINNING shares a cell of one dimension.
+    cut_dims = int(min(5, 1 + max(0, np.ceil(np.log(max(1, dense / DENSE)) / np.log(THINNING)))))
     label_codes = F.xxhash64("_label")
     parts = [_links_of_size(classes.where(F.size("_v") == size).select("cid", "n", label_codes.alias("lab"), "_v"), Blocks(size, threshold, cut_dims)) for size in sizes]
     if not parts:
