@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from candlewright.operators.series import numbered
 from candlewright.schema import SERIES
+from candlewright.session import ship
 
 RESERVED = ("names", "block", "timestamp")
 
@@ -47,6 +48,7 @@ def blocks(features: DataFrame, names: list[str] | None = None, rows: int = 4096
 
     ``data`` holds little-endian doubles, n times the number of names; NaN where a feature is null.
     """
+    ship(features.sparkSession)
     names = check_names(names or [c for c in features.columns if c not in (*SERIES, "ts")])
     bars = numbered(features).withColumn("block", F.floor(F.col("bar") / rows).cast("long"))
     values = F.array(*[F.coalesce(F.col(n).cast("double"), F.lit(float("nan"))) for n in names])

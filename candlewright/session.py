@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def session(app: str = "candlewright", **conf: str) -> SparkSession:
     """A session for candle work. Settings given by name, with dots as ``__``, come last."""
@@ -17,3 +24,18 @@ def session(app: str = "candlewright", **conf: str) -> SparkSession:
     }.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give this package to the executors' Python, once for each application, so that functions find it there.
+
+    The archive goes through Spark's own file server; executors need no folder of the driver.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        folder = tempfile.mkdtemp(prefix="candlewright-zip-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        package = Path(__file__).resolve().parent
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/candlewright_src", "zip", package.parent, package.name))
+    return spark

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from candlewright.functions.time import millis, slot_start
 from candlewright.schema import SERIES, as_candles
+from candlewright.session import ship
 from candlewright.sources.store import CandleStore
 
 
@@ -130,6 +131,7 @@ def live_features(candles: DataFrame, indicators: LiveIndicators | None = None)
     The state of a series is a few numbers whatever its age. Candles without a finite close are passed over. A batch
     must not bring candles from before those of an earlier one; these are for a backfill in batch.
     """
+    ship(candles.sparkSession)
     template = indicators or LiveIndicators()
     names = template.names()
 
