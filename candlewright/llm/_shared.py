@@ -11,15 +11,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewright.session import ship
+
 #: Bytes and rows of an Arrow batch that goes to a Python worker, so that two workers stay small beside the JVM.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
 
 
 def arrow_limits(spark: SparkSession) -> SparkSession:
-    """Bound Arrow batches by bytes as well as rows: one batch of very long texts must not fill a worker."""
+    """Bound Arrow batches by bytes as well as rows, and give the package to the executors' Python.
+
+    One batch of very long texts must not fill a worker.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark
+    return ship(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
