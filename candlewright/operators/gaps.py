@@ -35,6 +35,11 @@ def missing(expected_ts: DataFrame, candles: DataFrame) -> DataFrame:
     return expected_ts.join(candles.select(*SERIES, "ts"), [*SERIES, "ts"], "left_anti")
 
 
+def missing_intervals(bounds: DataFrame, candles: DataFrame, minutes: int, custom: bool = False) -> DataFrame:
+    """(series, start_ts, end_ts, n) without candles between each series' bounds: the scan that ingestion goes by."""
+    return merge_intervals(missing(expected(bounds, minutes, custom), candles), minutes)
+
+
 def merge_intervals(missing_ts: DataFrame, minutes: int) -> DataFrame:
     """(series, start_ts, end_ts, n): runs of timestamps no further apart than the interval, both ends included.
 

@@ -85,6 +85,20 @@ def incremental_rollup(candles: DataFrame, source_minutes: int, target_minutes:
     return rollup(part, source_minutes, target_minutes, now_ms, reach_of=candles).where(F.col("ts").between(start_ts, end_ts))
 
 
+def read_bounds(bounds: DataFrame, targets: list[int]) -> DataFrame:
+    """(keys, first_ts, end_ts): the source range that holds all slots of several targets between each row's bounds.
+
+    One read of a source serves all that is made from it; rows without a slot to build have no range.
+    """
+    made = None
+    for minutes in targets:
+        slots = slot_series(bounds, minutes).select(*KEYS, "slot_start", "slot_end")
+        made = slots if made is None else made.unionByName(slots)
+    if made is None:
+        return bounds.select(*KEYS, F.col("start_ts").alias("first_ts"), F.col("end_ts")).limit(0)
+    return made.groupBy(*KEYS).agg(F.min("slot_start").alias("first_ts"), F.max("slot_end").alias("end_ts"))
+
+
 def slot_series(bounds: DataFrame, minutes: int, start: str = "start_ts", end: str = "end_ts") -> DataFrame:
     """The columns of ``bounds`` and slot_start, slot_end of every slot closed by ``end``.
 

@@ -159,12 +159,12 @@ def slot_series_8d(spark, d):
 @query(
     "asof_slots",
     f"""WITH {sql_events(60)}, s AS (SELECT symbol, ts AS slot FROM c WHERE volume % 3 = 0)
-    SELECT c.symbol, c.ts, s.slot AS slot_start FROM c ASOF LEFT JOIN s ON c.symbol = s.symbol AND c.ts >= s.slot""",
+    SELECT c.symbol, c.ts, s.slot AS slot_start FROM c ASOF JOIN s ON c.symbol = s.symbol AND c.ts >= s.slot""",
 )
 def asof_slots(spark, d):
     c = events(spark, d, 60)
     slots = c.where("volume % 3 = 0").select(*SERIES, F.col("ts").alias("slot_start"))
-    return intervals.last_at_or_before(c, slots).select("symbol", "ts", "slot_start")
+    return intervals.last_at_or_before(c, slots).where("slot_start IS NOT NULL").select("symbol", "ts", "slot_start")
 
 
 # --- windows and recursive averages -------------------------------------------------------------------------------
@@ -440,11 +440,11 @@ def symbol_variants(spark, d):
 
 @query(
     "timeframe_keys",
-    "SELECT * FROM (VALUES ('15m', 15), ('1h', 60), ('2d', 2880), ('1w', 10080), ('1M', 44640), ('h1', NULL), ('3x', NULL), ('', NULL)) AS t(key, minutes)",
+    "SELECT * FROM (VALUES ('15m', 15), ('1h', 60), ('2d', 2880), ('1w', 10080), ('1M', 44640), ('h1', -1), ('3x', -1), ('', -1)) AS t(key, minutes)",
 )
 def timeframe_keys(spark, d):
     keys = spark.createDataFrame([(k,) for k in ("15m", "1h", "2d", "1w", "1M", "h1", "3x", "")], "key string")
-    return keys.select("key", t.timeframe_minutes(F.col("key")).cast("int").alias("minutes"))
+    return keys.select("key", F.coalesce(t.timeframe_minutes(F.col("key")).cast("int"), F.lit(-1)).alias("minutes"))
 
 
 @query(
@@ -547,6 +547,16 @@ def request_plan(spark, d):
     return rest.plan_requests(_bounds(events(spark, d, 60)), 60, 500).select("symbol", "request_start", "request_end")
 
 
+@query(
+    "read_bounds",
+    f"""WITH {SQL_LINES}, {_bounds_sql()}, s AS (SELECT symbol, lo, hi, unnest([180, 1440]) AS m FROM b),
+    t AS (SELECT symbol, hi, m * 60000 AS w, unnest(range(lo - lo % 86400000, hi + 1, m * 60000)) AS a FROM s)
+    SELECT symbol, min(a) AS first_ts, max(a + w) AS end_ts FROM t WHERE a + w <= hi GROUP BY symbol""",
+)
+def read_bounds(spark, d):
+    return rollup.read_bounds(_bounds(lines(spark, d)), [180, 1440]).select("symbol", "first_ts", "end_ts")
+
+
 @query("exchange_selection", "SELECT 'second' AS name")
 def exchange_selection(spark, d):
     return config.chosen_exchange(config.exchanges(spark, {"first": {"active": False}, "second": {"active": True}, "third": {"active": True}})).select("name")

@@ -1,0 +1,44 @@
+import json
+
+from candlewright.plans.jobs import Ingest, training_features
+from candlewright.sources import config
+from candlewright.sources.store import CandleStore
+
+START, HOUR = 1735689600000, 3_600_000
+SERIES = ("Crypto", "AA", "AAUSD", 60)
+BARS = {"active": True, "api_url": "https://bars.example/{symbol}", "format": {"params": {"start": {"value": "{start}"}}, "response_type": "array"}}
+
+
+def replay(folder, first, n):
+    rows = [[START + (first + i) * HOUR, "1", "2", "0.5", str(1 + i % 3), "4"] for i in range(n)]
+    (folder / f"AAUSD-1h-{START + first * HOUR}.json").write_text(json.dumps(rows))
+
+
+def test_an_ingest_pass(spark, tmp_path):
+    store = CandleStore(spark, f"file://{tmp_path}/store").create()
+    (tmp_path / "in").mkdir()
+    replay(tmp_path / "in", 0, 10)
+    replay(tmp_path / "in", 10, 8)  # two candles short
+    replay(tmp_path / "in", 20, 4)
+    job = Ingest(spark, store, "bars", BARS, limit=10, replay=str(tmp_path / "in"))
+    left = job.run([(SERIES, "1h"), (("Crypto", "AA", "BBUSD", 60), "1h")], START, START + 23 * HOUR, [(60, 180), (180, 360)])
+    assert left == {SERIES: 2, ("Crypto", "AA", "BBUSD", 60): 24} and not job.failed
+    n = {r.timeframe_minutes: r["count"] for r in store.scan().groupBy("timeframe_minutes").count().collect()}
+    assert n == {60: 22, 180: 8, 360: 4}
+    replay(tmp_path / "in", 18, 2)  # the gap is asked for by itself now
+    assert job.fill(SERIES, "1h", START, START + 23 * HOUR) == 0
+    assert job.missing(SERIES, START, START + 23 * HOUR).count() == 0
+    symbols = config.symbols(spark, {"Crypto": {"active": True, "symbols_config": {"AA": {"active": True, "symbols": {"AAUSD": {"active": True}}}}}})
+    frames = spark.createDataFrame([("1h", 60)], "name string, minutes int")
+    assert training_features(store, symbols, frames).count() == 24
+    assert training_features(store, symbols, frames, START + 20 * HOUR).count() == 4
+
+
+def test_one_bad_series_does_not_stop_the_rest(spark, tmp_path):
+    store = CandleStore(spark, f"file://{tmp_path}/store").create()
+    (tmp_path / "in").mkdir()
+    replay(tmp_path / "in", 0, 10)
+    job = Ingest(spark, store, "bars", BARS, limit=10, replay=str(tmp_path / "in"))
+    bad = ("Crypto", "AA", "AAUSD", 0)
+    assert job.run([(bad, "0m"), (SERIES, "1h")], START, START + 9 * HOUR) == {SERIES: 0}
+    assert bad in job.failed
