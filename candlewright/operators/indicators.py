@@ -1,42 +1,92 @@
 """Indicators as columns that follow the candle's own, which stay as they are.
 
-An engine names its columns and makes them in two steps: folds over the arrays of a chunk of bars, for recursive
-averages, and window functions over its rows. All engines share one shuffle of the bars by (series, chunk). A chunk
-comes with ``HALO_LENGTHS`` lengths of earlier bars; a recursive average has forgotten how it began long before it
-reaches the chunk's own bars (20 lengths leave 4e-18 of it), and series of up to ``CHUNK_BARS`` bars are computed
-whole, as a loop would. A bar needs a finite source; bars before the first one are warm-up.
+An engine names its columns and makes them in two ways. What looks back a fixed number of bars is a window function.
+Recursive averages have none in Spark, and folds over arrays cost far more than the recursion itself, so they run over
+Arrow batches. Both share one shuffle and sort of the bars by (series, chunk). A chunk comes with ``HALO_LENGTHS``
+lengths of earlier bars; a recursive average has forgotten how it began long before it reaches the chunk's own bars
+(20 lengths leave 4e-18 of it), and series of up to ``CHUNK_BARS`` bars are computed whole, as a loop would. A bar
+needs a finite source; bars before the first one are warm-up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window, WindowSpec
 
-from candlewright.functions.moving import ema, finite, rma, seeded_average, sma, stdev, steps
+from candlewright.functions.moving import check_length, finite, sma, stdev
+from candlewright.functions.runs import run_starts, runs
 from candlewright.operators.series import CHUNK_BARS, HALO_LENGTHS, chunked, numbered, own_bars
 from candlewright.schema import KEY, PRICES, SERIES
+from candlewright.session import ship
 
-Fold = tuple[str, Callable[[Column], Column]]
+
+def seeded(x: np.ndarray, length: int, alpha: float) -> np.ndarray:
+    """The mean of the first ``length`` values from the first one on, then alpha * x + (1 - alpha) * last; NaN before.
+
+    A NaN inside makes NaN of all that follows.
+    """
+    check_length(length)
+    out = np.full(len(x), np.nan)
+    some = np.flatnonzero(~np.isnan(x))
+    if not len(some) or len(x) - some[0] < length:
+        return out
+    lead, values = int(some[0]), x[some[0] :].tolist()
+    y = 0.0
+    for v in values[:length]:
+        y += v
+    y /= length
+    made, keep = [y], 1 - alpha
+    for v in values[length:]:
+        y = v * alpha + y * keep
+        made.append(y)
+    out[lead + length - 1 :] = made
+    return out
+
+
+def ema(x: np.ndarray, length: int) -> np.ndarray:
+    return seeded(x, length, 2.0 / (check_length(length) + 1))
+
+
+def rma(x: np.ndarray, length: int) -> np.ndarray:
+    """Wilder's average."""
+    return seeded(x, length, 1.0 / check_length(length))
+
+
+def rolling_mean(x: np.ndarray, length: int) -> np.ndarray:
+    out = np.full(len(x), np.nan)
+    if len(x) >= length:
+        out[length - 1 :] = np.lib.stride_tricks.sliding_window_view(x, length).mean(axis=1)
+    return out
 
 
 class Engine(Protocol):
-    """One kind of indicator. A fold makes an array column from the source array and ``F.col`` of folds before it."""
+    """One kind of indicator over a source column. ``compute`` gets the bars of a chunk, NaN where they have no value."""
 
     source: str
 
     def names(self) -> list[str]: ...
     def lookback(self) -> int: ...
-    def folds(self) -> list[Fold]: ...
     def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]: ...
+    def compute(self, x: np.ndarray) -> dict[str, np.ndarray]: ...
+
+
+class _Folding:
+    """An engine without window functions."""
+
+    def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]:
+        return {}
 
 
 @dataclass(frozen=True)
-class EmaFan:
+class EmaFan(_Folding):
     lengths: tuple[int, ...] = (9, 26, 50, 100, 200)
     source: str = "close"
 
@@ -46,15 +96,12 @@ class EmaFan:
     def lookback(self) -> int:
         return HALO_LENGTHS * max(self.lengths)
 
-    def folds(self) -> list[Fold]:
-        return [(f"ema_{n}", lambda x, n=n: ema(x, n)) for n in self.lengths]
-
-    def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]:
-        return {}
+    def compute(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        return {f"ema_{n}": ema(x, n) for n in self.lengths}
 
 
 @dataclass(frozen=True)
-class Rma:
+class Rma(_Folding):
     length: int = 14
     source: str = "close"
 
@@ -64,15 +111,12 @@ class Rma:
     def lookback(self) -> int:
         return 2 * HALO_LENGTHS * self.length
 
-    def folds(self) -> list[Fold]:
-        return [(f"rma_{self.length}", lambda x: rma(x, self.length))]
-
-    def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]:
-        return {}
+    def compute(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        return {f"rma_{self.length}": rma(x, self.length)}
 
 
 @dataclass(frozen=True)
-class Macd:
+class Macd(_Folding):
     fast: int = 12
     slow: int = 26
     signal: int = 9
@@ -84,20 +128,14 @@ class Macd:
     def lookback(self) -> int:
         return HALO_LENGTHS * (self.fast + self.slow + self.signal)
 
-    def folds(self) -> list[Fold]:
-        return [
-            ("_fast", lambda x: ema(x, self.fast)),
-            ("_slow", lambda x: ema(x, self.slow)),
-            ("macd", lambda x: F.zip_with("_fast", "_slow", lambda a, b: a - b)),
-            ("macd_signal", lambda x: seeded_average(F.col("macd"), self.signal, 2.0 / (self.signal + 1))),
-        ]
-
-    def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]:
-        return {"macd_hist": F.col("macd") - F.col("macd_signal")}
+    def compute(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        macd = ema(x, self.fast) - ema(x, self.slow)
+        signal = ema(macd, self.signal)  # with its own warm-up, from the first bar that has a macd
+        return {"macd": macd, "macd_signal": signal, "macd_hist": macd - signal}
 
 
 @dataclass(frozen=True)
-class Rsi:
+class Rsi(_Folding):
     """100 where nothing fell, flat series included; 0 where nothing rose; with a moving mean of it."""
 
     length: int = 14
@@ -110,18 +148,14 @@ class Rsi:
     def lookback(self) -> int:
         return 2 * HALO_LENGTHS * self.length + self.ma_length + 1
 
-    def folds(self) -> list[Fold]:
-        def leg(sign: int) -> Callable[[Column], Column]:
-            # least() and greatest() would make a number of the first bar's null, and the average begin one bar early.
-            return lambda x: rma(F.transform(steps(x), lambda d: F.when(d.isNotNull(), F.when(d * sign > 0, d * sign).otherwise(0.0))), self.length)
-
-        def ratio(up: Column, down: Column) -> Column:
-            return F.when(down.isNull() | up.isNull(), F.lit(None)).when(down == 0, 100.0).when(up == 0, 0.0).otherwise(100.0 - 100.0 / (1.0 + up / down))
-
-        return [("_up", leg(1)), ("_down", leg(-1)), (f"rsi_{self.length}", lambda x: F.zip_with("_up", "_down", ratio))]
-
-    def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]:
-        return {f"rsi_ma_{self.ma_length}": sma(F.col(f"rsi_{self.length}"), self.ma_length, order)}
+    def compute(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        delta = np.concatenate([[np.nan], x[1:] - x[:-1]]) if len(x) else x
+        # The first bar has no change; as a number it would let the averages begin one bar early.
+        up, down = (rma(np.where(np.isnan(delta), np.nan, np.maximum(d, 0.0)), self.length) for d in (delta, -delta))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rsi = np.where(down == 0, 100.0, np.where(up == 0, 0.0, 100.0 - 100.0 / (1.0 + up / down)))
+        rsi[np.isnan(up) | np.isnan(down)] = np.nan
+        return {f"rsi_{self.length}": rsi, f"rsi_ma_{self.ma_length}": rolling_mean(rsi, self.ma_length)}
 
 
 @dataclass(frozen=True)
@@ -136,13 +170,13 @@ class Bollinger:
     def lookback(self) -> int:
         return self.length
 
-    def folds(self) -> list[Fold]:
-        return []
-
     def windows(self, x: Column, order: WindowSpec) -> dict[str, Column]:
         mean, wide = sma(x, self.length, order), stdev(x, self.length, order) * self.mult
         return {"bb_basis": mean, "bb_upper": mean + wide, "bb_lower": mean - wide}
 
+    def compute(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        return {}
+
 
 DEFAULT_ENGINES: tuple[Engine, ...] = (EmaFan(), Macd(), Rsi(), Bollinger())
 
@@ -169,28 +203,45 @@ def engines_of(config: dict) -> tuple[Engine, ...]:
 def with_features(candles: DataFrame, engines: tuple[Engine, ...] = DEFAULT_ENGINES, dtype: str = "double", chunk: int = CHUNK_BARS) -> DataFrame:
     """The candles with every engine's columns, null in warm-up. ``float`` narrows the result, never the computation."""
     names = feature_names(engines)
+    place = [*SERIES, "chunk"]
     rows = chunked(numbered(candles), max([1, *(e.lookback() for e in engines)]), chunk)
-    place, folding = [*SERIES, "chunk"], [e for e in engines if e.folds()]
-    if folding:
-        sources = sorted({e.source for e in folding})
-        grouped = rows.groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("bar", "ts", *PRICES))).alias("rows"))
-        arrays = []
-        for s in sources:
-            grouped = grouped.withColumn(f"_x_{s}", F.transform(F.col(f"rows.{s}"), finite))
-        for e in folding:
-            for name, fold in e.folds():
-                grouped = grouped.withColumn(name, fold(F.col(f"_x_{e.source}")))
-                arrays.append(name)
-        kept = [a for a in arrays if not a.startswith("_")]
-        rows = grouped.select(*place, F.explode(F.arrays_zip("rows", *kept)).alias("r")).select(*place, "r.rows.*", *[F.col(f"r.{a}").alias(a) for a in kept])
+    rows = rows.select(*place, "bar", "ts", *PRICES).repartition(*place).sortWithinPartitions(*place, "bar")
     order = Window.partitionBy(*place).orderBy("bar")
     for e in engines:
         for name, column in e.windows(finite(F.col(e.source)), order).items():
             rows = rows.withColumn(name, column)
+    folded = [n for n in names[len(PRICES) :] if n not in rows.columns]
+    if folded:
+        ship(candles.sparkSession)
+        rows = rows.sortWithinPartitions(*place, "bar")
+        schema = StructType([*rows.schema.fields, *(StructField(n, DoubleType()) for n in folded)])
+        rows = rows.mapInArrow(_fold(engines, place, folded), schema)
     rows = own_bars(rows, chunk)
     return rows.select(*KEY, *PRICES, *[F.col(n).cast(dtype).alias(n) for n in names[len(PRICES) :]])
 
 
+def _fold(engines: tuple[Engine, ...], place: list[str], folded: list[str]):
+    """The Arrow function that adds the recursive columns to sorted bars, one chunk after another."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, place):
+            bounds = run_starts(table, place)
+            sources = {}
+            for e in engines:
+                x = table.column(e.source).to_numpy().astype(float)
+                sources[e.source] = np.where(np.isfinite(x), x, np.nan)
+            parts: dict[str, list[np.ndarray]] = {n: [] for n in folded}
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                for e in engines:
+                    for name, column in e.compute(sources[e.source][lo:hi]).items():
+                        parts[name].append(column)
+            for name in folded:
+                table = table.append_column(name, pa.array(np.concatenate(parts[name]), pa.float64(), from_pandas=True))
+            yield from table.to_batches()
+
+    return apply
+
+
 def first_bars(features: DataFrame, names: list[str]) -> DataFrame:
     """(series, feature, first_bar, first_ts, last_value): where each column begins, by bar, and how it ends."""
     bars = numbered(features)

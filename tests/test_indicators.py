@@ -154,3 +154,12 @@ def test_window_functions(spark):
     got = df.select("ts", moving.sma(F.col("close"), 5, w).alias("a"), moving.stdev(F.col("close"), 5, w).alias("b"), moving.change(F.col("close"), w).alias("c"))
     assert close_to(column(got, "a"), loop_sma(xs, 5)) and close_to(column(got, "b"), loop_stdev(xs, 5), 1e-10)
     assert column(got, "c")[0] is None and column(got, "c")[1] == xs[1] - xs[0]
+
+
+@pytest.mark.parametrize(("n", "length", "lead"), [(0, 3, 0), (2, 3, 0), (3, 3, 0), (200, 3, 0), (200, 14, 5), (129, 1, 1), (65, 64, 0)])
+def test_array_folds_are_the_loop(spark, n, length, lead):
+    xs = [None] * lead + walk(n, seed=n)
+    df = spark.createDataFrame([(xs,)], "xs array<double>").select(moving.ema(F.col("xs"), length).alias("e"), moving.rma(F.col("xs"), length).alias("r"), moving.steps(F.col("xs")).alias("d"))
+    got = df.first()
+    assert list(got.e) == loop_average(xs, length, 2.0 / (length + 1)) and list(got.r) == loop_average(xs, length, 1.0 / length)
+    assert list(got.d) == [None if i == 0 or xs[i] is None or xs[i - 1] is None else xs[i] - xs[i - 1] for i in range(len(xs))]
