@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,40 +82,6 @@ def split_hot(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFr
     return dealt.withColumn("chunk", F.coalesce("_own", F.lit(0).cast("long"))).withColumn("chunks", F.coalesce("_chunks", F.lit(0).cast("long"))).drop("_chunks", "_own")
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of whole runs of equal keys, from batches that are sorted by the keys; the last run of a batch waits."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        new = np.zeros(batch.num_rows, bool)
-        for k in keys:
-            col = np.asarray(batch.column(k))
-            new[1:] |= col[1:] != col[:-1]
-        starts = np.flatnonzero(new)
-        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
-            yield pa.Table.from_batches(held)
-            held = []
-        if len(starts):
-            cut_at = int(starts[-1])
-            yield pa.Table.from_batches([*held, batch.slice(0, cut_at)])
-            held = [batch.slice(cut_at)]
-        else:
-            held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def run_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
-    """Where runs of equal keys begin, and the number of rows at the end."""
-    new = np.zeros(table.num_rows, bool)
-    new[:1] = True
-    for k in keys:
-        col = table.column(k).to_numpy()
-        new[1:] |= col[1:] != col[:-1]
-    return np.append(np.flatnonzero(new), table.num_rows)
-
-
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) for each node of ``edges`` (u, v): the component is its smallest node.
 

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm._shared import arrow_limits, components, cut, run_starts, runs, split_hot
+from candlewright.functions.runs import run_starts, runs
+from candlewright.llm._shared import arrow_limits, components, cut, split_hot
 from candlewright.llm._vectors import cosines, matrix, unit, usable
 
 BLOCKS = 4

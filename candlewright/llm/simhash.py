@@ -18,7 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm._shared import arrow_limits, components, cut, run_starts, runs, split_hot
+from candlewright.functions.runs import run_starts, runs
+from candlewright.llm._shared import arrow_limits, components, cut, split_hot
 
 THRESHOLD = 3
 #: Rows of an anchor that are compared as one; the pairs of larger anchors are dealt out in tiles.
