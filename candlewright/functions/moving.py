@@ -87,4 +87,5 @@ def rma(xs: Column, length: int) -> Column:
 
 def steps(xs: Column) -> Column:
     """The change at each element of an array; null at the first."""
-    return F.zip_with(xs, F.concat(F.array(F.lit(None).cast("double")), F.slice(xs, 1, F.greatest(F.size(xs) - 1, F.lit(0)))), lambda now, before: now - before)
+    before = F.slice(F.concat(F.array(F.lit(None).cast("double")), xs), 1, F.size(xs))
+    return F.zip_with(xs, before, lambda now, last: now - last)
