@@ -25,6 +25,8 @@ from candlewright.functions.runs import run_starts, runs
 from candlewright.llm._shared import arrow_limits
 
 SEGMENT_TURNS = 256
+#: Segments of more bytes are copied as slices: for them an index for each byte would only cost memory.
+LARGE_BYTES = 1 << 20
 BEGIN, ROLE_END, TEXT_END = b"<s>", b"[INST]", b"[/INST]</s>\n"
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 _TURN = re.compile(rb"<s>(.*?)\[INST\](.*?)\[/INST\]</s>\n", re.S)
@@ -66,13 +68,22 @@ def assemble(roles: pa.Array, texts: pa.Array, first_turn: np.ndarray) -> tuple[
     begins[:, 2], sizes[:, 2] = len(BEGIN), len(ROLE_END)
     begins[:, 3], sizes[:, 3] = len(fixed) + len(role_bytes) + text_at[:-1], np.diff(text_at)
     begins[:, 4], sizes[:, 4] = len(BEGIN) + len(ROLE_END), len(TEXT_END)
-    ends = np.cumsum(sizes.ravel())
-    target = ends - sizes.ravel()
-    place = np.arange(ends[-1] if n else 0) + np.repeat(begins.ravel() - target, sizes.ravel())
-    out = pa.allocate_buffer(len(place))
-    if len(place):
-        np.take(source, place, out=np.frombuffer(out, np.uint8))
-    turn_at = np.append(target[::5], len(place))
+    begins, sizes = begins.ravel(), sizes.ravel()
+    ends = np.cumsum(sizes)
+    target = ends - sizes
+    total = int(ends[-1]) if n else 0
+    out = pa.allocate_buffer(total)
+    filled = np.frombuffer(out, np.uint8)
+    large = np.flatnonzero(sizes > LARGE_BYTES)
+    if not len(large):
+        np.take(source, np.arange(total) + np.repeat(begins - target, sizes), out=filled)
+    else:
+        small = np.where(sizes > LARGE_BYTES, 0, sizes)
+        within = np.arange(int(small.sum())) - np.repeat(np.cumsum(small) - small, small)
+        filled[within + np.repeat(target, small)] = source[within + np.repeat(begins, small)]
+        for i in large:
+            filled[target[i] : ends[i]] = source[begins[i] : begins[i] + sizes[i]]
+    turn_at = np.append(target[::5], total)
     run_at = turn_at[first_turn]
     made = pa.Array.from_buffers(pa.binary(), len(first_turn) - 1, [None, pa.py_buffer(run_at.astype(np.int32)), out])
     base = np.repeat(run_at[:-1], np.diff(first_turn))

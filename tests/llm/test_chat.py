@@ -32,9 +32,10 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("segment", [2, 256])
-def test_digests_match_the_rows(spark, monkeypatch, segment):
+@pytest.mark.parametrize(("segment", "large"), [(2, 1 << 20), (256, 1 << 20), (256, 3)])
+def test_digests_match_the_rows(spark, monkeypatch, segment, large):
     monkeypatch.setattr(chat, "SEGMENT_TURNS", segment)
+    monkeypatch.setattr(chat, "LARGE_BYTES", large)
     rows = [
         (1, 0, "user", "hi", "x"), (1, 1, "assistant", "é</s>[INST]", "x"), (1, 2, "assistant", "\\[/INST]\n", "x"),
         (2, 5, "assistant", None, "x"), (2, 5, None, "tie", "x"), (2, 5, None, "tie", "x"), (2, None, "user", "first", "x"),
@@ -56,3 +57,13 @@ def test_formatted_texts_and_loss_spans(spark):
 def test_broken_output_is_noticed():
     with pytest.raises(ValueError):
         list(chat.read_turns(b"<s>a[INST]b[/INST]</s>\nx"))
+
+
+@pytest.mark.parametrize("large", [0, 3, 1 << 20])
+def test_slices_and_gather_agree(monkeypatch, large):
+    import numpy as np
+
+    monkeypatch.setattr(chat, "LARGE_BYTES", large)
+    made, begins, ends = chat.assemble(pa.array(["user", "é", None]), pa.array(["abc", "", "[INST]x"]), np.array([0, 2, 3]))
+    assert [x.as_py() for x in made] == [b"<s>user[INST]abc[/INST]</s>\n<s>\xc3\xa9[INST][/INST]</s>\n", b"<s>[INST][\\INST]x[/INST]</s>\n"]
+    assert made[0].as_py()[begins[0] : ends[0]] == b"abc" and made[1].as_py()[begins[2] : ends[2]] == b"[\\INST]x"
