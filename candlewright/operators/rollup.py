@@ -28,10 +28,12 @@ def rollup(candles: DataFrame, source_minutes: int, target_minutes: int, now_ms:
     if target_minutes <= 0 or source_minutes <= 0:
         return as_candles(candles.limit(0))
     source = candles.where(F.col("timeframe_minutes") == source_minutes)
-    if dedup:
-        source = first_of_key(source)
     minutes = F.lit(target_minutes)
     slotted = source.withColumn("_slot", slot_start(F.col("ts"), minutes))
+    if dedup:
+        # Dealt out by slot once, candles are made unique and rolled up without another shuffle.
+        keyed = slotted.repartition(*KEYS, "_slot").groupBy(*KEYS, "_slot", "ts")
+        slotted = keyed.agg(F.min_by(F.struct(*PRICES), F.struct(*PRICES)).alias("_c")).select(*KEYS, "_slot", "ts", "_c.*")
     made = slotted.groupBy(*KEYS, "_slot").agg(
         F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume")
     )

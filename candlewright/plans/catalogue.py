@@ -568,7 +568,7 @@ def stream_candles_1h(spark, d):
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     # A pattern, since the table may be a file as well as a folder of files.
     ticks = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")
-    made = live.stream_candles(ticks, F.col("event_type"), F.col("ts"), F.col("value"), F.lit(1), [F.col("event_id")], 60)
+    made = live.stream_candles(ticks, F.col("event_type"), F.col("ts"), F.col("value"), F.lit(1), tables.tick_order(tables.micros(F.col("ts")), F.col("event_id")), 60)
     s = store.CandleStore(spark, _folder(spark, "stream-store")).create()
     live.start(made, s, _folder(spark, "stream-checkpoint")).awaitTermination()
     return s.scan().select(BAR)

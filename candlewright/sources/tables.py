@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,22 @@ from candlewright.functions.time import millis, slot_start
 from candlewright.schema import as_candles
 
 
-def candles_from_ticks(ticks: DataFrame, symbol: Column, ts_ms: Column, price: Column, quantity: Column, order: list[Column], minutes: int) -> DataFrame:
-    """One candle for each symbol and slot that has ticks. ``order`` breaks ties of time; it should be total."""
-    rows = ticks.select(symbol.alias("symbol"), ts_ms.alias("_ts"), price.cast("double").alias("_p"), quantity.cast("double").alias("_q"), F.struct(ts_ms, *order).alias("_o"))
+def tick_order(at_us: Column, tie: Column) -> Column:
+    """One number that orders by time in microseconds, then by a whole number.
+
+    It has a fixed width, so first and last prices aggregate by hashing; a struct would make Spark sort all ticks.
+    """
+    return at_us.cast("decimal(18,0)") * F.lit(Decimal(10**20)).cast("decimal(21,0)") + tie.cast("decimal(20,0)")
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds of a timestamp without zone, read as UTC."""
+    return F.unix_micros(ts.cast("timestamp"))
+
+
+def candles_from_ticks(ticks: DataFrame, symbol: Column, ts_ms: Column, price: Column, quantity: Column, order: Column, minutes: int) -> DataFrame:
+    """One candle for each symbol and slot that has ticks. ``order`` is a total order of ticks, best one number."""
+    rows = ticks.select(symbol.alias("symbol"), ts_ms.alias("_ts"), price.cast("double").alias("_p"), quantity.cast("double").alias("_q"), order.alias("_o"))
     made = rows.groupBy("symbol", slot_start(F.col("_ts"), F.lit(minutes)).alias("ts")).agg(
         F.min_by("_p", "_o").alias("open"), F.max("_p").alias("high"), F.min("_p").alias("low"), F.max_by("_p", "_o").alias("close"), F.sum("_q").alias("volume")
     )
@@ -20,15 +35,15 @@ def candles_from_ticks(ticks: DataFrame, symbol: Column, ts_ms: Column, price: C
 
 def event_candles(spark: SparkSession, sf_dir: str, minutes: int) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return candles_from_ticks(e, F.col("event_type"), millis(F.col("ts")), F.col("value"), F.lit(1), [F.col("event_id")], minutes)
+    return candles_from_ticks(e, F.col("event_type"), millis(F.col("ts")), F.col("value"), F.lit(1), tick_order(micros(F.col("ts")), F.col("event_id")), minutes)
 
 
 def lineitem_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
+    order = F.struct(*[F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")])
     return candles_from_ticks(e, F.col("l_returnflag"), millis(F.col("l_shipdate")), F.col("l_extendedprice"), F.col("l_quantity"), order, 1440)
 
 
 def order_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return candles_from_ticks(e, F.col("o_orderstatus"), millis(F.col("o_orderdate")), F.col("o_totalprice"), F.lit(1), [F.col("o_orderkey")], 1440)
+    return candles_from_ticks(e, F.col("o_orderstatus"), millis(F.col("o_orderdate")), F.col("o_totalprice"), F.lit(1), tick_order(micros(F.col("o_orderdate")), F.col("o_orderkey")), 1440)

@@ -17,14 +17,15 @@ from candlewright.session import ship
 from candlewright.sources.store import CandleStore
 
 
-def stream_candles(ticks: DataFrame, symbol: Column, at: Column, price: Column, quantity: Column, order: list[Column], minutes: int, lateness: str = "0 seconds") -> DataFrame:
+def stream_candles(ticks: DataFrame, symbol: Column, at: Column, price: Column, quantity: Column, order: Column, minutes: int, lateness: str = "0 seconds") -> DataFrame:
     """Candles of a stream of ticks, each once, when it is closed: append mode.
 
     The watermark goes by slot starts. It trails by one interval and ``lateness``, so a slot leaves the state once a
-    tick is that far behind its end; later ticks belong to a backfill. Slots may be of any length, as in batch.
+    tick is that far behind its end; later ticks belong to a backfill. Slots may be of any length, as in batch, and
+    ``order`` is a total order of ticks, best one number (``tick_order``).
     """
     ms = millis(at)
-    rows = ticks.select(symbol.alias("symbol"), F.timestamp_millis(slot_start(ms, F.lit(minutes))).alias("slot"), price.cast("double").alias("_p"), quantity.cast("double").alias("_q"), F.struct(at, *order).alias("_o"))
+    rows = ticks.select(symbol.alias("symbol"), F.timestamp_millis(slot_start(ms, F.lit(minutes))).alias("slot"), price.cast("double").alias("_p"), quantity.cast("double").alias("_q"), order.alias("_o"))
     made = rows.withWatermark("slot", f"{minutes} minutes {lateness}").groupBy("symbol", "slot").agg(
         F.min_by("_p", "_o").alias("open"), F.max("_p").alias("high"), F.min("_p").alias("low"), F.max_by("_p", "_o").alias("close"), F.sum("_q").alias("volume")
     )

@@ -104,3 +104,9 @@ def test_slot_series(spark):
     spans = sorted((x.slot_start, x.slot_end) for x in r.slot_series(spark.createDataFrame([(ms(2025, 12, 30), ms(2026, 1, 3))], "start_ts long, end_ts long"), 2880).collect())
     assert spans[-2:] == [(ms(2025, 12, 31), ms(2026, 1, 1)), (ms(2026, 1, 1), ms(2026, 1, 3))]
     assert r.slot_series(spark.createDataFrame([(5, 1)], "start_ts long, end_ts long"), 60).count() == 0
+
+
+def test_one_shuffle_of_the_candles(spark):
+    plan = r.rollup(candles(spark, daily(6)), 1440, 2880)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3  # candles by slot, and the two sides' few rows by series
+    assert "REPARTITION_BY_COL" in plan

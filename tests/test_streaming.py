@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from candlewright.operators import export, indicators
 from candlewright.schema import CANDLES
 from candlewright.sources.store import CandleStore
-from candlewright.sources.tables import candles_from_ticks
+from candlewright.sources.tables import candles_from_ticks, micros, tick_order
 from candlewright.streaming import live
 
 
@@ -14,18 +14,27 @@ def test_stream_emits_closed_slots_as_batch_has_them(spark, tmp_path):
     ticks = spark.range(500).select(F.col("id"), F.concat(F.lit("s"), (F.col("id") % 2)).alias("sym"), F.timestamp_millis(F.lit(JAN_2024) + F.col("id") * 300_000).cast("timestamp_ntz").alias("at"), (F.col("id") % 17).cast("double").alias("p"))
     ticks.coalesce(1).write.parquet(f"{tmp_path}/ticks")
     stream = spark.readStream.schema(ticks.schema).parquet(f"{tmp_path}/ticks")
-    made = live.stream_candles(stream, F.col("sym"), F.col("at"), F.col("p"), F.lit(1), [F.col("id")], 11)
+    made = live.stream_candles(stream, F.col("sym"), F.col("at"), F.col("p"), F.lit(1), tick_order(micros(F.col("at")), F.col("id")), 11)
     store = CandleStore(spark, f"file://{tmp_path}/store").create()
     live.start(made, store, f"{tmp_path}/checkpoint").awaitTermination()
     live.start(made, store, f"{tmp_path}/checkpoint").awaitTermination()  # nothing new: nothing happens
     from candlewright.functions.time import millis
 
-    batch = candles_from_ticks(ticks, F.col("sym"), millis(F.col("at")), F.col("p"), F.lit(1), [F.col("id")], 11)
+    batch = candles_from_ticks(ticks, F.col("sym"), millis(F.col("at")), F.col("p"), F.lit(1), tick_order(micros(F.col("at")), F.col("id")), 11)
     last = batch.agg(F.max("ts")).first()[0]
     want = sorted(map(tuple, batch.where(F.col("ts") + 660_000 <= last).collect()))
     assert sorted(map(tuple, store.scan().collect())) == want and len(want) > 200
 
 
+def test_tick_order_is_by_time_then_number(spark):
+    big = 2**63 - 1
+    rows = [(us, tie) for us in (-5, 0, 1, 1_700_000_000_000_000) for tie in (-big, -1, 0, big)]
+    df = spark.createDataFrame(rows, "us long, tie long").select("us", "tie", tick_order(F.col("us"), F.col("tie")).alias("o"))
+    assert [(r.us, r.tie) for r in df.orderBy("o").collect()] == sorted(rows)
+    plan = candles_from_ticks(df, F.lit("s"), F.col("us"), F.col("tie"), F.lit(1), F.col("o"), 60)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_live_indicators_over_batches(spark, tmp_path):
     xs = walk(120)
     rows = candles(spark, [(JAN_2024 + i * DAY, 0, 0, 0, x, 1) for i, x in enumerate(xs)])
