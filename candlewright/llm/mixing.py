@@ -156,18 +156,21 @@ def mix_documents(df: DataFrame, text: str = "text", key: str = "doc_id", source
     before each. ``n_chars`` follows the text where there is such a column. Rows without words are in no block and go.
     """
     columns = df.columns
-    rows = df.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), F.col(source).alias("source"), F.col(key).alias("key"), word_count(F.col(text)).alias("size"))
-    rows, _ = cut(rows, "mix-rows")
+    rows = df.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), F.col(source).alias("source"), F.col(key).alias("key"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("_print"))
+    # Once written, a row's number is its name: everything but the last join goes without texts.
+    rows, _ = cut(rows.withColumn("_id", F.monotonically_increasing_id()), "mix-rows")
     sources, _ = cut(targets(rows), "targets")
     mix = slots(sources, block, shard)
-    known = rows.where("size > 0").join(sources.select(F.col("source").alias("_source"), "rank"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
-    laid = placed(known.withColumn("_hash", F.xxhash64(F.col("key").cast("string"))), rows.count(), [F.col("key"), F.col("size"), F.xxhash64(F.col(f"_row.{text}"))])
-    narrow = laid.select("rank", "off", "size")
-    cuts = pieces(narrow, mix, [], block).where("last > first")
-    parts = cuts.groupBy("rank", "off", "size", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("parts"), F.sum(F.col("last") - F.col("first")).alias("n"))
-    joined = laid.join(parts.drop("size"), ["rank", "off"])
+    narrow = rows.where("size > 0").select("_id", "source", "key", "size", "_print")
+    known = narrow.join(sources.select(F.col("source").alias("_source"), "rank"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
+    laid = placed(known.withColumn("_hash", F.xxhash64(F.col("key").cast("string"))), rows.count(), [F.col("key"), F.col("size"), F.col("_print")])
+    cuts = pieces(laid, mix, ["_id"], block).where("last > first")
+    parts = cuts.groupBy("_id", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("parts"), F.sum(F.col("last") - F.col("first")).alias("n"))
+    joined = rows.select("_id", "_row", "size").join(parts, "_id")
     words = F.regexp_extract_all(F.col(f"_row.{text}"), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), (p["last"] - p["first"]).cast("int")))), "")
+    # An array of one binds the words, so that a text is cut once and not once for each part.
+    chosen = F.transform(F.array(words), lambda w: F.flatten(F.transform("parts", lambda p: F.slice(w, (p["first"] + 1).cast("int"), (p["last"] - p["first"]).cast("int")))))
+    some = F.array_join(chosen[0], "")
     joined = joined.withColumn("_text", F.when(F.col("n") == F.col("size"), F.col(f"_row.{text}")).otherwise(some))
     kinds = {f.name: f.dataType for f in df.schema.fields}
     new = {text: F.col("_text")} | ({"n_chars": F.length("_text").cast(kinds["n_chars"])} if "n_chars" in columns else {})

@@ -174,8 +174,9 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", width: int
     """
     found = near_duplicates(df, text, key, width)
     heads = found.where(F.col(key) == F.col("component"))
-    heads = heads.groupBy(F.col(key).alias("_head")).agg((F.count("*") > 1).alias("_repeated"))
+    heads, _ = cut(heads.groupBy(F.col(key).alias("_head")).agg((F.count("*") > 1).alias("_repeated")), "heads")
     named = df.join(heads, df[key] == heads["_head"])
-    once = named.where(~F.col("_repeated")).select(df.columns)
-    again = named.where("_repeated").select(df.columns).dropDuplicates([key])
-    return once.unionByName(again).unionByName(df.where(F.col(key).isNull()))
+    kept = named.where(~F.col("_repeated")).select(df.columns).unionByName(df.where(F.col(key).isNull()))
+    if not heads.where("_repeated").limit(1).count():
+        return kept
+    return kept.unionByName(named.where("_repeated").select(df.columns).dropDuplicates([key]))
