@@ -170,13 +170,14 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", width: int
     """The rows of ``df`` with one row of each component: that of the smallest key; all columns stay as they are.
 
     Rows that repeat the kept key count as copies of it, and one of them stays. Rows with a null key cannot be named
-    as the one that stays; they all stay.
+    as the one that stays; they all stay. The keys that go are fewer than those that stay, and a table of them alone
+    is joined: where Spark finds it small by its size, no text is shuffled, else each text is once.
     """
-    found = near_duplicates(df, text, key, width)
-    heads = found.where(F.col(key) == F.col("component"))
-    heads, _ = cut(heads.groupBy(F.col(key).alias("_head")).agg((F.count("*") > 1).alias("_repeated")), "heads")
-    named = df.join(heads, df[key] == heads["_head"])
-    kept = named.where(~F.col("_repeated")).select(df.columns).unionByName(df.where(F.col(key).isNull()))
-    if not heads.where("_repeated").limit(1).count():
+    is_head = F.col(key) == F.col("component")
+    per_key = near_duplicates(df, text, key, width).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count_if(is_head).alias("_heads"))
+    others, _ = cut(per_key.where("_heads <> 1"), "others")
+    kept = df.join(others, df[key] == others["_key"], "left_anti")
+    again = others.where("_heads > 1").select("_key")
+    if not again.limit(1).count():
         return kept
-    return kept.unionByName(named.where("_repeated").select(df.columns).dropDuplicates([key]))
+    return kept.unionByName(df.join(again, df[key] == again["_key"], "left_semi").dropDuplicates([key]))
