@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewright.llm._shared import arrow_limits
+from candlewright.llm._shared import arrow_limits, cut
 from candlewright.llm._vectors import cosines, main_size, matrix, unit, usable
 
 SAMPLE, LEAF, TREES = 20_000, 512, 8
@@ -96,14 +96,17 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
     """(query_id, rank, vec_id, score): for each query its ``k`` nearest found rows by cosine, ties to smaller keys.
 
     Null keys and unusable vectors (null, zero, with null or non-finite components, or of another size than most) take
-    no part, as query or candidate. Rows that share a key are one candidate, and a query's own key is none. A query
-    with fewer than ``k`` candidates gets them all. ``share`` of all rows, counted with repetition over trees, are
-    looked at for each query, ``AT_LEAST`` of them at least.
+    no part, as query or candidate. Rows that share a key are one candidate, whose score is that of its best vector, and
+    a query's own key is none; a query key with several vectors asks by the smallest. A query with fewer than ``k``
+    candidates gets them all. ``share`` of all different rows, counted with repetition over trees, are looked at for each
+    query, ``AT_LEAST`` of them at least.
     """
     spark = arrow_limits(df.sparkSession)
     good = df.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     size = main_size(good, "v")
-    good = good.where(F.size("v") == size)
+    # Repeated rows are one row from here on: they must not fill leaves, the budget or the places of a query.
+    different = good.where(F.size("v") == size).groupBy("id", "v").agg(F.max("q").alias("q"))
+    good, _ = cut(different.withColumn("h", F.xxhash64("id", "v")), "vectors")
     rows = good.count()
     grain = 1 << 24
     picked = good.where(F.pmod(F.xxhash64("id"), F.lit(grain)) < min(1.0, sample / max(rows, 1)) * grain).select("id", "v").orderBy("id").toArrow()
@@ -129,10 +132,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
-                ids = some.column("id").to_numpy()
-                mix = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+                mix = some.column("h").to_numpy() >> 33
                 for t, own in enumerate(shared.value.leaves(matrix(some.column("v"), size)).T):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), t)), pa.array(own), pa.array(mix % parts.value[t, own]), pa.array(np.zeros(len(ids), bool)), some.column("id"), some.column("v")], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(mix), t)), pa.array(own), pa.array(mix % parts.value[t, own]), pa.array(np.zeros(len(mix), bool)), some.column("id"), some.column("v")], names=names)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,22 +169,26 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
 
     layout = "tree long, leaf long, part long, query boolean, id long, v array<float>"
-    asked = good.where("q").dropDuplicates(["id"]).select("id", "v").mapInArrow(ask, layout)
-    met = good.select("id", "v").mapInArrow(index, layout).unionAll(asked).repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part", "query")
+    asked = good.where("q").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(ask, layout)
+    met = good.select("id", "v", "h").mapInArrow(index, layout).unionAll(asked).repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part", "query")
     found = met.mapInArrow(rank, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, held: np.ndarray, k: int) -> list[tuple[np.ndarray, ...]]:
-    """The ``k`` best of some candidates for each query: a product finds who may be, exact cosines decide."""
+    """The ``k`` best of some keys for each query, each by its best row: a product finds who may be, exact cosines decide."""
     rough = unit(queries) @ unit(held).T
     rough[query_ids[:, None] == ids[None, :]] = -np.inf
     out = []
-    bar = np.partition(rough, -min(k, len(ids)), axis=1)[:, -min(k, len(ids))] - 1e-9
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
+    of_key = rough if len(first) == len(ids) else np.maximum.reduceat(rough[:, order], first, axis=1)
+    bar = np.partition(of_key, -min(k, len(first)), axis=1)[:, -min(k, len(first))] - 1e-9
     for i, q in enumerate(query_ids):
         may = np.flatnonzero((rough[i] >= bar[i]) & np.isfinite(rough[i]))
         exact = cosines(np.broadcast_to(queries[i], (len(may), queries.shape[1])), held[may])
-        best = np.lexsort((ids[may], -exact))[:k]
+        ranked = np.lexsort((ids[may], -exact))
+        best = ranked[np.sort(np.unique(ids[may][ranked], return_index=True)[1])[:k]]
         out.append((np.full(len(best), q), ids[may[best]], exact[best]))
     return out

@@ -42,6 +42,24 @@ def test_copies_tie_to_smaller_ids(spark):
     assert [r.vec_id for r in got] == [0, 1, 2, 3, 4] and len({r.score for r in got}) == 1
 
 
+def test_rows_of_one_key_take_one_place(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PART", 20)
+    x = spread(60, 8, 4)
+    near = x[0] + spread(30, 8, 5) * np.float32(0.01)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] * 2  # every row twice
+    rows += [(1, v.tolist(), 0) for v in near] + [(2, near[0].tolist(), 0)] * 30  # many near rows of one key, alike and not
+    got = ann.nearest(frame(spark, rows), F.col("vec_id") % 10 == 0, k=5).collect()
+    for q in range(0, 60, 10):
+        best = {}
+        for i, v, _ in rows:
+            if i != q:
+                best[i] = max(best.get(i, -2), cosines(np.array([x[q]], float), np.array([v], float))[0])
+        want = sorted(best, key=lambda i: (-best[i], i))[:5]
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
+    few = [(i, v.tolist(), 0) for i, v in enumerate(x[:6])] + [(1, x[1].tolist(), 0)] * 4
+    assert ann.nearest(frame(spark, few), F.col("vec_id") == 0, k=5).count() == 5
+
+
 def test_recall_and_exact_scores(spark, monkeypatch):
     monkeypatch.setattr(ann, "AT_LEAST", 500)
     x = spread(3000, 32, 5)
