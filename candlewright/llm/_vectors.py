@@ -14,18 +14,20 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def main_size(df: DataFrame, vector: str) -> int:
-    """The commonest number of components (the smaller of equally common ones); 0 without rows."""
-    sizes = df.groupBy(F.size(vector).alias("d")).agg(F.count("*").alias("n"))
-    first = sizes.orderBy(F.desc("n"), "d").first()
-    return first["d"] if first else 0
+def compared(df: DataFrame, vector: str) -> Column:
+    """A vector column in the precision that it has: of floats as it is, of any other numbers in doubles."""
+    return F.col(vector).cast("array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
-    """The rows of a list column, all of ``size`` components, in double precision."""
+    """The rows of a list column, all of ``size`` components, in double precision.
+
+    Rows of doubles are divided by a power of two, which no cosine sees, so that their squares neither overflow nor vanish.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten(), np.float64).reshape(-1, size)
+    out = np.asarray(column.flatten(), np.float64).reshape(-1, size)
+    return np.ldexp(out, -np.frexp(np.abs(out).max(1))[1][:, None]) if pa.types.is_float64(column.type.value_type) else out
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from candlewright.llm._shared import arrow_limits, cut
-from candlewright.llm._vectors import cosines, main_size, matrix, unit, usable
+from candlewright.llm._vectors import compared, cosines, matrix, unit, usable
 
 SAMPLE, LEAF, TREES = 20_000, 512, 8
 #: Sample points that a node needs to be split.
@@ -95,22 +95,31 @@ class Forest:
 def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float = 1.0, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its ``k`` nearest found rows by cosine, ties to smaller keys.
 
-    Null keys and unusable vectors (null, zero, with null or non-finite components, or of another size than most) take
-    no part, as query or candidate. Rows that share a key are one candidate, whose score is that of its best vector, and
+    Null keys and unusable vectors (null, zero, with null or non-finite components) take no part, as query or candidate.
+    Vectors of one size are compared with each other, in a forest of their own, in the precision of their column. Rows that share a key are one candidate, whose score is that of its best vector, and
     a query's own key is none; a query key with several vectors asks by the smallest. A query with fewer than ``k``
     candidates gets them all. ``share`` of all different rows, counted with repetition over trees, are looked at for each
     query, ``AT_LEAST`` of them at least.
     """
     spark = arrow_limits(df.sparkSession)
-    good = df.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    size = main_size(good, "v")
+    good = df.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), compared(df, vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     # Repeated rows are one row from here on: they must not fill leaves, the budget or the places of a query.
-    different = good.where(F.size("v") == size).groupBy("id", "v").agg(F.max("q").alias("q"))
+    different = good.groupBy("id", "v").agg(F.max("q").alias("q"))
     good, _ = cut(different.withColumn("h", F.xxhash64("id", "v")), "vectors")
-    rows = good.count()
+    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    for size, rows in sorted(good.groupBy(F.size("v")).count().collect()):
+        found = found.unionAll(_found(good.where(F.size("v") == size), size, rows, k, share, trees, leaf, sample))
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(good: DataFrame, size: int, rows: int, k: int, share: float, trees: int, leaf: int, sample: int) -> DataFrame:
+    """(query_id, vec_id, score) of the best of each leaf; good has ``rows`` different rows of one size: id, v, q, h."""
+    spark = good.sparkSession
     grain = 1 << 24
     picked = good.where(F.pmod(F.xxhash64("id"), F.lit(grain)) < min(1.0, sample / max(rows, 1)) * grain).select("id", "v").orderBy("id").toArrow()
-    forest = Forest(matrix(picked.column("v"), size) if rows else np.zeros((0, max(size, 1))), rows, trees, leaf)
+    forest = Forest(matrix(picked.column("v"), size), rows, trees, leaf)
     shared = spark.sparkContext.broadcast(forest)  # at most trees * sample / LEAST hyperplanes
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,12 +177,10 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
 
-    layout = "tree long, leaf long, part long, query boolean, id long, v array<float>"
+    layout = f"tree long, leaf long, part long, query boolean, id long, v {good.schema['v'].dataType.simpleString()}"
     asked = good.where("q").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(ask, layout)
     met = good.select("id", "v", "h").mapInArrow(index, layout).unionAll(asked).repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part", "query")
-    found = met.mapInArrow(rank, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return met.mapInArrow(rank, "query_id long, vec_id long, score double")
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, held: np.ndarray, k: int) -> list[tuple[np.ndarray, ...]]:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.runs import run_starts, runs
 from candlewright.llm._shared import arrow_limits, components, cut, split_hot
-from candlewright.llm._vectors import cosines, matrix, unit, usable
+from candlewright.llm._vectors import compared, cosines, matrix, unit, usable
 
 BLOCKS = 4
 #: Vectors of a cell that are compared as one; the pairs of larger cells are dealt out in tiles.
@@ -126,7 +126,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", ve
     component_id, and is not kept. Rows that repeat a key are rows of their own. An empty table gives no rows.
     """
     spark = arrow_limits(df.sparkSession)
-    rows = df.select(F.col(key).alias("_key"), F.col(label).alias("_label"), F.col(vector).cast("array<float>").alias("_v"))
+    rows = df.select(F.col(key).alias("_key"), F.col(label).alias("_label"), compared(df, vector).alias("_v"))
     able = F.col("_label").isNotNull() & usable(F.col("_v"))
     classes = rows.where(able).groupBy("_label", "_v").agg(F.min("_key").alias("least"), F.count("*").alias("n"))
     classes, _ = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
@@ -183,7 +183,7 @@ def _links_of_size(classes: DataFrame, blocks: Blocks) -> DataFrame:
                 if len(some):
                     yield pa.RecordBatch.from_arrays([pa.array(cid[lo:hi][some]), pa.array(links[some]), pa.array(cid[lo:hi][root[some]])], names=["cid", "links", "root"])
 
-    placed = classes.mapInArrow(place, "lab long, block long, cell long, cid long, n long, _v array<float>")
+    placed = classes.mapInArrow(place, f"lab long, block long, cell long, cid long, n long, _v {classes.schema['_v'].dataType.simpleString()}")
     tiled = split_hot(placed, keys, "cid", CELL_ROWS)
     dealt = tiled.repartition(*keys, "tile").sortWithinPartitions(*keys, "tile")
     return dealt.mapInArrow(join, "cid long, links long, root long")

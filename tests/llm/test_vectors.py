@@ -60,6 +60,23 @@ def test_rows_of_one_key_take_one_place(spark, monkeypatch):
     assert ann.nearest(frame(spark, few), F.col("vec_id") == 0, k=5).count() == 5
 
 
+def test_sizes_are_searched_apart_and_doubles_stay_doubles(spark):
+    x, y = np.random.default_rng(6).normal(size=(12, 8)), np.random.default_rng(7).normal(size=(7, 3))
+    y[1] = y[0] * 1e200
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in [*enumerate(x), *enumerate(y, 100)]], "vec_id long, embedding array<double>, label int")
+    got = ann.nearest(df, F.col("vec_id").isin(0, 100), k=5).orderBy("rank").collect()
+    near = {q: [(r.vec_id, r.score) for r in got if r.query_id == q] for q in (0, 100)}
+    for q, own, first in ((0, x, 0), (100, y, 100)):
+        score = cosines(np.broadcast_to(own[0], own.shape), own / np.abs(own).max(1)[:, None])
+        assert len(near[q]) == 5 and 0 not in {i - first for i, _ in near[q]}
+        np.testing.assert_allclose([s for _, s in near[q]], np.sort(score[1:])[::-1][:5], rtol=1e-12)
+    assert near[100][0][0] == 101
+    apart = [(0, [1.0, 0.0], 0), (1, [1.0, 0.203058551], 0), (2, [1.0, -0.203058549], 0)]  # just below and above the threshold
+    bar = cosines(np.array([[1.0, 0.0]]), np.array([[1.0, 0.20305855]]))[0]
+    linked = embedding_dedup.near_vectors(spark.createDataFrame(apart, df.schema), float(bar)).collect()
+    assert {r.vec_id: r.n_links for r in linked} == {0: 1, 1: 0, 2: 1}
+
+
 def test_recall_and_exact_scores(spark, monkeypatch):
     monkeypatch.setattr(ann, "AT_LEAST", 500)
     x = spread(3000, 32, 5)
