@@ -154,30 +154,48 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", widt
     words have fingerprint 0 and link like others. A null key takes part; its component is the smallest key that is
     not null, or null where there is none. Repeated rows stay. An empty table gives no rows.
     """
+    rows, by_fp = _groups(df, text, key, width)
+    return rows.join(by_fp, "fp").select(F.col("_key").alias(key), "fp", "component", "n_members")
+
+
+def _groups(df: DataFrame, text: str, key: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """Tables (_key, fp) of all rows and (fp, root, component, n_members) of all fingerprints.
+
+    ``root``, the smallest fingerprint that links reach, tells groups apart that have the same smallest key.
+    """
     rows, _ = cut(fingerprints(df.select(F.col(key).alias("_key"), F.col(text).alias("_words")), "_words", ("_key",), width), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("_key").alias("least"), F.count("*").alias("n"))
     found, _ = cut(links(classes), "near")
     joined = components(found)
     linked = joined.withColumnRenamed("node", "fp").join(classes, "fp")
     heads = linked.groupBy("component").agg(F.min("least").alias("head"), F.sum("n").alias("total"))
-    known = linked.select("fp", "component").join(heads, "component").select("fp", "head", "total")
-    by_fp = classes.join(known, "fp", "left").select("fp", F.coalesce("head", "least").alias("component"), F.coalesce("total", "n").alias("n_members"))
+    known = linked.select("fp", "component").join(heads, "component").select("fp", "component", "head", "total")
+    by_fp = classes.join(known, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"), F.coalesce("head", "least").alias("component"), F.coalesce("total", "n").alias("n_members"))
     by_fp, _ = cut(by_fp, "classes")
-    return rows.join(by_fp, "fp").select(F.col("_key").alias(key), "fp", "component", "n_members")
+    return rows, by_fp
 
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 3) -> DataFrame:
     """The rows of ``df`` with one row of each component: that of the smallest key; all columns stay as they are.
 
-    Rows that repeat the kept key count as copies of it, and one of them stays. Rows with a null key cannot be named
-    as the one that stays; they all stay. The keys that go are fewer than those that stay, and a table of them alone
-    is joined: where Spark finds it small by its size, no text is shuffled, else each text is once.
+    Where rows of one group repeat its smallest key, one of them stays: of the smallest fingerprint, then of the smallest
+    text, then by the other columns that have an order. A key that is the smallest of several groups stays once in each.
+    Rows with a null key cannot be named as the one that stays; they all stay. Keys with one row are decided by a
+    join with a table of the keys that go: where Spark finds it small by its size, no text is shuffled, else each text is
+    once. Only of keys that stay and have several rows are texts read again for their fingerprints.
     """
-    is_head = F.col(key) == F.col("component")
-    per_key = near_duplicates(df, text, key, width).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count_if(is_head).alias("_heads"))
-    others, _ = cut(per_key.where("_heads <> 1"), "others")
+    rows, by_fp = _groups(df, text, key, width)
+    near = rows.where("_key IS NOT NULL").join(by_fp, "fp")
+    per_key = near.groupBy("_key").agg(F.count_if(F.col("_key") == F.col("component")).alias("_heads"), F.count("*").alias("_rows"))
+    others, _ = cut(per_key.where("_heads = 0 OR _rows > 1"), "others")
     kept = df.join(others, df[key] == others["_key"], "left_anti")
-    again = others.where("_heads > 1").select("_key")
+    again = others.where("_heads > 0").select("_key")
     if not again.limit(1).count():
         return kept
-    return kept.unionByName(df.join(again, df[key] == again["_key"], "left_semi").dropDuplicates([key]))
+    stay = near.where(F.col("_key") == F.col("component")).join(again, "_key").groupBy("_key", "root").agg(F.min("fp").alias("fp")).select("_key", "fp")
+    own = [f"_c{i}" for i in range(len(df.columns))]
+    ordered = [c for c, f in zip(own, df.schema, strict=True) if f.name != text and "map<" not in f.dataType.simpleString()]
+    named = df.select(F.col(key).alias("_key"), F.col(text).alias("_words"), *[F.col(f"`{c}`").alias(o) for c, o in zip(df.columns, own, strict=True)])
+    several = fingerprints(named.join(again, "_key", "left_semi"), "_words", ("_key", "_words", *own), width).join(stay, ["_key", "fp"], "left_semi")
+    one = several.groupBy("_key", "fp").agg(F.min_by(F.struct(*own), F.struct("_words", *ordered)).alias("_row"))
+    return kept.unionByName(one.select(*[F.col(f"_row.{o}").alias(c) for c, o in zip(df.columns, own, strict=True)]))

@@ -119,6 +119,14 @@ def test_keep_one(spark):
     assert [r.doc_id for r in simhash.keep_one(repeated).collect()] == [3]
 
 
+def test_keep_one_where_keys_clash(spark):
+    a, b, c = words(60, 21), words(60, 22), words(60, 23)
+    rows = [doc(1, a), doc(2, a), doc(2, b), doc(3, b), doc(5, c), doc(5, words(60, 24)), doc(5, c, "bb"), doc(5, c), doc(6, c)]
+    kept = simhash.keep_one(docs(spark, rows)).collect()
+    # 2 is a copy of 1 and the head of another group; 5 is the head of two groups and is there three times in one.
+    assert sorted((r.doc_id, r.text, r.lang) for r in kept) == sorted([(1, a, "aa"), (2, b, "aa"), (5, c, "aa"), (5, words(60, 24), "aa")])
+
+
 def test_components(spark):
     e = [(1, 2), (2, 3), (3, 1), (10, 11), (5, 5), (None, 4), (11, 10), *[(k, k + 1) for k in range(100, 160)], *[(200, k) for k in range(201, 260)]]
     got = {r.node: r.component for r in _shared.components(spark.createDataFrame(e, "u long, v long")).collect()}
