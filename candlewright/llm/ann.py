@@ -118,7 +118,7 @@ def _found(good: DataFrame, size: int, rows: int, k: int, share: float, trees: i
     """(query_id, vec_id, score) of the best of each leaf; good has ``rows`` different rows of one size: id, v, q, h."""
     spark = good.sparkSession
     grain = 1 << 24
-    picked = good.where(F.pmod(F.xxhash64("id"), F.lit(grain)) < min(1.0, sample / max(rows, 1)) * grain).select("id", "v").orderBy("id").toArrow()
+    picked = good.where(F.pmod("h", F.lit(grain)) < min(1.0, sample / max(rows, 1)) * grain).select("id", "v").orderBy("id", "v").toArrow()
     forest = Forest(matrix(picked.column("v"), size), rows, trees, leaf)
     shared = spark.sparkContext.broadcast(forest)  # at most trees * sample / LEAST hyperplanes
 

@@ -6,7 +6,8 @@ string is left there and reading turns it back. For a batch of turns the segment
 for every output byte its place in the source, and one gather fills one preallocated Arrow buffer.
 
 A conversation is formatted in segments of ``SEGMENT_TURNS`` turn numbers, so a conversation of any length is spread
-over tasks and no task holds more than a segment.
+over tasks. Turn numbers that are null or repeated can give a segment any number of rows, so a task makes it in parts of
+at most ``PART_ROWS`` rows and about ``PART_BYTES`` bytes, in their order, and holds no more than a part.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.functions.runs import run_starts, runs
+from candlewright.functions.runs import run_starts
 from candlewright.llm._shared import arrow_limits
 
 SEGMENT_TURNS = 256
+#: Most rows of a part of a segment, and the bytes of roles and texts that end it.
+PART_ROWS, PART_BYTES = 4096, 8 << 20
 #: Segments of more bytes are copied as slices: for them an index for each byte would only cost memory.
 LARGE_BYTES = 1 << 20
 BEGIN, ROLE_END, TEXT_END = b"<s>", b"[INST]", b"[/INST]</s>\n"
@@ -91,9 +94,9 @@ def assemble(roles: pa.Array, texts: pa.Array, first_turn: np.ndarray) -> tuple[
 
 
 def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, segment, n_turns, formatted, loss_starts, loss_ends): the text of each segment of a conversation.
+    """(conv_id, segment, part, n_turns, formatted, loss_starts, loss_ends): the text of each part of a conversation.
 
-    The formatted conversation is its segments' texts in their order. The loss spans are the code points of the texts
+    The formatted conversation is the texts of its segments and their parts in their order. The loss spans are the code points of the texts
     of ``assistant`` turns, as they stand there, with escapes. Turns go by number; rows that share a number go by
     role and text, and null numbers come first. Null roles and texts are empty, null conversations are one of
     their own, repeated rows are turns again, other columns stay behind.
@@ -111,7 +114,7 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "_turn", "_role", "_text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs(batches, keys):
+        for number, table in _parts(batches, keys):
             for part in table.combine_chunks().to_batches():
                 bounds = run_starts(pa.Table.from_batches([part]), keys)
                 roles, texts = part.column("_role"), part.column("_text")
@@ -125,9 +128,35 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
                     starts.append(points[begins[own]])
                     stops.append(points[ends[own]])
                 first = pa.array(bounds[:-1])
-                yield pa.RecordBatch.from_arrays([part.column("conv_id").take(first), part.column("segment").take(first), pa.array(np.diff(bounds)), made.cast(pa.string()), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, stops))], names=["conv_id", "segment", "n_turns", "formatted", "loss_starts", "loss_ends"])
-
-    return rows.mapInArrow(apply, "conv_id long, segment long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>")
+                yield pa.RecordBatch.from_arrays([part.column("conv_id").take(first), part.column("segment").take(first), pa.array(np.full(len(first), number)), pa.array(np.diff(bounds)), made.cast(pa.string()), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, stops))], names=["conv_id", "segment", "part", "n_turns", "formatted", "loss_starts", "loss_ends"])
+
+    return rows.mapInArrow(apply, "conv_id long, segment long, part long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>")
+
+
+def _parts(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[int, pa.Table]]:
+    """(0, table of whole runs) of sorted batches; a run that grows beyond the limits comes in parts 0, 1, ... instead."""
+    held: list[pa.RecordBatch] = []
+    rows = size = number = 0
+    for batch in batches:
+        for some in (batch.slice(at, PART_ROWS) for at in range(0, batch.num_rows, PART_ROWS)):
+            bounds = run_starts(pa.Table.from_batches([some]), keys)
+            same = bool(held) and all(held[-1].column(k)[-1] == some.column(k)[0] for k in keys)
+            if held and (not same or rows + bounds[1] > PART_ROWS or size >= PART_BYTES):
+                yield number, pa.Table.from_batches(held)
+                number = number + 1 if same else 0
+                held, rows, size = [], 0, 0
+            if len(bounds) > 2:
+                # The first run ends here and may be a later part; the last one may go on.
+                yield number, pa.Table.from_batches([*held, some.slice(0, bounds[1])])
+                if len(bounds) > 3:
+                    yield 0, pa.Table.from_batches([some.slice(bounds[1], bounds[-2] - bounds[1])])
+                held, rows, size, number = [], 0, 0, 0
+            last = some.slice(bounds[-2])
+            held.append(last)
+            rows += last.num_rows
+            size += sum(last.column(c).nbytes for c in ("_role", "_text"))
+    if held:
+        yield number, pa.Table.from_batches(held)
 
 
 def read_turns(formatted: bytes) -> Iterator[tuple[bytes, bytes]]:
@@ -145,11 +174,11 @@ def read_turns(formatted: bytes) -> Iterator[tuple[bytes, bytes]]:
 def digests(formatted: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from the output.
 
-    A conversation's segments pass in order through two running digests, so a task holds one batch of segments.
+    The parts of a conversation pass in order through two running digests, so a task holds one batch of them.
     """
     arrow_limits(formatted.sparkSession)
     rows = formatted.withColumn("_null", F.col("conv_id").isNull().cast("int")).withColumn("_conv", F.coalesce("conv_id", F.lit(-(2**63))))
-    rows = rows.repartition("_conv", "_null").sortWithinPartitions("_conv", "_null", "segment").select("conv_id", "formatted", "loss_starts", "loss_ends")
+    rows = rows.repartition("_conv", "_null").sortWithinPartitions("_conv", "_null", "segment", "part").select("conv_id", "formatted", "loss_starts", "loss_ends")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

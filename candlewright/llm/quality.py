@@ -185,10 +185,11 @@ class Model:
 
 
 def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", max_docs: int = MAX_DOCS) -> Model:
-    """A model from about ``max_docs`` rows of ``df`` that ``labels`` marks 0 or 1, all of them where there are fewer.
+    """A model from about ``max_docs`` keys of ``df`` that ``labels`` marks 0 or 1, all of them where there are fewer.
 
     Held-out rows (crc32 of the key as text divisible by 5), null keys, texts and labels do not take part, and a key
-    that ``labels`` marks twice counts with its smallest label. A document longer than ``MAX_PASSAGES`` passages
+    that ``labels`` marks twice counts with its smallest label. A key teaches once, whatever rows repeat it: by its
+    smallest text that is not empty. A document longer than ``MAX_PASSAGES`` passages
     teaches with that many, spread evenly over the whole of it.
     """
     spark = arrow_limits(df.sparkSession)
@@ -198,7 +199,8 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
         return Model()
     grain = 1 << 24
     marks = marks.where(F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(grain)) < min(1.0, max_docs / many) * grain)
-    rows = df.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(marks), "_key")
+    rows = df.where(F.col(text) != "").select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(marks), "_key")
+    rows = rows.groupBy("_key").agg(F.min("_text").alias("_text"), F.min("_label").alias("_label"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -54,6 +54,28 @@ def test_formatted_texts_and_loss_spans(spark):
     assert chat.digests(chat.format_chat(frame(spark, []))).count() == 0
 
 
+@pytest.mark.parametrize(("rows_at_once", "size"), [(3, 8 << 20), (7, 8 << 20), (4096, 1)])
+def test_parts_are_bounded_and_in_order(monkeypatch, rows_at_once, size):
+    monkeypatch.setattr(chat, "PART_ROWS", rows_at_once)
+    monkeypatch.setattr(chat, "PART_BYTES", size)
+    runs = [0] * 20 + [1, 2] + [3] * 11 + [4] + [5] * 4
+    rows = pa.record_batch([pa.array(runs), pa.array([f"r{i}" for i in range(len(runs))]), pa.array(["text"] * len(runs))], names=["k", "_role", "_text"])
+    made = list(chat._parts(iter([rows.slice(i, 5) for i in range(0, len(runs), 5)]), ["k"]))
+    assert [r for _, t in made for r in t.column("_role").to_pylist()] == rows.column("_role").to_pylist()
+    seen = [(k, n) for n, t in made for k in sorted(set(t.column("k").to_pylist()))]
+    assert seen == sorted(set(seen)) and {k for k, _ in seen} == {0, 1, 2, 3, 4, 5}
+    assert all(n == 0 or len(set(t.column("k").to_pylist())) == 1 for n, t in made)
+    assert all(t.num_rows <= min(rows_at_once, 10) for _, t in made)
+
+
+def test_many_turns_of_one_number(spark):
+    rows = [(1, None if i % 3 else 7, "assistant" if i % 2 else "user", f"text {i % 1717} é", "") for i in range(15_000)]
+    made = chat.format_chat(frame(spark, rows)).collect()
+    assert sum(r.n_turns for r in made) == 15_000 and max(r.n_turns for r in made) <= chat.PART_ROWS
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(chat.format_chat(frame(spark, rows))).collect()}
+    assert got == expected(rows)
+
+
 def test_broken_output_is_noticed():
     with pytest.raises(ValueError):
         list(chat.read_turns(b"<s>a[INST]b[/INST]</s>\nx"))

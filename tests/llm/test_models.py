@@ -193,3 +193,11 @@ def test_gradient_is_that_of_the_loss():
             down = loss()
             flat[at] = keep
             assert g[k].reshape(-1)[at] == pytest.approx((up - down) / (2 * eps), abs=1e-6), k
+
+
+def test_a_repeated_key_teaches_once(spark):
+    rows = [doc(i, words(60, i, "aa" if i % 2 else "bb")) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    again = [doc(i, t) for i, t in [(1, rows[1][1])] * 60 + [(1, f"zz {rows[1][1]} {k}") for k in range(60)] + [(1, "")]]
+    once, many = (quality.fit(docs(spark, r), labels) for r in (rows, rows + again))
+    assert all(np.array_equal(once.p[k], many.p[k]) for k in once.p)
