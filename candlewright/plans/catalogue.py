@@ -6,7 +6,6 @@ daily candles of the orders by status. Prices that went through averages are rou
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +19,7 @@ from candlewright.operators import export, gaps, indicators, intervals, rollup
 from candlewright.operators.series import numbered
 from candlewright.schema import CANDLES, PRICES, SERIES, as_candles
 from candlewright.sources import config, payloads, rest, store, tables
+from candlewright.sources.files import app_folder
 from candlewright.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -513,12 +513,8 @@ def millis_text(spark, d):
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share: below spark.checkpoint.dir, or an own one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="candlewright-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/candlewright/{name}-{uuid.uuid4().hex}"
+    """A fresh folder that driver and executors share."""
+    return f"{app_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("store_round_trip", ORACLE_SQL["upsert_last_wins"])
@@ -578,7 +574,7 @@ def stream_candles_1h(spark, d):
 def stream_features(spark, d):
     """The indicators of a stream of candles, bar by bar with a few numbers of state; as in batch."""
     source, out = _folder(spark, "bars"), _folder(spark, "live")
-    lines(spark, d).repartition(1).sortWithinPartitions("ts").write.parquet(source)
+    lines(spark, d).write.parquet(source)
     made = live.live_features(spark.readStream.schema(CANDLES).parquet(source))
     made.writeStream.outputMode("append").option("checkpointLocation", _folder(spark, "live-checkpoint")).option("path", out).format("parquet").trigger(availableNow=True).start().awaitTermination()
     names = live.LiveIndicators().names()
