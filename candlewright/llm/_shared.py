@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.session import ship
+from candlewright.sources.files import app_folder, drop_path, written
 
 #: Bytes and rows of an Arrow batch that goes to a Python worker, so that two workers stay small beside the JVM.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
@@ -24,25 +22,9 @@ def arrow_limits(spark: SparkSession) -> SparkSession:
     return ship(spark)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is unset, an own one."""
-    configured = spark.conf.get("spark.checkpoint.dir", "")
-    if not configured:
-        configured = "file://" + tempfile.mkdtemp(prefix="candlewright-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
-
-
-def hadoop_fs(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path as its class."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
 def own_dir(spark: SparkSession) -> str:
     """The application's folder in the shared one."""
-    return f"{shared_dir(spark)}/candlewright/{spark.sparkContext.applicationId}"
+    return app_folder(spark)
 
 
 def clear_tables(spark: SparkSession) -> None:
@@ -52,15 +34,15 @@ def clear_tables(spark: SparkSession) -> None:
 
 def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it again: ends the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return written(df, name)
+
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt to as many tasks as shuffles have, for few rows of which many are made.
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    fs, where = hadoop_fs(spark, path)
-    fs.delete(where, True)
+    A number that is given stays; without one, Spark merges small partitions and one task would make all.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def split_hot(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFrame:

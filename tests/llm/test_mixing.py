@@ -80,6 +80,7 @@ def test_report(spark, block):
 def test_slots_fill_shards_and_follow_the_targets(spark):
     df = spark.createDataFrame([("a", 40_000), ("b", 30_000), ("c", 30_000)], "source string, size long")
     mix = m.slots(m.targets(df), block=10, shard=500).collect()
+    assert sorted((r["rank"], r["pass"], r.block) for r in mix) == sorted({(r["rank"], r["pass"], r.block) for r in mix})
     per = defaultdict(Counter)
     for r in mix:
         per[r.shard][r["rank"]] += 1
@@ -96,6 +97,57 @@ def test_slots_fill_shards_and_follow_the_targets(spark):
         assert max(n) - min(n) <= 1
 
 
+def test_slots_are_made_by_many_tasks(spark):
+    df = spark.createDataFrame([("a", 400_000_000), ("b", 300_000_000), ("c", 100_000_000), ("d", 40)], "source string, size long")
+    per = m.slots(m.targets(df)).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("shard").alias("s")).collect()
+    n = sorted(r.n for r in per)
+    assert sum(n) >= 1_500_000 and len(n) >= spark.sparkContext.defaultParallelism and n[-1] <= 3 * n[len(n) // 2]
+
+
+@pytest.mark.parametrize("sizes", [[5], [1000], [700, 300, 1], [1, 1, 1, 1, 100_000], [50_000, 40_000, 30], [33, 0, 2000]])
+def test_shard_counts_are_drawn_to_the_totals(spark, sizes):
+    df = spark.createDataFrame(list(enumerate(sizes)), "rank long, slots long")
+    got = m.shard_counts(df, shard=100).orderBy("shard").collect()
+    assert [r.shard for r in got] == list(range(-(-sum(sizes) // 100))) and all(r.t == sum(r.n) == 100 for r in got[:-1])
+    at = [0] * len(sizes)
+    for r in got:
+        assert r.before == at and min(r.n) >= 0
+        at = [a + b for a, b in zip(at, r.n, strict=True)]
+    assert at == sizes
+    assert m.shard_counts(df.repartition(3), shard=100).orderBy("shard").collect() == got
+    assert len(sizes) < 2 or len(got) < 50 or m.shard_counts(df, shard=100, seed=12).orderBy("shard").collect() != got
+
+
+def test_draws_have_the_mean_and_spread_of_the_law(spark):
+    n, t, left = 600, 2000, 700
+    rows = spark.range(4000)
+    for few in (n, 20, t - 20):
+        d = rows.select(m._drawn(F.lit(few).cast("long"), F.lit(t).cast("long"), F.lit(left).cast("long"), [F.col("id")]).alias("d")).agg(F.avg("d"), F.stddev("d"), F.min("d"), F.max("d")).first()
+        sd = (left * few / t * (1 - few / t) * (t - left) / (t - 1)) ** 0.5
+        assert abs(d[0] - few * left / t) < 5 * sd / 4000**0.5 and abs(d[1] / sd - 1) < 0.06 and d[2] >= max(0, left - t + few) and d[3] <= min(few, left)
+
+
+def test_too_many_sources_raise(spark):
+    df = spark.range(m.MAX_SOURCES + 1).select(F.col("id").alias("rank"), F.lit(1).cast("long").alias("slots"))
+    with pytest.raises(ValueError, match="sources"):
+        m.shard_counts(df)
+
+
+def test_many_rows_of_one_key_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(m, "BUCKET_ROWS", 3)
+    rows = [doc(None, words(5, 1)) for _ in range(300)] + [doc(i, words(5 + i % 3, i), source="s1") for i in range(40)]
+    df = docs(spark, rows)
+    got = m.mix_report(df, block=4, shard=8).collect()
+    assert len(got) == 340 and all(r.taken <= 3 * r.size for r in got)
+    for source in ("s0", "s1"):
+        own = [r for r in got if (r.doc_id is None) == (source == "s0")]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 0.5
+    assert sorted(map(str, m.mix_report(df.repartition(5), block=4, shard=8).collect())) == sorted(map(str, got))
+    assert sum(len(r.text.split()) for r in m.mix_documents(df, block=4, shard=8).collect()) == sum(r.taken for r in got)
+    laid = m.placed(spark.range(1000).select(F.lit(0).alias("rank"), F.lit(2).alias("size"), F.lit(7).cast("long").alias("_hash"), F.col("id").alias("_id")), 1000, [F.col("size")])
+    assert sorted(r.off for r in laid.collect()) == list(range(0, 2000, 2))
+
+
 def test_mixed_documents(spark):
     rows = corpus(3)
     df = clashing(docs(spark, rows))
