@@ -4,7 +4,9 @@ Each tree halves the space again and again: a node's hyperplane is the differenc
 its threshold the median of their projections. The trees are fitted on a bounded sample of ``SAMPLE`` vectors and every
 vector is indexed: it goes down each tree to one leaf. A query keeps one priority queue over all trees, of nodes by
 how far beyond hyperplanes they lie, and takes leaves from it until those hold ``share`` of all rows, counted with
-repetition. Leaves meet their queries by a shuffle on (tree, leaf), where exact cosines rank the candidates.
+repetition. Unless it is given, the share is measured: the smallest one at which ``RECALL`` of the nearest sample
+vectors of sample vectors are found. All rows lie closer together than the sample, so their neighbours are found as
+well or better. Leaves meet their queries by a shuffle on (tree, leaf), where exact cosines rank the candidates.
 
 The depth follows the number of rows, so that leaves hold about ``LEAF`` of them, up to what the sample can split.
 """
@@ -28,6 +30,8 @@ SAMPLE, LEAF, TREES = 20_000, 512, 8
 LEAST = 4
 #: Rows of a leaf that are held at once; larger leaves are dealt out in parts, each of which meets all its queries.
 PART = 4096
+#: What part of the nearest ones a search should find, and how many sample vectors measure that.
+RECALL, PROBES = 0.95, 192
 #: Candidates that each query gets at least, if there are as many.
 AT_LEAST = 4096
 
@@ -71,35 +75,65 @@ class Forest:
             out[:, t] = node - ((1 << self.depth) - 1)
         return out
 
-    def search(self, x: np.ndarray, counts: np.ndarray, budget: int) -> list[tuple[int, int]]:
-        """(tree, leaf) in the order of the shared queue, until the leaves hold ``budget`` rows; counts by tree, leaf."""
+    def visits(self, x: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(tree, leaf) of all leaves that hold rows, in the order of the shared queue; counts by tree, leaf."""
         inner = (1 << self.depth) - 1
         x = unit(x[None])[0]
         margins = (self.normals @ x - self.thresholds) if inner else np.zeros((self.trees, 0))
         queue = [(0.0, t, 0) for t in range(self.trees)]
-        found, held = [], 0
-        while queue and held < budget:
+        while queue:
             beyond, t, node = heapq.heappop(queue)
             while node < inner:
                 m = margins[t, node]
                 near = 2 * node + 1 + (m > 0)
                 heapq.heappush(queue, (max(beyond, abs(m)), t, 4 * node + 3 - near))
                 node = near
-            leaf = node - inner
-            if counts[t, leaf]:
-                found.append((t, leaf))
-                held += int(counts[t, leaf])
-        return found
+            if counts[t, node - inner]:
+                yield t, node - inner
 
+    def search(self, x: np.ndarray, counts: np.ndarray, budget: int) -> list[tuple[int, int]]:
+        """The first leaves of the queue, until they hold ``budget`` rows."""
+        found, held = [], 0
+        for t, leaf in self.visits(x, counts):
+            if held >= budget:
+                break
+            found.append((t, leaf))
+            held += int(counts[t, leaf])
+        return found
 
-def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float = 1.0, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
+    def budget_for(self, sample: np.ndarray, counts: np.ndarray, k: int, recall: float = RECALL, probes: int = PROBES) -> int:
+        """Rows that a search must look at to find ``recall`` of the ``k`` nearest sample vectors of sample vectors."""
+        if len(sample) < 2:
+            return 0
+        x, leaves = unit(sample), self.leaves(sample)
+        needed = []
+        for i in np.unique(np.linspace(0, len(x) - 1, probes).astype(int)):
+            along = x @ x[i]
+            along[i] = -np.inf
+            near = np.argpartition(-along, min(k, len(x) - 1) - 1)[: min(k, len(x) - 1)]
+            wanted: dict[tuple[int, int], set[int]] = {}
+            for j in near:
+                for t in range(self.trees):
+                    wanted.setdefault((t, int(leaves[j, t])), set()).add(int(j))
+            left, held = set(near.tolist()), 0
+            for place in self.visits(sample[i], counts):
+                for j in wanted.get(place, set()) & left:
+                    needed.append(held + 1)
+                    left.discard(j)
+                if not left:
+                    break
+                held += int(counts[place])
+        return sorted(needed)[int(np.ceil(recall * len(needed))) - 1]
+
+
+def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float | None = None, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its ``k`` nearest found rows by cosine, ties to smaller keys.
 
     Null keys and unusable vectors (null, zero, with null or non-finite components) take no part, as query or candidate.
     Vectors of one size are compared with each other, in a forest of their own, in the precision of their column. Rows that share a key are one candidate, whose score is that of its best vector, and
     a query's own key is none; a query key with several vectors asks by the smallest. A query with fewer than ``k``
     candidates gets them all. ``share`` of all different rows, counted with repetition over trees, are looked at for each
-    query, ``AT_LEAST`` of them at least.
+    query, ``AT_LEAST`` of them at least; None measures the share on the sample.
     """
     spark = arrow_limits(df.sparkSession)
     good = df.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), compared(df, vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
@@ -114,12 +148,13 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _found(good: DataFrame, size: int, rows: int, k: int, share: float, trees: int, leaf: int, sample: int) -> DataFrame:
+def _found(good: DataFrame, size: int, rows: int, k: int, share: float | None, trees: int, leaf: int, sample: int) -> DataFrame:
     """(query_id, vec_id, score) of the best of each leaf; good has ``rows`` different rows of one size: id, v, q, h."""
     spark = good.sparkSession
     grain = 1 << 24
     picked = good.where(F.pmod("h", F.lit(grain)) < min(1.0, sample / max(rows, 1)) * grain).select("id", "v").orderBy("id", "v").toArrow()
-    forest = Forest(matrix(picked.column("v"), size), rows, trees, leaf)
+    points = matrix(picked.column("v"), size)
+    forest = Forest(points, rows, trees, leaf)
     shared = spark.sparkContext.broadcast(forest)  # at most trees * sample / LEAST hyperplanes
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +169,8 @@ def _found(good: DataFrame, size: int, rows: int, k: int, share: float, trees: i
     totals = good.select("v").mapInArrow(tally, "tree long, leaf long, n long").groupBy("tree", "leaf").agg(F.sum("n").alias("n")).toArrow()
     counts[totals.column("tree").to_numpy(), totals.column("leaf").to_numpy()] = totals.column("n").to_numpy()
     parts = spark.sparkContext.broadcast(-(-counts // PART))  # as many numbers as the forest has leaves
-    leaf_counts, budget = spark.sparkContext.broadcast(counts), max(AT_LEAST, int(share * rows))
+    looked_at = forest.budget_for(points, counts, k) if share is None else int(share * rows)
+    leaf_counts, budget = spark.sparkContext.broadcast(counts), max(AT_LEAST, looked_at)
     names = ["tree", "leaf", "part", "query", "id", "v"]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,8 @@ BLOCKS = 4
 CELL_ROWS = 4096
 #: Rows of a label that need no more than one dimension cut into cells; each further one is for 2.2 times as many.
 DENSE, THINNING = 8192, 2.2
+#: The narrowest cells, so that a dimension from -1 to 1 has fewer than the 4096 that ``_pack`` can tell apart.
+LEAST_WIDTH = 2.0**-10
 
 
 class Blocks:
@@ -49,7 +51,8 @@ class Blocks:
     def low_cells(self, y: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
         """The lowest and highest cell of each vector in each cut dimension of a block."""
         at, r = y[:, self.blocks[block].start : self.blocks[block].start + self.cut_dims], np.sqrt(self.shares[block])
-        return np.floor((at - r / 2) / r - 1e-9).astype(np.int64), np.floor((at + r / 2) / r + 1e-9).astype(np.int64)
+        width = max(r, LEAST_WIDTH)  # cells may be wider than the radius, and their numbers must be packed
+        return np.floor((at - r / 2) / width - 1e-9).astype(np.int64), np.floor((at + r / 2) / width + 1e-9).astype(np.int64)
 
     def cells(self, y: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, packed cell) for every cell of every vector in a block."""

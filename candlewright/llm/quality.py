@@ -184,13 +184,13 @@ class Model:
         return {"E": scaled.T @ dh, "e": dh.sum(0), "V": h.T @ dv, "U": h.T @ du, "w": (v * u).T @ ds, "o": z.T @ dy, "b": dy.sum(keepdims=True)}
 
 
-def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", max_docs: int = MAX_DOCS) -> Model:
+def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", max_docs: int = MAX_DOCS, max_passages: int = MAX_PASSAGES) -> Model:
     """A model from about ``max_docs`` keys of ``df`` that ``labels`` marks 0 or 1, all of them where there are fewer.
 
     Held-out rows (crc32 of the key as text divisible by 5), null keys, texts and labels do not take part, and a key
     that ``labels`` marks twice counts with its smallest label. A key teaches once, whatever rows repeat it: by its
-    smallest text that is not empty. A document longer than ``MAX_PASSAGES`` passages
-    teaches with that many, spread evenly over the whole of it.
+    smallest text that is not empty. A document longer than ``max_passages`` passages
+    teaches with that many, spread evenly over the whole of it, so the driver gets ``max_docs * max_passages`` of them.
     """
     spark = arrow_limits(df.sparkSession)
     marks = labels.where(F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0).where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_label"))
@@ -207,7 +207,7 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
             data, starts, ends, row = passages(batch.column("_text"))
             for i in np.unique(row):
                 own = np.flatnonzero(row == i)
-                own = own[np.unique(np.linspace(0, len(own) - 1, min(len(own), MAX_PASSAGES)).astype(int))]
+                own = own[np.unique(np.linspace(0, len(own) - 1, min(len(own), max_passages)).astype(int))]
                 x = np.concatenate([passage_features(data, starts[[j]], ends[[j]]) for j in own])
                 yield pa.RecordBatch.from_arrays([batch.column("_key").slice(i, 1), batch.column("_label").slice(i, 1), pa.array([x.tobytes()], pa.binary())], names=["k", "y", "x"])
 

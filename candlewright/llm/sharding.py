@@ -2,12 +2,13 @@
 
 A store is a folder: ``data`` has immutable Parquet shards, ``manifests`` a table of shards for each version, and
 ``commits`` one small file a version, which names its manifest. A version exists when its file does: the file is
-written aside and renamed to a name that must be free, so of two writers one wins and the other starts again from the
+written aside and takes a name that must be free, so of two writers one wins and the other starts again from the
 new version. Readers take the files of one version and never see half of a change.
 
 Arrivals become shards as they come, one for each of the partitions that they come in. Compaction sorts small shards
 into tiers, each ``fanout`` times as large as the one below, and packs the shards of a tier, oldest first, into equal
-runs of about ``target`` bytes; each run is rewritten as one shard. Old files stay until ``vacuum``.
+runs of about ``target`` bytes; each run is rewritten as one shard. Old files stay until ``vacuum``, which also takes
+away what writers left behind that never committed.
 
 The driver handles the names of files, of which there are as many as the data have multiples of ``target`` bytes and
 ``MAX_FILES`` more, but no rows.
@@ -16,19 +17,23 @@ The driver handles the names of files, of which there are as many as the data ha
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 from pyspark.sql.window import Window
 
-from candlewright.llm._shared import hadoop_fs
+from candlewright.llm._shared import cut
+from candlewright.sources.files import create_once, drop_path, names_in, numbers_in, read_text
 
 TARGET, FANOUT, LEAST = 128 << 20, 4, 1 << 20
 #: Shards that one compaction reads at most; the others are for the next.
 MAX_FILES = 10_000
+#: How long files that no version names are left alone: their writer may still commit.
+GRACE_MS = 24 * 3_600_000
 MANIFEST = "path string, bytes long, rows long, since long"
 
 
@@ -46,23 +51,17 @@ class ShardStore:
 
     def version(self) -> int:
         """The newest version, 0 for an empty store."""
-        fs, where = hadoop_fs(self.spark, f"{self.root}/commits")
-        if not fs.exists(where):
-            return 0
-        return max((int(f.getPath().getName()) for f in fs.listStatus(where) if f.getPath().getName().isdigit()), default=0)
+        return max(numbers_in(self.spark, f"{self.root}/commits"), default=0)
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """(path, bytes, rows, since): the shards of a version, and the version that added each."""
         version = self.version() if version is None else version
         if not version:
             return self.spark.createDataFrame([], MANIFEST)
-        fs, where = hadoop_fs(self.spark, f"{self.root}/commits/{version:012d}")
-        stream = fs.open(where)
-        try:
-            named = json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifests/{named['manifest']}")
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifests/{self._named(version)}")
+
+    def _named(self, version: int) -> str:
+        return json.loads(read_text(self.spark, f"{self.root}/commits/{version:012d}"))["manifest"]
 
     def read(self, version: int | None = None) -> DataFrame:
         paths = [r["path"] for r in self.manifest(version).select("path").toLocalIterator()]
@@ -94,37 +93,49 @@ class ShardStore:
     def compact(self, target: int = TARGET, fanout: int = FANOUT) -> int | None:
         """Merge tiers with enough shards; returns the new version, or None where there is nothing to merge."""
         base = self.version()
-        merged = [(r["path"], r["run"]) for r in self.plan(target, fanout).toLocalIterator()]
-        if not merged:
+        plan, _ = cut(self.plan(target, fanout).select("path", F.element_at(F.split("path", "/"), -1).alias("_file"), F.col("run").alias("_run")), "runs")  # at most MAX_FILES rows
+        many, last = plan.agg(F.count("*"), F.max("_run")).first()
+        if not many:
             return None
-        runs = self.spark.createDataFrame([(p.rpartition("/")[2], run) for p, run in merged], "_file string, _run int")  # at most MAX_FILES rows
-        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{p}" for p, _ in merged])
-        rows = rows.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_file")).join(F.broadcast(runs), "_file")
-        new = self._write(rows.repartitionById(1 + max(run for _, run in merged), F.col("_run")).select(*self.schema.names))
-        gone = self.spark.createDataFrame([(p,) for p, _ in merged], "path string")
+        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{r['path']}" for r in plan.select("path").toLocalIterator()])
+        rows = rows.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_file")).join(F.broadcast(plan.drop("path")), "_file")
+        new = self._write(rows.repartitionById(1 + last, F.col("_run")).select(*self.schema.names))
+        gone = plan.select("path")
         while True:
             old = self.manifest(base)
-            if old.join(gone, "path", "left_semi").count() != len(merged):
+            if old.join(gone, "path", "left_semi").count() != many:
                 raise Conflict("another compaction has rewritten the same shards")
             try:
                 return self._commit(base, old.join(F.broadcast(gone), "path", "left_anti").unionByName(new.withColumn("since", F.lit(base + 1).cast("long"))))
             except Conflict:
                 base = self.version()
 
-    def vacuum(self, keep: int = 1) -> int:
-        """Delete shards that none of the newest ``keep`` versions has; returns how many."""
-        newest = self.version()
-        kept = self.manifest(newest).select("path")
-        for v in range(max(1, newest - keep + 1), newest):
-            kept = kept.union(self.manifest(v).select("path"))
-        fs, where = hadoop_fs(self.spark, f"{self.root}/commits")
-        seen = [int(f.getPath().getName()) for f in fs.listStatus(where) if f.getPath().getName().isdigit()]
-        old = [v for v in seen if v <= newest - keep]
+    def vacuum(self, keep: int = 1, grace_ms: int = GRACE_MS) -> int:
+        """Delete shards that none of the newest ``keep`` versions has, and the older versions; returns how many shards.
+
+        A reader needs its version kept for as long as it reads. Manifests and shards that no kept version names go with
+        their versions or, where their writer never committed, when they are older than ``grace_ms``.
+        """
+        seen = numbers_in(self.spark, f"{self.root}/commits")
+        if not seen:
+            return 0
+        kept, old = seen[-keep:], seen[:-keep]
+        live = self.manifest(kept[0]).select("path")
+        for v in kept[1:]:
+            live = live.union(self.manifest(v).select("path"))
         gone = 0
         for v in old:
-            for r in self.manifest(v).select("path").join(kept, "path", "left_anti").toLocalIterator():
-                gone += bool(fs.delete(hadoop_fs(self.spark, f"{self.root}/{r['path']}")[1], False))
-            fs.delete(hadoop_fs(self.spark, f"{self.root}/commits/{v:012d}")[1], False)
+            for r in self.manifest(v).select("path").join(live, "path", "left_anti").distinct().toLocalIterator():
+                gone += bool(drop_path(self.spark, f"{self.root}/{r['path']}"))
+            drop_path(self.spark, f"{self.root}/manifests/{self._named(v)}")
+            drop_path(self.spark, f"{self.root}/commits/{v:012d}")
+        # Of the live shards only the names of their folders come here, of which there is one for each write.
+        named = {"manifests": {self._named(v) for v in kept}, "data": {r[0] for r in live.select(F.split("path", "/")[1]).distinct().collect()}}
+        bar = time.time() * 1000 - grace_ms
+        for folder, names in named.items():
+            for name, changed in names_in(self.spark, f"{self.root}/{folder}").items():
+                if name not in names and changed < bar:
+                    drop_path(self.spark, f"{self.root}/{folder}/{name}")
         return gone
 
     def _write(self, rows: DataFrame) -> DataFrame:
@@ -138,37 +149,31 @@ class ShardStore:
     def _commit(self, base: int, shards: DataFrame) -> int:
         name = uuid.uuid4().hex
         shards.select("path", "bytes", "rows", "since").coalesce(1).write.parquet(f"{self.root}/manifests/{name}")
-        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
-        fs, aside = hadoop_fs(self.spark, f"{self.root}/aside/{name}")
-        stream = fs.create(aside, False)
-        stream.write(json.dumps({"manifest": name}).encode())
-        stream.close()
-        _, final = hadoop_fs(self.spark, f"{self.root}/commits/{base + 1:012d}")
-        fs.mkdirs(final.getParent())
-        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri() if aside.toUri().getScheme() else fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        options = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-        try:
-            files.rename(fs.makeQualified(aside), fs.makeQualified(final), options)
-        except Exception as e:
-            if "FileAlreadyExists" in str(e):
-                raise Conflict(f"version {base + 1} exists") from e
-            raise
+        if not create_once(self.spark, f"{self.root}/commits/{base + 1:012d}", json.dumps({"manifest": name})):
+            drop_path(self.spark, f"{self.root}/manifests/{name}")
+            raise Conflict(f"version {base + 1} exists")
         return base + 1
 
 
-def shard_arrivals(df: DataFrame, root: str, key: str = "doc_id", arrivals: int = 4, target: int = TARGET) -> ShardStore:
-    """A store of all rows of ``df``, appended in ``arrivals`` ranges of ``key`` and compacted after every second one.
+def shard_arrivals(df: DataFrame, root: str, key: str = "doc_id", arrivals: int = 4, target: int = TARGET, keep: int = 1) -> ShardStore:
+    """A store of all rows of ``df``, appended in ``arrivals`` parts and compacted after every second one.
 
-    Rows with a null key come with the last arrival. An empty table makes an empty store; texts, nulls in other
-    columns and repeated rows are stored as they are.
+    Parts are ranges of a whole-numbered key, with null keys in the last one, and go by a hash of any other key. The
+    newest ``keep`` versions stay readable. An empty table makes an empty store; texts, nulls in other columns and
+    repeated rows are stored as they are.
     """
     store = ShardStore(df.sparkSession, root, df.schema)
-    least, most = df.agg(F.min(key), F.max(key)).first()
-    edges = [least + (most - least + 1) * i // arrivals for i in range(arrivals + 1)] if least is not None else [0] * (arrivals + 1)
-    for i in range(arrivals):
-        part = (F.col(key) >= edges[i]) & (F.col(key) < edges[i + 1])
-        store.append(df.where(part | F.col(key).isNull() if i == arrivals - 1 else part))
+    if isinstance(df.schema[key].dataType, IntegralType):
+        least, most = df.agg(F.min(key), F.max(key)).first()
+        edges = [least + (most - least + 1) * i // arrivals for i in range(arrivals + 1)] if least is not None else [0] * (arrivals + 1)
+        parts = [(F.col(key) >= a) & (F.col(key) < b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        parts[-1] = parts[-1] | F.col(key).isNull()
+    else:
+        parts = [F.pmod(F.xxhash64(key), F.lit(arrivals)) == i for i in range(arrivals)]
+    for i, part in enumerate(parts):
+        store.append(df.where(part))
         if i % 2 or i == arrivals - 1:
-            store.compact(target)
-            store.vacuum()
+            while store.compact(target) is not None:
+                pass
+            store.vacuum(keep)
     return store

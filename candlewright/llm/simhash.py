@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewright.functions.runs import run_starts, runs
-from candlewright.llm._shared import arrow_limits, components, cut, split_hot
+from candlewright.llm._shared import arrow_limits, components, cut, split_hot, spread
 
 THRESHOLD = 3
 #: Rows of an anchor that are compared as one; the pairs of larger anchors are dealt out in tiles.
@@ -141,7 +141,7 @@ def links(distinct: DataFrame) -> DataFrame:
                     v.append(pairs[:, 1])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (u, v)], names=["u", "v"])
 
-    covered = distinct.select("fp").mapInArrow(cover, "anchor long, fp long")
+    covered = spread(distinct.select("fp"), "fp").mapInArrow(cover, "anchor long, fp long")
     tiled = split_hot(covered, ["anchor"], "fp", ANCHOR_ROWS)
     dealt = tiled.repartition("anchor", "tile").sortWithinPartitions("anchor", "tile")
     return dealt.mapInArrow(compare, "u long, v long")

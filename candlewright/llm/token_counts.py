@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -14,6 +15,8 @@ from candlewright.llm._shared import arrow_limits
 
 #: Characters of new parts that one call of the tokenizer gets, and of the texts that are cut together.
 CALL_CHARS, GROUP_CHARS = 1 << 18, 1 << 18
+#: Patterns of words, single digits and marks, and of English endings; no match of theirs holds white space.
+BLANKLESS = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
 #: Parts whose counts a worker remembers, and the longest of them.
 KNOWN_PARTS, KNOWN_CHARS = 300_000, 64
 
@@ -26,8 +29,32 @@ def safe_parts(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+def drops_blanks(spec: dict) -> bool:
+    """Whether a tokenizer file lets texts be cut at blanks: nothing in it keeps white space or looks past it.
+
+    Normal forms must go character by character, the first pre-tokenizer must drop white space, and no added token may
+    have any inside or around it. Files that say anything else are taken to need whole texts.
+    """
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        return [] if part is None else part.get(inner, []) if part.get("type") == "Sequence" else [part]
+
+    def harmless(step: dict) -> bool:
+        blanks = step.get("type") == "Replace" and step.get("pattern") == {"Regex": "\\s+"} and step.get("content") == " "
+        return blanks or step.get("type") in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents")
+
+    first = next(iter(steps(spec.get("pre_tokenizer"), "pretokenizers")), {})
+    # A pattern whose matches alone are kept, none of which can hold white space.
+    pattern = first.get("pattern", {}).get("Regex", " ")
+    kept = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True and pattern in BLANKLESS
+    added = all(not t.get("lstrip") and not t.get("rstrip") and not t.get("single_word") and t["content"].split() == [t["content"]] for t in spec.get("added_tokens") or [])
+    return added and (kept or first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")) and all(map(harmless, steps(spec.get("normalizer"), "normalizers")))
+
+
 class JsonCounter:
-    """Counts of a ``tokenizers`` file, special strings as its default says, nothing added, cut off or padded."""
+    """Counts of a ``tokenizers`` file, special strings as its default says, nothing added, cut off or padded.
+
+    Texts are cut at blanks where ``drops_blanks`` allows it, and else encoded whole.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -36,7 +63,8 @@ class JsonCounter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
+        with open(path) as file:
+            self.cuts = drops_blanks(json.load(file))
         self.known: dict[str, int] = {"": 0}
 
     def _encode(self, parts: list[str]) -> Iterator[tuple[str, int]]:
@@ -53,6 +81,8 @@ class JsonCounter:
 
     def __call__(self, texts: list[str]) -> list[int]:
         """Counts of whole texts: their parts', each different one of which is encoded once."""
+        if not self.cuts:
+            return [n for _, n in self._encode(texts)]
         cut = [safe_parts(t) for t in texts]
         new = set().union(*cut).difference(self.known)
         long = dict(self._encode([p for p in new if len(p) > KNOWN_CHARS]))

@@ -115,6 +115,23 @@ def test_language_id_edges(spark):
     assert langid.identify(docs(spark, []), m).count() == 0
 
 
+def test_small_languages_teach_and_take_the_widest_limit(spark, monkeypatch):
+    rows = [*corpus(), *[doc(1000 + i, "qxz wvk zzx jqk " * 5, "dd") for i in range(3)]]
+    m = langid.fit(docs(spark, rows))
+    assert m.langs == ["aa", "bb", "cc", "dd"] and m.limits[3] == max(m.limits[:3])
+    assert m.predict(["wvk qxz jqk zzx wvk"])[0] == ["dd"]
+
+
+def test_languages_and_grams_are_bounded(spark):
+    df = docs(spark, corpus())
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(df, max_langs=2)
+    whole, few = langid.fit(df), langid.fit(df, max_cells=9 * 60)
+    assert len(whole.hashes[4]) > len(few.hashes[4]) and len(few.hashes[4]) <= 180
+    texts = [words(40, 5000 + i, k) for i in range(9) for k in ("aa", "bb", "cc")]
+    assert few.predict(texts)[0] == ["aa", "bb", "cc"] * 9
+
+
 def labelled(n=400):
     rows, marks = [], []
     for i in range(n):
@@ -195,6 +212,13 @@ def test_gradient_is_that_of_the_loss():
             assert g[k].reshape(-1)[at] == pytest.approx((up - down) / (2 * eps), abs=1e-6), k
 
 
+def test_passages_of_training_documents_are_a_parameter(spark):
+    rows = [doc(i, words(400, i, "aa" if i % 2 else "bb")) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    few, more, all_ = (quality.fit(docs(spark, rows), labels, max_passages=n) for n in (1, 10**6, 24))
+    assert not np.array_equal(few.p["E"], more.p["E"]) and np.array_equal(all_.p["E"], more.p["E"])
+
+
 def test_a_repeated_key_teaches_once(spark):
     rows = [doc(i, words(60, i, "aa" if i % 2 else "bb")) for i in range(40)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")

@@ -22,6 +22,35 @@ def test_rows_come_back(spark, tmp_path):
     assert empty.read().count() == 0 and empty.read().columns == docs(spark, []).columns
 
 
+@pytest.mark.parametrize("kind", ["string", "decimal(20,2)", "date", "double", "int"])
+def test_keys_of_any_type(spark, tmp_path, kind):
+    df = docs(spark, [doc(i, words(5, i)) for i in range(60)] + [doc(None, "none")])
+    df = df.withColumn("doc_id", F.date_add(F.lit("2024-01-01"), F.col("doc_id").cast("int")) if kind == "date" else F.col("doc_id").cast(kind))
+    s = shard_arrivals(df, f"file://{tmp_path}/k")
+    same(s.read(), df)
+
+
+def test_vacuum_leaves_what_may_still_be_committed(spark, tmp_path):
+    df = docs(spark, [doc(1, "a")])
+    s = store(spark, tmp_path, df)
+    s.append(df)
+    late = s._write(df)  # not committed yet
+    s.append(df)
+    assert s.vacuum() == 0 and len(list((tmp_path / "shards/data").iterdir())) == 3
+    s._commit(2, s.manifest().unionByName(late.withColumn("since", F.lit(3).cast("long"))))
+    assert s.read().count() == 3
+    s._write(df)  # never committed
+    assert s.vacuum(grace_ms=-1000) == 0 and len(list((tmp_path / "shards/data").iterdir())) == 3
+    assert len(list((tmp_path / "shards/manifests").iterdir())) == 1 and s.read().count() == 3
+
+
+def test_the_version_before_can_be_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST", 1024)
+    df = docs(spark, [doc(i, words(30, i)) for i in range(100)]).coalesce(2)
+    s = shard_arrivals(df, f"file://{tmp_path}/v", keep=2)
+    same(s.read(s.version() - 1), s.read())
+
+
 def test_versions_and_compaction(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sharding, "LEAST", 1024)
     df = docs(spark, [doc(i, words(40, i)) for i in range(200)])

@@ -10,8 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from candlewright.llm.byte_bpe import ByteBpe, byte_characters, encode_column, read_ranks, safe_parts
 from candlewright.llm import token_counts
+from candlewright.llm.byte_bpe import ByteBpe, byte_characters, encode_column, read_ranks, safe_parts
 from candlewright.llm.token_counts import JsonCounter, count_tokens, safe_parts as white_parts
 
 JSON, RANKS = P.path("word_bpe_49k.json"), P.path("byte_bpe_multi_50k.tiktoken")
@@ -102,3 +102,14 @@ def test_counter_forgets_and_remembers(counter, monkeypatch):
     for _ in range(2):
         assert counter(texts) == [len(counter.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
     assert counter([]) == []
+
+
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_texts_are_cut_only_where_the_file_allows_it(file):
+    from tokenizers import Tokenizer
+
+    path = P.path(file)
+    count, whole = token_counts.JsonCounter(path), Tokenizer.from_file(path)
+    texts = ["a b a", "  x\n\ny  z ", "", " ", "<|endoftext|> a<|endoftext|>", "don't  \t I'll 12 345"]
+    assert count(texts) == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert count.cuts == file.startswith("word")

@@ -145,3 +145,46 @@ def test_no_vectors(spark):
     assert embedding_dedup.near_vectors(frame(spark, [])).count() == 0
     got = embedding_dedup.near_vectors(frame(spark, odd(4))).collect()
     assert len(got) == 6 and all((r.n_links, r.component_id, r.kept) == (0, r.vec_id, True) for r in got)
+
+
+def test_the_share_is_measured(spark, monkeypatch):
+    monkeypatch.setattr(ann, "AT_LEAST", 50)
+    near = np.repeat(spread(100, 16, 1) * np.float32(5), 20, axis=0) + spread(2000, 16, 2)
+    for x, k in ((near, 5), (spread(2000, 16, 3), 5), (near, 1)):
+        forest = ann.Forest(x.astype(float), len(x), leaf=32)
+        counts = np.stack([np.bincount(c, minlength=1 << forest.depth) for c in forest.leaves(x.astype(float)).T])
+        budget = forest.budget_for(x.astype(float), counts, k)
+        y = x / np.linalg.norm(x, axis=1)[:, None]
+        hits = 0
+        for i in range(0, 2000, 40):
+            leaves = forest.search(x[i].astype(float), counts, budget)
+            own = forest.leaves(x.astype(float))
+            seen = np.zeros(len(x), bool)
+            for t, leaf in leaves:
+                seen |= own[:, t] == leaf
+            order = np.argsort(-(y @ y[i]))
+            hits += seen[[j for j in order if j != i][:k]].sum()
+        assert hits >= 0.9 * 50 * k
+    wide = forest.budget_for(spread(2000, 16, 3).astype(float), counts, 5)
+    assert budget < wide
+    got = ann.nearest(frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(near)]), F.col("vec_id") % 50 == 0, k=5, leaf=32)
+    assert got.count() == 200
+
+
+@pytest.mark.parametrize("threshold", [1 - 1e-12, 1 - 1e-7, 1 - 1e-5])
+def test_thresholds_next_to_one(spark, threshold):
+    x = spread(12, 8, 4)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(100 + i, (v * np.float32(4)).tolist(), 0) for i, v in enumerate(x)]
+    rows += [(200 + i, (v + np.float32(1e-4) * (i % 2)).tolist(), 0) for i, v in enumerate(x)]
+    got = embedding_dedup.near_vectors(frame(spark, rows), threshold)
+    assert sorted(map(tuple, got.collect()), key=str) == brute([(i, v, k) for i, v, k in rows], threshold)
+
+
+def test_clashing_columns(spark):
+    x = spread(30, 8, 9)
+    df = frame(spark, [(i, x[i % 20].tolist(), 0) for i in range(30)])
+    for name in ("v", "q", "lab", "cid", "n", "h", "_v", "_key", "_label", "cell", "block", "rank", "score", "links", "root"):
+        df = df.withColumn(name, F.lit("mine"))
+    assert ann.nearest(df, F.col("vec_id") % 10 == 0).count() == 15
+    assert embedding_dedup.near_vectors(df).where("n_links = 1").count() == 20
