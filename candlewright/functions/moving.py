@@ -1,7 +1,6 @@
-"""Moving averages. Null is warm-up: a value stands once a window is full, counted from the first value.
+"""Moving averages over a fixed number of bars. Null is warm-up: a value stands once its window is full.
 
-Window functions serve what looks back a fixed number of bars. The recursive averages are folds over the ordered array
-of a series' values, in the order in which a loop would compute them, so they agree with it to the last bit.
+The recursive averages have no window function; they are in ``operators.indicators``.
 """
 
 from __future__ import annotations
@@ -10,10 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-#: Values that one inner fold appends; a fold copies what it has, so short ones joined afterwards cost less.
-FOLD = 64
-
-
 def finite(x: Column) -> Column:
     """``x`` as a double, null where it is null, NaN or infinite."""
     d = x.cast("double")
@@ -40,52 +35,3 @@ def stdev(x: Column, length: int, order: WindowSpec) -> Column:
 
 def change(x: Column, order: WindowSpec) -> Column:
     return x - F.lag(x).over(order)
-
-
-def seeded_average(xs: Column, length: int, alpha: float) -> Column:
-    """The recursive average of an array: the mean of the first ``length`` values, then alpha * x + (1 - alpha) * last.
-
-    Leading nulls are warm-up and shift everything; a null later on makes all that follows null. An array with fewer
-    than ``length`` values gives nulls.
-    """
-    check_length(length)
-    null = F.lit(None).cast("double")
-    lead = F.coalesce(F.nullif(F.array_position(F.transform(xs, lambda x: x.isNotNull()), F.lit(True)), F.lit(0)), F.size(xs) + 1) - 1
-    lead = lead.cast("int")
-    values = F.slice(xs, lead + 1, F.greatest(F.size(xs) - lead, F.lit(0)))
-    seed = F.aggregate(F.slice(values, 1, length), F.lit(0.0), lambda acc, x: acc + x) / length
-
-    def later(v: Column, first: Column) -> Column:
-        rest = F.slice(v, length + 1, F.greatest(F.size(v) - length, F.lit(0)))
-        parts = F.when(F.size(rest) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.floor((F.size(rest) - 1) / FOLD).cast("int")))
-
-        def inner(acc: Column, k: Column) -> Column:
-            start = F.array(acc["y"])
-            return F.aggregate(F.slice(rest, k * FOLD + 1, FOLD), start, lambda done, x: F.concat(done, F.array(x * alpha + F.element_at(done, -1) * (1 - alpha))))
-
-        def outer(acc: Column, k: Column) -> Column:
-            made = F.transform(F.array(inner(acc, k)), lambda z: F.struct(F.element_at(z, -1).alias("y"), F.concat(acc["parts"], F.array(F.slice(z, 2, FOLD))).alias("parts")))
-            return made[0]
-
-        start = F.struct(first.alias("y"), F.array().cast("array<array<double>>").alias("parts"))
-        return F.concat(F.array(first), F.flatten(F.aggregate(parts, start, outer)["parts"]))
-
-    # One pair binds values and seed, so that they are computed once.
-    bound = F.transform(F.array(F.struct(values.alias("v"), seed.alias("s"))), lambda b: later(b["v"], b["s"]))[0]
-    full = F.concat(F.array_repeat(null, lead + F.lit(length - 1)), bound)
-    return F.when(F.size(xs) - lead < length, F.array_repeat(null, F.size(xs))).otherwise(full)
-
-
-def ema(xs: Column, length: int) -> Column:
-    return seeded_average(xs, length, 2.0 / (check_length(length) + 1))
-
-
-def rma(xs: Column, length: int) -> Column:
-    """Wilder's average."""
-    return seeded_average(xs, length, 1.0 / check_length(length))
-
-
-def steps(xs: Column) -> Column:
-    """The change at each element of an array; null at the first."""
-    before = F.slice(F.concat(F.array(F.lit(None).cast("double")), xs), 1, F.size(xs))
-    return F.zip_with(xs, before, lambda now, last: now - last)

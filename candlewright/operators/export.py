@@ -63,6 +63,22 @@ def blocks(features: DataFrame, names: list[str] | None = None, rows: int = 4096
     return flat.mapInArrow(pack, "market string, category string, symbol string, timeframe_minutes int, block long, n long, first_ts long, last_ts long, data binary")
 
 
+def column_sums(made: DataFrame, names: list[str], wanted: tuple[str, ...]) -> DataFrame:
+    """Without ``data``: for each wanted column how many values of a block are numbers, and their sum, read from its bytes."""
+    at, kept = [names.index(w) for w in wanted], [f for f in made.schema.fields if f.name != "data"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks_ = [np.frombuffer(x.as_buffer(), "<f8").reshape(-1, len(names)) for x in batch.column("data")]
+            out = [batch.column(f.name) for f in kept]
+            for i in at:
+                out += [pa.array([int(np.count_nonzero(~np.isnan(b[:, i]))) for b in blocks_], pa.int64()), pa.array([float(np.nansum(b[:, i])) for b in blocks_], pa.float64())]
+            yield pa.RecordBatch.from_arrays(out, names=[f.name for f in kept] + [x for w in wanted for x in (f"n_{w}", f"sum_{w}")])
+
+    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    return made.mapInArrow(read, head + "".join(f", n_{w} long, sum_{w} double" for w in wanted))
+
+
 def windows_of(made: dict, length: int, step: int = 1) -> np.ndarray:
     """Overlapping windows over an entry's block, without a copy: (windows, length, columns)."""
     feat = made["feat"]

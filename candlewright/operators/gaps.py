@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewright.operators.rollup import KEYS, slot_series
+from candlewright.operators.rollup import KEYS, slot_series, spread
 from candlewright.schema import MINUTE_MS, SERIES
 
 #: Candles of a bucket whose breaks are found together.
@@ -26,7 +26,8 @@ def expected(bounds: DataFrame, minutes: int, custom: bool = False) -> DataFrame
     step = minutes * MINUTE_MS
     first = F.col("start_ts") - F.pmod(F.col("start_ts"), F.lit(step))
     rows = bounds.where("start_ts <= end_ts").select(*KEYS, first.alias("_lo"), F.col("end_ts").alias("_hi"))
-    blocks = rows.withColumn("_b", F.explode(F.sequence("_lo", "_hi", F.lit(step * BUCKET)))).repartition(*KEYS, "_b")
+    blocks = rows.withColumn("_b", F.explode(F.sequence("_lo", "_hi", F.lit(step * BUCKET))))
+    blocks = spread(blocks, *KEYS, "_b")
     return blocks.select(*KEYS, F.lit(minutes).alias("timeframe_minutes"), F.explode(F.sequence("_b", F.least(F.col("_b") + step * (BUCKET - 1), F.col("_hi")), F.lit(step))).alias("ts"))
 
 
@@ -43,13 +44,17 @@ def missing_intervals(bounds: DataFrame, candles: DataFrame, minutes: int, custo
 def merge_intervals(missing_ts: DataFrame, minutes: int) -> DataFrame:
     """(series, start_ts, end_ts, n): runs of timestamps no further apart than the interval, both ends included.
 
-    Runs are found within time buckets, and runs that touch over the edge of a bucket are joined afterwards, so a
-    series is never in one window as a whole unless it has one run for each bucket.
+    Runs are found within time buckets. Only the first and last run of a bucket can go on in another one, so a series
+    is in one window with at most two runs for each of its buckets, however many it has.
     """
     step = minutes * MINUTE_MS
     rows = missing_ts.withColumn("_bucket", F.col("ts") - F.pmod(F.col("ts"), F.lit(step * BUCKET)))
-    parts = _islands(rows.withColumn("_s", F.col("ts")).withColumn("_e", F.col("ts")).withColumn("_n", F.lit(1).cast("long")), [*SERIES, "_bucket"], step)
-    whole = _islands(parts, SERIES, step)
+    bucket = [*SERIES, "_bucket"]
+    parts = _islands(rows.withColumn("_s", F.col("ts")).withColumn("_e", F.col("ts")).withColumn("_n", F.lit(1).cast("long")), bucket, step)
+    own = Window.partitionBy(*bucket)
+    edge = (F.col("_s") == F.min("_s").over(own)) | (F.col("_s") == F.max("_s").over(own))
+    parts = parts.withColumn("_edge", edge)
+    whole = _islands(parts.where("_edge"), SERIES, step).unionByName(parts.where("NOT _edge").select(*SERIES, "_s", "_e", "_n"))
     return whole.select(*SERIES, F.col("_s").alias("start_ts"), F.col("_e").alias("end_ts"), F.col("_n").alias("n"))
 
 
@@ -57,8 +62,7 @@ def _islands(rows: DataFrame, by: list[str], step: int) -> DataFrame:
     order = Window.partitionBy(*by).orderBy("_s")
     broken = rows.withColumn("_new", (F.col("_s") - F.lag("_e").over(order) > step).cast("int"))
     numbered = broken.withColumn("_i", F.sum(F.coalesce("_new", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    keep = [c for c in by if c != "_i"]
-    return numbered.groupBy(*keep, "_i").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n")).drop("_i")
+    return numbered.groupBy(*by, "_i").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n")).drop("_i")
 
 
 def missing_count(intervals: DataFrame, minutes: int) -> DataFrame:

@@ -4,8 +4,10 @@ An engine names its columns and makes them in two ways. What looks back a fixed
 Recursive averages have none in Spark, and folds over arrays cost far more than the recursion itself, so they run over
 Arrow batches. Both share one shuffle and sort of the bars by (series, chunk). A chunk comes with ``HALO_LENGTHS``
 lengths of earlier bars; a recursive average has forgotten how it began long before it reaches the chunk's own bars
-(20 lengths leave 4e-18 of it), and series of up to ``CHUNK_BARS`` bars are computed whole, as a loop would. A bar
-needs a finite source; bars before the first one are warm-up.
+(20 lengths leave 4e-18 of it), and series of up to ``CHUNK_BARS`` bars are computed whole, as a loop would: bar by bar in
+the loop's own order, to its last bit, since rounded results are compared with other engines'. A bar
+needs a finite source; bars before the first one are warm-up. After that the first bar without a finite source ends every
+recursive average of its series, in whatever chunk later bars lie.
 """
 
 from __future__ import annotations
@@ -204,8 +206,10 @@ def with_features(candles: DataFrame, engines: tuple[Engine, ...] = DEFAULT_ENGI
     """The candles with every engine's columns, null in warm-up. ``float`` narrows the result, never the computation."""
     names = feature_names(engines)
     place = [*SERIES, "chunk"]
-    rows = chunked(numbered(candles), max([1, *(e.lookback() for e in engines)]), chunk)
-    rows = rows.select(*place, "bar", "ts", *PRICES).repartition(*place).sortWithinPartitions(*place, "bar")
+    folding = tuple(dict.fromkeys(e.source for e in engines if e.names() and not e.windows(F.col(e.source), Window.partitionBy("ts"))))
+    past = [f"_past_{c}" for c in folding]
+    rows = chunked(numbered(candles, folding), max([1, *(e.lookback() for e in engines)]), chunk)
+    rows = rows.select(*place, "bar", "ts", *PRICES, *past).repartition(*place).sortWithinPartitions(*place, "bar")
     order = Window.partitionBy(*place).orderBy("bar")
     for e in engines:
         for name, column in e.windows(finite(F.col(e.source)), order).items():
@@ -228,11 +232,13 @@ def _fold(engines: tuple[Engine, ...], place: list[str], folded: list[str]):
             bounds = run_starts(table, place)
             sources = {}
             for e in engines:
-                x = table.column(e.source).to_numpy().astype(float)
-                sources[e.source] = np.where(np.isfinite(x), x, np.nan)
+                if f"_past_{e.source}" in table.column_names:
+                    x = table.column(e.source).to_numpy().astype(float)
+                    good = np.isfinite(x) & ~table.column(f"_past_{e.source}").to_numpy()
+                    sources[e.source] = np.where(good, x, np.nan)
             parts: dict[str, list[np.ndarray]] = {n: [] for n in folded}
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                for e in engines:
+                for e in (e for e in engines if e.source in sources):
                     for name, column in e.compute(sources[e.source][lo:hi]).items():
                         parts[name].append(column)
             for name in folded:

@@ -34,17 +34,18 @@ def _joined(rows: DataFrame, by: list[str]) -> DataFrame:
 def in_intervals(rows: DataFrame, intervals: DataFrame, keys: list[str] | None = None, bin_ms: int = BIN_MS) -> DataFrame:
     """Rows whose ``ts`` lies in an interval of their key.
 
-    Intervals are made disjoint, so a row is in one at most, and cut at the edges of time bins; rows and pieces meet
-    by an equi-join on (key, bin). Rows come back once each, with their columns.
+    Intervals are cut at the edges of time bins. Within (key, bin) rows and pieces are ordered together, and a row is in an
+    interval if the furthest end of the pieces that begin at or before it is not before it: one sort, however many
+    intervals there are and however they overlap. Rows come back once each, with their columns; null keys are in none.
     """
     keys = SERIES if keys is None else keys
-    whole = disjoint(intervals, keys, bin_ms)
     bins = F.sequence(F.floor(F.col("start_ts") / bin_ms), F.floor(F.col("end_ts") / bin_ms))
-    pieces = whole.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "start_ts", "end_ts", F.explode(bins).alias("_b"))
-    at = F.floor(F.col("ts") / bin_ms) == F.col("_b")
-    for k in keys:
-        at = at & (rows[k] == F.col(f"_k_{k}"))
-    return rows.join(pieces, at & F.col("ts").between(F.col("start_ts"), F.col("end_ts")), "left_semi")
+    pieces = intervals.where("start_ts <= end_ts").select(*keys, "start_ts", F.col("end_ts").alias("_end"), F.explode(bins).alias("_bin"))
+    marks = pieces.select(*keys, "_bin", F.greatest(F.col("start_ts"), F.col("_bin") * bin_ms).alias("_at"), F.lit(0).alias("_kind"), "_end", F.lit(None).cast(rows.schema).alias("_row"))
+    points = rows.dropna(subset=[*keys, "ts"]).select(*keys, F.floor(F.col("ts") / bin_ms).alias("_bin"), F.col("ts").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_end"), F.struct(*rows.columns).alias("_row"))
+    order = Window.partitionBy(*keys, "_bin").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    reached = marks.unionByName(points).withColumn("_reach", F.max("_end").over(order))
+    return reached.where((F.col("_kind") == 1) & (F.col("_reach") >= F.col("_at"))).select("_row.*")
 
 
 def near_intervals(rows: DataFrame, intervals: DataFrame, interval_ms: int, keys: list[str] | None = None) -> DataFrame:

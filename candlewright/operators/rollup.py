@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.time import period_end, slot_end, slot_start
 from candlewright.schema import DAY_MS, KEY, MINUTE_MS, PRICES, SERIES, as_candles
+from candlewright.sources.files import written
 
 KEYS = SERIES[:3]
 
@@ -23,7 +24,8 @@ def rollup(candles: DataFrame, source_minutes: int, target_minutes: int, now_ms:
     A slot has the first open, highest high, lowest low, last close and summed volume of its candles; slots without
     candles do not appear, gaps inside a slot are no matter, and a slot appears only when the source has reached its
     end (and ``now``, if given). The short slot at the end of a day or year ends there. ``reach_of`` has the source's
-    timestamps where ``candles`` are only a part of it.
+    timestamps where ``candles`` are only a part of it. ``dedup`` makes the source unique first, for which every candle is
+    shuffled; candles of a store are unique already, and without it slots are summed up before the shuffle.
     """
     if target_minutes <= 0 or source_minutes <= 0:
         return as_candles(candles.limit(0))
@@ -46,11 +48,16 @@ def rollup(candles: DataFrame, source_minutes: int, target_minutes: int, now_ms:
     return as_candles(closed.withColumn("timeframe_minutes", minutes).withColumnRenamed("_slot", "ts"))
 
 
-def rollup_many(candles: DataFrame, targets: list[tuple[int, int]], now_ms: int | None = None) -> DataFrame:
-    """Roll-ups (source, target) in dependency order: a target may be the source of later ones. The results together."""
+def rollup_many(candles: DataFrame, targets: list[tuple[int, int]], now_ms: int | None = None, dedup: bool = True) -> DataFrame:
+    """Roll-ups (source, target) in dependency order: a target may be the source of later ones. The results together.
+
+    Each level is a table in the shared folder that the next ones read, so the plan of a level does not hold those of the
+    levels above, and each of these is computed once. This runs a job for each level.
+    """
     have: dict[int, DataFrame] = {}
     for source, target in layers(targets):
-        have[target] = rollup(have.get(source, candles), source, target, now_ms)
+        above = have.get(source)
+        have[target], _ = written(rollup(candles if above is None else above, source, target, now_ms, dedup and above is None), f"rollup-{target}")
     made = list(have.values())
     out = made[0] if made else as_candles(candles.limit(0))
     for df in made[1:]:
@@ -58,6 +65,14 @@ def rollup_many(candles: DataFrame, targets: list[tuple[int, int]], now_ms: int
     return out
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt to as many tasks as shuffles have, for few rows of which many are made.
+
+    A number that is given stays; without one, Spark merges small partitions and one task would make all.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def layers(targets: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """(source, target) pairs sorted so that a target comes before what is made from it; cycles raise."""
     made = {t: s for s, t in targets}
@@ -115,6 +130,6 @@ def slot_series(bounds: DataFrame, minutes: int, start: str = "start_ts", end: s
     else:
         years = F.sequence(F.year(F.timestamp_millis(F.col(start))), F.year(F.timestamp_millis(F.col(end))))
         periods = periods.withColumn("_y", F.explode(years)).withColumn("_p", F.unix_millis(F.make_timestamp(F.col("_y"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))).drop("_y")
-    slots = periods.withColumn("slot_start", F.explode(F.sequence(F.col("_p"), period_end(F.col("_p"), unit) - 1, F.lit(width))))
+    slots = spread(periods, *[c for c in KEYS if c in periods.columns], "_p").withColumn("slot_start", F.explode(F.sequence(F.col("_p"), period_end(F.col("_p"), unit) - 1, F.lit(width))))
     slots = slots.withColumn("slot_end", F.least(F.col("slot_start") + width, period_end(F.col("_p"), unit)))
     return slots.where(F.col("slot_end") <= F.col(end)).drop("_p")

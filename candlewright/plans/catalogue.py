@@ -224,6 +224,25 @@ def rma_14(spark, d):
     return _features(lines(spark, d), indicators.Rma())
 
 
+SQL_HOLES = """g AS MATERIALIZED (SELECT * EXCLUDE (close), CASE WHEN symbol = 'N' AND ts < 794880000000 OR symbol <> 'A' AND ts // 86400000 % 1500 = CASE WHEN symbol = 'N' THEN 700 ELSE 1000 END THEN NULL ELSE close END AS close FROM n),
+    f AS (SELECT symbol, min(rn) AS rn FROM g WHERE close IS NOT NULL GROUP BY symbol),
+    h AS (SELECT g.symbol, min(g.rn) AS rn FROM g JOIN f ON f.symbol = g.symbol AND g.rn > f.rn WHERE g.close IS NULL GROUP BY g.symbol),
+    o AS MATERIALIZED (SELECT g.symbol, g.rn, g.ts, CASE WHEN h.rn IS NULL OR g.rn < h.rn THEN g.close END AS x FROM g LEFT JOIN h ON h.symbol = g.symbol)"""
+
+
+@query(
+    "ema_with_hole",
+    f"WITH RECURSIVE {SQL_LINES}, {NUMBERED}, {SQL_HOLES}, {sql_recursion({'ema_9': ('x', 9, 0.2)}, 'o')} SELECT o.symbol, o.ts, round(ema_9.y, 6) AS ema_9 FROM o LEFT JOIN ema_9 ON ema_9.symbol = o.symbol AND ema_9.rn = o.rn",
+)
+def ema_with_hole(spark, d):
+    """One series without holes, one with one, and one that begins late and has two; in chunks that holes lie before, in and after."""
+    c = lines(spark, d)
+    day = F.floor(F.col("ts") / 86_400_000) % 1500
+    gone = ((F.col("symbol") == "N") & (F.col("ts") < 794_880_000_000)) | ((F.col("symbol") != "A") & (day == F.when(F.col("symbol") == "N", 700).otherwise(1000)))
+    holed = c.withColumn("close", F.when(~gone, F.col("close")))
+    return indicators.with_features(holed, (indicators.EmaFan((9,)),), chunk=512).select("symbol", "ts", F.round("ema_9", 6).alias("ema_9"))
+
+
 MACD_CTES = f"""{sql_recursion({"fast": ("close", 12, 2.0 / 13), "slow": ("close", 26, 2.0 / 27)})},
     m AS MATERIALIZED (SELECT n.symbol, n.rn, n.ts, fast.y - slow.y AS macd FROM n LEFT JOIN fast ON fast.symbol = n.symbol AND fast.rn = n.rn LEFT JOIN slow ON slow.symbol = n.symbol AND slow.rn = n.rn),
     {sql_recursion({"sig": ("macd", 9, 2.0 / 10)}, "m")}"""
@@ -581,6 +600,13 @@ def stream_features(spark, d):
     return spark.read.schema(made.schema).parquet(out).select("symbol", "ts", *[F.round(n, 6).alias(n) for n in names])
 
 
-@query("feature_blocks")
+@query(
+    "feature_blocks",
+    f"""{FEATURES_SQL} SELECT symbol, (rn - 1) // 1024 AS block, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(ema_200) AS n_ema_200, round(sum(close), 2) AS sum_close
+    FROM f GROUP BY symbol, (rn - 1) // 1024""",
+)
 def feature_blocks(spark, d):
-    return export.blocks(indicators.with_features(lines(spark, d)), rows=1024)
+    """Blocks of features for training, checked by what their bytes hold."""
+    names = indicators.feature_names()
+    made = export.blocks(indicators.with_features(lines(spark, d)), names, rows=1024)
+    return export.column_sums(made, names, ("close", "ema_200")).select("symbol", "block", "n", "first_ts", "last_ts", F.col("n_ema_200"), F.round("sum_close", 2).alias("sum_close"))

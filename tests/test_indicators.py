@@ -156,10 +156,24 @@ def test_window_functions(spark):
     assert column(got, "c")[0] is None and column(got, "c")[1] == xs[1] - xs[0]
 
 
-@pytest.mark.parametrize(("n", "length", "lead"), [(0, 3, 0), (2, 3, 0), (3, 3, 0), (200, 3, 0), (200, 14, 5), (129, 1, 1), (65, 64, 0)])
-def test_array_folds_are_the_loop(spark, n, length, lead):
-    xs = [None] * lead + walk(n, seed=n)
-    df = spark.createDataFrame([(xs,)], "xs array<double>").select(moving.ema(F.col("xs"), length).alias("e"), moving.rma(F.col("xs"), length).alias("r"), moving.steps(F.col("xs")).alias("d"))
-    got = df.first()
-    assert list(got.e) == loop_average(xs, length, 2.0 / (length + 1)) and list(got.r) == loop_average(xs, length, 1.0 / length)
-    assert list(got.d) == [None if i == 0 or xs[i] is None or xs[i - 1] is None else xs[i] - xs[i - 1] for i in range(len(xs))]
+def loop_with_holes(xs, length, alpha):
+    """The loop, ended by the first bar without a value after the first one with one."""
+    begun = first(xs)
+    hole = next((i for i in range(begun, len(xs)) if xs[i] is None), len(xs)) if begun is not None else 0
+    return loop_average(xs[:hole], length, alpha) + [None] * (len(xs) - hole)
+
+
+@pytest.mark.parametrize("holes", [[5_000], [0, 1, 2, 8_191, 16_384], [*range(9_000), 9_500, 20_000], [*range(30_000)]])
+def test_holes_end_an_average_whatever_the_size(spark, holes):
+    n = 50_000
+    xs = walk(n, seed=3)
+    for i in holes:
+        xs[i] = None
+    df = spark.createDataFrame([("m", "c", "S", 1440, JAN_2024 + i * 60_000 * 1440, x) for i, x in enumerate(xs)], "market string, category string, symbol string, timeframe_minutes int, ts long, close double")
+    df = df.select("*", *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "volume")])
+    want = loop_with_holes(xs, 9, 0.2)
+    for chunk in (16_384, 1_000):
+        got = ind.with_features(df, (ind.EmaFan((9,)), ind.Rma(5), ind.Bollinger(5)), chunk=chunk).orderBy("ts").toPandas()
+        clean = lambda c: [None if x != x else x for x in got[c]]  # noqa: B023, E731
+        assert close_to(clean("ema_9"), want, 1e-12) and close_to(clean("rma_5"), loop_with_holes(xs, 5, 0.2), 1e-12)
+        assert [x is None for x in clean("bb_basis")] == [None in xs[i - 4 : i + 1] or i < 4 for i in range(n)]
