@@ -543,10 +543,20 @@ def store_round_trip(spark, d):
     s.write(c)
     s.write(as_candles(c.withColumn("ts", F.col("ts") + 7_200_000).withColumn("open", F.col("open") + 1000).withColumn("close", F.col("close") + 1000)))
     s.compact()
-    s.vacuum()
+    s.vacuum(0)
     return s.scan().select("symbol", "ts", "open", "close")
 
 
+@query("store_marks", ORACLE_SQL["ts_range"])
+def store_marks(spark, d):
+    """First and last candle of each series as the store's log has them after two writes."""
+    s = store.CandleStore(spark, _folder(spark, "store")).create()
+    c = events(spark, d, 60)
+    s.write(c.where("ts % 7200000 = 0"))
+    s.write(c.where("ts % 7200000 <> 0"))
+    return s.marks().select("symbol", "min_ts", "max_ts", "n")
+
+
 @query("store_range_read", f"WITH {sql_events(60)} SELECT ts, open, close FROM c WHERE symbol = 'click' AND ts >= {FROM_MS} AND ts < {TO_MS + 1}")
 def store_range_read(spark, d):
     s = store.CandleStore(spark, _folder(spark, "store")).create()

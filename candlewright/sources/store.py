@@ -1,21 +1,41 @@
-"""The candle store: Parquet in a folder for each series, one row for each key, sorted by time.
+"""The candle store: Parquet in a folder for each series and range of time, one row for each key, sorted by time.
 
-Each write makes a new snapshot folder of the series that it touches; ``_current`` names, for each series, the
-snapshot that counts. A reader resolves it once and never sees half of a write. Old snapshots stay until ``vacuum``.
+A write rewrites only the ranges of time that its candles fall into, as a new snapshot. A log in ``current`` names, by
+series and range, the snapshot that counts, with its number of candles and its first and last time; an entry of the log
+is one small file that only one writer can make. A reader resolves the log once and never sees half of a write. A writer
+that finds that another has changed one of its ranges meanwhile merges again with what that one wrote. Old snapshots
+stay until ``vacuum``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from candlewright.schema import CANDLES, KEY, PRICES, SERIES, as_candles
-from candlewright.sources.files import create_once, fs_of, numbers_in, read_text
+from candlewright.schema import CANDLES, KEY, MINUTE_MS, PRICES, SERIES, as_candles
+from candlewright.sources.files import create_once, drop_path, names_in, numbers_in, read_text
+
+#: Bars of a range, which is what the upsert of one candle rewrites at most: about 8 MB.
+RANGE_BARS = 1 << 18
+#: Every so many entries of the log one holds the whole state, so that readers need no more than that.
+WHOLE_EVERY = 20
+#: How long what readers and writers may still need is kept.
+RETENTION_MS = 24 * 3_600_000
+#: How often a write is merged again before it gives up.
+ATTEMPTS = 20
+
+State = dict[str, dict[str, list]]
+
+
+class Conflict(RuntimeError):
+    """Another writer has changed a range that this one has merged with what was there before."""
 
 
 def first_wins(candles: DataFrame, arrival: Column) -> DataFrame:
@@ -75,97 +95,192 @@ def _folder(series: list) -> str:
 
 @dataclass
 class CandleStore:
-    """Candles under ``root``. One writer at a time for a series; any number of readers."""
+    """Candles under ``root``, a folder that driver and executors share. Any number of readers and writers."""
 
     spark: SparkSession
     root: str
 
     def create(self) -> CandleStore:
-        """Make the folders; nothing happens where they are."""
-        for d in ("snapshots", "current"):
-            fs, where = fs_of(self.spark, f"{self.root}/{d}")
-            fs.mkdirs(where)
+        """The store itself; its folders come with the first write."""
         return self
 
     def exists(self) -> bool:
-        return self._version() > 0
+        return bool(numbers_in(self.spark, f"{self.root}/current"))
+
+    def _entry(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.root}/current/{version:012d}"))
+
+    def _state(self) -> tuple[int, State]:
+        """The newest version, and for each series (as JSON text) and range its [snapshot, n, min_ts, max_ts]."""
+        versions = numbers_in(self.spark, f"{self.root}/current")
+        later: list[dict] = []
+        state: State = {}
+        for v in reversed(versions):
+            entry = self._entry(v)
+            if "whole" in entry:
+                state = entry["whole"]
+                break
+            later.append(entry)
+        for entry in reversed(later):
+            for series, ranges in entry["set"].items():
+                state[series] = state.get(series, {}) | ranges
+        return (versions[-1] if versions else 0), state
+
+    def _point(self, seen: int, changes: State) -> None:
+        """Let ranges point to new snapshots, if no other writer has changed one of them since version ``seen``."""
+        while True:
+            version, state = self._state()
+            for v in range(seen + 1, version + 1):
+                other = self._entry(v)["set"]
+                if any(r in ranges for series, ranges in changes.items() if series in other for r in other[series]):
+                    raise Conflict(f"version {v} has changed the same ranges")
+            seen = version
+            entry: dict = {"set": changes}
+            if (version + 1) % WHOLE_EVERY == 0:
+                entry["whole"] = state | {series: state.get(series, {}) | ranges for series, ranges in changes.items()}
+            if create_once(self.spark, f"{self.root}/current/{version + 1:012d}", json.dumps(entry, sort_keys=True)):
+                return
 
-    def _version(self) -> int:
-        return max(numbers_in(self.spark, f"{self.root}/current"), default=0)
+    def _path(self, snap: str, series: str, at: str) -> str:
+        return f"{self.root}/snapshots/{snap}/series={_folder(json.loads(series))}/range={at}"
 
-    def _current(self) -> dict[str, str]:
-        """Series (as JSON text) to snapshot folder: one entry for each series."""
-        version = self._version()
-        return json.loads(read_text(self.spark, f"{self.root}/current/{version:012d}")) if version else {}
+    def _read(self, pieces: list[tuple[str, str, str]]) -> DataFrame:
+        """The candles of (snapshot, series, range)."""
+        folders = [self._path(snap, series, at) for snap, series, at in pieces]
+        return self.spark.read.schema(CANDLES).parquet(*folders) if folders else self.spark.createDataFrame([], CANDLES)
 
-    def _point(self, touched: dict[str, str]) -> None:
-        """Let series point to new snapshots. A writer of other series may come between; then it is tried again."""
-        while True:
-            version = self._version()
-            old = json.loads(read_text(self.spark, f"{self.root}/current/{version:012d}")) if version else {}
-            if create_once(self.spark, f"{self.root}/current/{version + 1:012d}", json.dumps(old | touched, sort_keys=True)):
-                return
+    def series(self) -> list[tuple]:
+        """The series of the store, from its log."""
+        return sorted(tuple(json.loads(s)) for s in self._state()[1])
+
+    def marks(self) -> DataFrame:
+        """(series, min_ts, max_ts, n) of all series, from the log: nothing is scanned."""
+        rows = [(*json.loads(s), min(p[2] for p in ranges.values()), max(p[3] for p in ranges.values()), sum(p[1] for p in ranges.values())) for s, ranges in self._state()[1].items()]
+        return self.spark.createDataFrame(rows, "market string, category string, symbol string, timeframe_minutes int, min_ts long, max_ts long, n long")
 
-    def scan(self, where: Column | None = None, series: list[tuple] | None = None) -> DataFrame:
+    def scan(self, where: Column | None = None, series: list[tuple] | None = None, start_ts: int | None = None, end_ts: int | None = None) -> DataFrame:
         """Candles of all series, or of those listed; a store or series that is not there has no rows.
 
-        Only the folders of the series asked for are listed and read; ``where`` on ts goes to the Parquet scan.
+        Only the ranges of the series asked for that reach into [start_ts, end_ts) are listed and read, and what lies
+        outside of it in them is left out; ``where`` on ts goes to the Parquet scan.
         """
         wanted = None if series is None else {json.dumps(list(s)) for s in series}
-        folders = [f"{self.root}/snapshots/{snap}/series={_folder(json.loads(s))}" for s, snap in self._current().items() if wanted is None or s in wanted]
-        if not folders:
-            return self.spark.createDataFrame([], CANDLES)
-        df = self.spark.read.schema(CANDLES).parquet(*folders)
+        pieces = [
+            (piece[0], s, at)
+            for s, ranges in self._state()[1].items()
+            if wanted is None or s in wanted
+            for at, piece in ranges.items()
+            if (start_ts is None or piece[3] >= start_ts) and (end_ts is None or piece[2] < end_ts)
+        ]
+        df = self._read(pieces)
+        if start_ts is not None:
+            df = df.where(F.col("ts") >= start_ts)
+        if end_ts is not None:
+            df = df.where(F.col("ts") < end_ts)
         return df if where is None else df.where(where)
 
     def query(self, series: tuple, start_ts: int, end_ts: int, columns: list[str] | None = None) -> DataFrame:
         """One series from start_ts up to, not including, end_ts, in the order of time; ``columns`` prunes the scan."""
-        rows = in_range(self.scan(series=[series]), start_ts, end_ts)
+        rows = self.scan(series=[series], start_ts=start_ts, end_ts=end_ts)
         return (rows if columns is None else rows.select("ts", *[c for c in columns if c != "ts"])).orderBy("ts")
 
     def write(self, candles: DataFrame, arrival: Column | None = None) -> DataFrame:
         """Add a batch: of a key the first in it stays, and replaces what the store has. (series, n) written.
 
-        Rows with a null in the key are dropped. Only the series that the batch has are rewritten.
+        Rows with a null in the key are dropped. The batch is computed once, into a table that the merge reads, and only
+        the ranges of time of each series that it has candles in are rewritten.
         """
         clean = as_candles(candles) if arrival is None else candles
         for k in KEY:
             clean = clean.where(F.col(k).isNotNull())
-        batch = first_wins(clean, F.lit(0) if arrival is None else arrival)
-        touched = [tuple(r) for r in batch.select(*SERIES).distinct().collect()]  # as many as the batch has series
-        if not touched:
-            return self.spark.createDataFrame([], "market string, category string, symbol string, timeframe_minutes int, n long")
-        merged = last_wins(self.scan(series=touched), batch)
-        self._replace(merged, touched)
-        return batch.groupBy(*SERIES).agg(F.count("*").alias("n"))
-
-    def _replace(self, merged: DataFrame, touched: list[tuple], files: int | None = None) -> None:
-        """Write the series as a new snapshot, in one job, and point to it."""
+        incoming = f"{self.root}/incoming/{uuid.uuid4().hex}"
+        try:
+            first_wins(clean, F.lit(0) if arrival is None else arrival).withColumn("range", _range()).write.parquet(incoming)
+            batch = self.spark.read.schema(StructType([*CANDLES.fields, StructField("range", LongType())])).parquet(incoming)
+            per = batch.groupBy(*SERIES, "range").agg(F.count("*").alias("n")).collect()  # as many as ranges are written
+            touched = {(json.dumps(list(r)[:4]), str(r["range"])) for r in per}
+            if touched:
+                self._merge(batch.drop("range"), touched)
+        finally:
+            drop_path(self.spark, incoming)
+        totals: dict[tuple, int] = {}
+        for r in per:
+            totals[tuple(r)[:4]] = totals.get(tuple(r)[:4], 0) + r["n"]
+        return self.spark.createDataFrame([(*s, n) for s, n in totals.items()], "market string, category string, symbol string, timeframe_minutes int, n long")
+
+    def _merge(self, batch: DataFrame, touched: set[tuple[str, str]]) -> None:
+        for _ in range(ATTEMPTS):
+            seen, state = self._state()
+            old = [(state[s][r][0], s, r) for s, r in touched if r in state.get(s, {})]
+            changes, snap = self._written(last_wins(self._read(old), batch) if old else batch)
+            try:
+                return self._point(seen, changes)
+            except Conflict:
+                drop_path(self.spark, f"{self.root}/snapshots/{snap}")
+        raise Conflict(f"other writers changed the same ranges {ATTEMPTS} times")
+
+    def _written(self, rows: DataFrame) -> tuple[State, str]:
+        """Write candles as a snapshot, a file for each series and range; what the log is to say of them."""
         snap = uuid.uuid4().hex
         # Files keep the series columns; the folders' names are digests of them.
-        rows = merged.withColumn("series", _series_name(*[F.col(k) for k in SERIES]))
-        # A long series is spread over several files by ranges of time, of about nine years of milliseconds each.
-        rows = rows.repartition("series", F.floor(F.col("ts") / F.lit(1 << 38))) if files is None else rows.repartitionByRange(files, "series", "ts")
-        rows.sortWithinPartitions("series", "ts").write.partitionBy("series").parquet(f"{self.root}/snapshots/{snap}")
-        self._point({json.dumps(list(s)): snap for s in touched})
-
-    def compact(self, series: list[tuple] | None = None, rows_per_file: int = 5_000_000) -> None:
-        """Rewrite series in files of about ``rows_per_file`` candles in the order of time; the candles stay as they are.
-
-        Ranges of (series, time) are files: a long series has several and no task holds one as a whole.
+        placed = rows.withColumn("series", _series_name(*[F.col(k) for k in SERIES])).withColumn("range", _range()).repartition("series", "range")
+        placed.sortWithinPartitions("series", "range", "ts").write.partitionBy("series", "range").parquet(f"{self.root}/snapshots/{snap}")
+        schema = StructType([*CANDLES.fields, StructField("series", StringType()), StructField("range", LongType())])
+        made = self.spark.read.schema(schema).parquet(f"{self.root}/snapshots/{snap}")
+        changes: State = {}
+        for r in made.groupBy(*SERIES, "range").agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z")).collect():
+            changes.setdefault(json.dumps(list(r)[:4]), {})[str(r["range"])] = [snap, r["n"], r["a"], r["z"]]
+        return changes, snap
+
+    def compact(self, series: list[tuple] | None = None) -> int:
+        """Rewrite the ranges that are in more than one file as one sorted file each; the candles stay as they are.
+
+        Returns how many. A write leaves one file for each range, unless Spark was told to limit the rows of a file.
+        """
+        seen, state = self._state()
+        wanted = None if series is None else {json.dumps(list(s)) for s in series}
+        many = []
+        for s, ranges in state.items():
+            for at, piece in ranges.items():
+                if (wanted is None or s in wanted) and sum(not n.startswith((".", "_")) for n in names_in(self.spark, self._path(piece[0], s, at))) > 1:
+                    many.append((piece[0], s, at))
+        if many:
+            self._point(seen, self._written(self._read(many))[0])
+        return len(many)
+
+    def vacuum(self, retention_ms: int = RETENTION_MS) -> int:
+        """Delete snapshots of ranges that were replaced more than ``retention_ms`` ago; returns how many.
+
+        Readers need that long at most. Snapshots that no entry of the log names may belong to a writer that is about to
+        point to them; they go when they are older than that and than a day.
         """
-        touched = [tuple(json.loads(s)) for s in self._current() if series is None or tuple(json.loads(s)) in set(series)]
-        if touched:
-            rows = self.scan(series=touched)
-            self._replace(rows, touched, max(1, -(-rows.count() // rows_per_file)))
-
-    def vacuum(self) -> int:
-        """Delete snapshots that no series uses any more; returns how many."""
-        used = set(self._current().values())
-        fs, where = fs_of(self.spark, f"{self.root}/snapshots")
-        if not fs.exists(where):
-            return 0
-        gone = [f.getPath() for f in fs.listStatus(where) if f.getPath().getName() not in used]
-        for p in gone:
-            fs.delete(p, True)
-        return len(gone)
+        now = time.time() * 1000
+        logged = names_in(self.spark, f"{self.root}/current")
+        latest: dict[tuple[str, str], str] = {}
+        replaced: list[tuple[str, str, str]] = []
+        for v in numbers_in(self.spark, f"{self.root}/current"):
+            for series, ranges in self._entry(v)["set"].items():
+                for at, piece in ranges.items():
+                    before = latest.get((series, at))
+                    if before is not None and logged[f"{v:012d}"] <= now - retention_ms:
+                        replaced.append((before, series, at))
+                    latest[series, at] = piece[0]
+        gone = sum(bool(drop_path(self.spark, self._path(*piece))) for piece in replaced)
+        named = {snap for snap, _, _ in replaced} | set(latest.values())
+        used = set(latest.values())
+        for snap, changed in names_in(self.spark, f"{self.root}/snapshots").items():
+            orphan = snap not in named and changed <= now - max(retention_ms, RETENTION_MS)
+            emptied = snap in named and snap not in used and not any(n for d, n in self._left(snap))
+            if orphan or emptied:
+                drop_path(self.spark, f"{self.root}/snapshots/{snap}")
+        return gone
+
+    def _left(self, snap: str) -> list[tuple[str, int]]:
+        """The series folders of a snapshot and how many ranges each still has."""
+        base = f"{self.root}/snapshots/{snap}"
+        return [(d, len(names_in(self.spark, f"{base}/{d}"))) for d in names_in(self.spark, base) if d.startswith("series=")]
+
+
+def _range() -> Column:
+    """The range of time of a candle, counted from 1970."""
+    return F.floor(F.col("ts") / (F.greatest(F.col("timeframe_minutes"), F.lit(1)).cast("long") * MINUTE_MS * RANGE_BARS)).cast("long")
