@@ -88,7 +88,7 @@ def layers(targets: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(made[t], t) for t in sorted(made, key=lambda t: (depth(t), t))]
 
 
-def incremental_rollup(candles: DataFrame, source_minutes: int, target_minutes: int, start_ts: int, end_ts: int, now_ms: int | None = None) -> DataFrame:
+def incremental_rollup(candles: DataFrame, source_minutes: int, target_minutes: int, start_ts: int, end_ts: int, now_ms: int | None = None, dedup: bool = True) -> DataFrame:
     """Slots that begin in [start_ts, end_ts], from only the candles that those slots can hold.
 
     The bounds are literals, so they reach the scan as pushed filters; whether the last slot is closed takes the
@@ -99,7 +99,7 @@ def incremental_rollup(candles: DataFrame, source_minutes: int, target_minutes:
     high = end_ts + target_minutes * MINUTE_MS
     part = candles.where((F.col("ts") >= start_ts) & (F.col("ts") < high))
     # A slot that began before start_ts is cut off on the left and goes.
-    return rollup(part, source_minutes, target_minutes, now_ms, reach_of=candles).where(F.col("ts").between(start_ts, end_ts))
+    return rollup(part, source_minutes, target_minutes, now_ms, dedup, reach_of=candles).where(F.col("ts").between(start_ts, end_ts))
 
 
 def read_bounds(bounds: DataFrame, targets: list[int]) -> DataFrame:

@@ -17,6 +17,7 @@ from candlewright.functions import moving
 from candlewright.functions import time as t
 from candlewright.operators import export, gaps, indicators, intervals, rollup
 from candlewright.operators.series import numbered
+from candlewright.plans import jobs
 from candlewright.schema import CANDLES, PRICES, SERIES, as_candles
 from candlewright.sources import config, payloads, rest, store, tables
 from candlewright.sources.files import app_folder
@@ -572,6 +573,17 @@ def request_plan(spark, d):
     return rest.plan_requests(_bounds(events(spark, d, 60)), 60, 500).select("symbol", "request_start", "request_end")
 
 
+@query(
+    "ingest_requests",
+    f"""WITH {SQL_ORDERS}, {SQL_EXPECTED.format(ms=86400000)}, {SQL_ISLANDS.format(ms=86400000)}, q AS (SELECT symbol, start_ts, end_ts, unnest(range(start_ts, end_ts + 1, 259200000)) AS request_start FROM i)
+    SELECT symbol, start_ts, end_ts, request_start, least(request_start + 259200000, end_ts + 86400000) AS request_end FROM q""",
+)
+def ingest_requests(spark, d):
+    """The requests of one ingest pass over all series with all their gaps, three candles at most in each."""
+    c = tables.order_candles(spark, d)
+    return jobs.requests_for(gaps.merge_intervals(_missing(c, 1440), 1440), 3).select("symbol", "start_ts", "end_ts", "request_start", "request_end")
+
+
 @query(
     "read_bounds",
     f"""WITH {SQL_LINES}, {_bounds_sql()}, s AS (SELECT symbol, lo, hi, unnest([180, 1440]) AS m FROM b),

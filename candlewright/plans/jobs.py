@@ -1,8 +1,10 @@
-"""The two jobs that put the parts together: one ingest pass, and the features of what is stored."""
+"""The jobs that put the parts together: ingest passes, and the features of what is stored."""
 
 from __future__ import annotations
 
-import json
+import functools
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +13,31 @@ from pyspark.sql import functions as F
 from candlewright.operators import gaps, indicators, rollup
 from candlewright.schema import MINUTE_MS, SERIES, as_candles
 from candlewright.sources import config, payloads, rest
+from candlewright.sources.files import drop_path, names_in, written
 from candlewright.sources.store import CandleStore
 from candlewright.streaming.live import until_complete
 
+Wanted = list[tuple[tuple, str]]
+BOUNDS = "market string, category string, symbol string, timeframe_minutes int, timeframe string, start_ts long, end_ts long"
+
+
+def requests_for(missing: DataFrame, limit: int) -> DataFrame:
+    """Requests (request_start, request_end) for intervals of missing candles of any series, both ends included."""
+    width = F.col("timeframe_minutes").cast("long") * MINUTE_MS
+    step = width * limit
+    cut = missing.withColumn("request_start", F.explode(F.sequence(F.col("start_ts"), F.col("end_ts"), step)))
+    return cut.withColumn("request_end", F.least(F.col("request_start") + step, F.col("end_ts") + width))
+
 
 @dataclass
 class Ingest:
-    """Fetch what a series lacks, roll it up, compact. ``exchange`` is a configuration as in ``rest.Exchange.of``."""
+    """Fetch what series lack, roll it up. ``exchange`` is a configuration as in ``rest.Exchange.of``.
+
+    All gaps of all series are one plan: a table of requests that a fixed number of lanes answer, and one write.
+    ``variants`` (market, category, symbol, variants) has other names of symbols, tried in turn; which one worked is kept
+    beside the store and tried first from then on. ``probe`` looks for the first candle
+    that the exchange has of each series before anything is asked for. ``failed`` tells what could not be asked for.
+    """
 
     spark: SparkSession
     store: CandleStore
@@ -25,56 +45,136 @@ class Ingest:
     exchange: dict
     limit: int = 1000
     replay: str | None = None
+    lanes: int = rest.LANES
+    variants: DataFrame | None = None
+    probe: bool = False
     failed: dict[tuple, str] = field(default_factory=dict)
 
-    def missing(self, series: tuple, start_ts: int, end_ts: int) -> DataFrame:
-        """Intervals between two candle starts, both included, in which the store has no candle of a series."""
-        bounds = self.spark.createDataFrame([(*series[:3], start_ts, end_ts)], "market string, category string, symbol string, start_ts long, end_ts long")
-        return gaps.missing_intervals(bounds, self.store.scan(series=[series]), series[3])
-
-    def fetch(self, series: tuple, timeframe: str, start_ts: int, end_ts: int) -> DataFrame:
-        """Candles of the requests that cover [start_ts, end_ts], fetched and parsed by the executors."""
-        self.spark.dataSource.register(rest.RestCandles)
-        options = {"exchange": self.exchange_name, "config": json.dumps(self.exchange), "symbol": series[2], "timeframe": timeframe, "minutes": series[3], "start_ts": start_ts, "end_ts": end_ts + series[3] * MINUTE_MS, "limit": self.limit}
-        raw = self.spark.read.format("rest_candles").options(**options | ({"replay": self.replay} if self.replay else {})).load()
+    def bounds(self, wanted: Wanted, start_ts: int, end_ts: int | None, now_ms: int | None = None) -> DataFrame:
+        """The range of each series that can be asked for; without an end, up to its last closed candle at ``now_ms``."""
+        rows = []
+        for series, timeframe in wanted:
+            if not isinstance(series[3], int) or series[3] < 1:
+                self.failed[series] = f"{timeframe}: a timeframe needs at least one minute"
+                continue
+            width = series[3] * MINUTE_MS
+            closed = (now_ms or int(time.time() * 1000)) // MINUTE_MS * MINUTE_MS // width * width - width
+            rows.append((*series, timeframe, start_ts, max(closed, 0) if end_ts is None else end_ts))
+        return self.spark.createDataFrame(rows, BOUNDS)
+
+    def missing(self, bounds: DataFrame) -> DataFrame:
+        """(series, start_ts, end_ts, n): intervals within ``bounds``, both ends included, without a candle in the store."""
+        wanted = [tuple(r) for r in bounds.select(*SERIES).distinct().collect()]  # as many as were asked for
+        parts = [gaps.missing_intervals(bounds.where(F.col("timeframe_minutes") == m), self.store.scan(series=[s for s in wanted if s[3] == m]), m) for m in sorted({s[3] for s in wanted})]
+        none = self.spark.createDataFrame([], "market string, category string, symbol string, timeframe_minutes int, start_ts long, end_ts long, n long")
+        return functools.reduce(DataFrame.unionByName, parts, none)
+
+    def named(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with names: those of the symbol in the order to try."""
+        keys = SERIES[:3]
+        known = rows.withColumn("_v", F.array("symbol"))
+        if self.variants is not None:
+            known = rows.join(self.variants.select(*keys, F.col("variants").alias("_v")).dropDuplicates(keys), keys, "left").withColumn("_v", F.coalesce("_v", F.array("symbol")))
+        worked = self.winners().withColumnRenamed("name", "_last")
+        return known.join(worked, keys, "left").withColumn("names", config.tried_variants(F.col("_v"), F.col("_last"))).drop("_v", "_last")
+
+    def winners(self) -> DataFrame:
+        """(market, category, symbol, name): the name of each symbol that the exchange answered last."""
+        rows = self._kept("names", "market string, category string, symbol string, name string, at_ms long")
+        return rows.groupBy(*SERIES[:3]).agg(F.max_by("name", "at_ms").alias("name"))
+
+    def begun(self, bounds: DataFrame) -> DataFrame:
+        """``bounds`` from the first candle that the exchange has on, looked for once and kept beside the store.
+
+        Series of which it has none yet are left out, and looked for again in the next pass.
+        """
+        known = self._kept("begins", "market string, category string, symbol string, timeframe_minutes int, first_ts long")
+        path = tuple(self.exchange.get("format", {}).get("data_path", ("data", "ohlc")))
+        found = rest.first_candles(self.named(bounds.join(known, SERIES, "left_anti")), self._of(), path, self.limit, self.lanes, self.replay)
+        found.where("first_ts IS NOT NULL").select(*SERIES, "first_ts").write.mode("append").parquet(f"{self.store.root}/begins")
+        known = self._kept("begins", "market string, category string, symbol string, timeframe_minutes int, first_ts long").groupBy(*SERIES).agg(F.min("first_ts").alias("first_ts"))
+        return bounds.join(known, SERIES).select(*SERIES, "timeframe", F.greatest("start_ts", "first_ts").alias("start_ts"), "end_ts")
+
+    def _kept(self, name: str, schema: str) -> DataFrame:
+        """A small table beside the store; without rows where it is not there yet."""
+        place = f"{self.store.root}/{name}"
+        return self.spark.read.schema(schema).parquet(place) if names_in(self.spark, place) else self.spark.createDataFrame([], schema)
+
+    def _of(self) -> rest.Exchange:
+        return rest.Exchange.of(self.exchange_name, self.exchange)
+
+    def fetch(self, bounds: DataFrame) -> DataFrame:
+        """Ask for all that is missing within ``bounds``, once, and write it; (series, n) written."""
+        lacking = self.missing(bounds).join(bounds.select(*SERIES, "timeframe"), SERIES)
+        asked = rest.answers(self.named(requests_for(lacking, self.limit)), self._of(), self.limit, self.lanes, self.replay)
+        raw, path = written(asked, "answers")
+        raw.where("status = 200").select(*SERIES[:3], "name", F.lit(int(time.time() * 1000)).alias("at_ms")).distinct().write.mode("append").parquet(f"{self.store.root}/names")
         form = self.exchange.get("format", {})
-        rows = payloads.parse(raw.where("payload IS NOT NULL").select("payload"), form.get("response_type", "array"), multiplier=int(form.get("timestamp_multiplier", 1)), path=tuple(form.get("data_path", ("data", "ohlc"))))
-        named = rows.select(*[F.lit(v).alias(k) for k, v in zip(SERIES, series, strict=True)], "ts", "open", "high", "low", "close", "volume")
-        return as_candles(named).where(F.col("ts").between(start_ts, end_ts))
-
-    def fill(self, series: tuple, timeframe: str, start_ts: int, end_ts: int) -> int:
-        """Fetch gaps until none is left or their number stays; returns how many candles are missing then.
+        got = raw.where("payload IS NOT NULL").select(*SERIES, "start_ts", "end_ts", "payload")
+        rows = payloads.parse(got, form.get("response_type", "array"), multiplier=int(form.get("timestamp_multiplier", 1)), path=tuple(form.get("data_path", ("data", "ohlc"))))
+        made = self.store.write(as_candles(rows.where("ts BETWEEN start_ts AND end_ts")))
+        drop_path(self.spark, path)
+        return made
 
-        Requests are per interval; the intervals of a series are as many as its gaps, and only they pass the driver.
-        """
+    def fill(self, bounds: DataFrame) -> dict[tuple, int]:
+        """Fetch until nothing is missing or the number stays; the missing candles of each series then."""
 
         def left() -> int:
-            row = gaps.missing_count(self.missing(series, start_ts, end_ts), series[3]).first()
-            return row["n_missing"] if row else 0
-
-        def once() -> None:
-            for r in self.missing(series, start_ts, end_ts).toLocalIterator():
-                self.store.write(self.fetch(series, timeframe, r["start_ts"], r["end_ts"]))
+            return self.missing(bounds).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-        return until_complete(left, once)
+        until_complete(left, lambda: self.fetch(bounds))
+        lacking = {tuple(r)[:4]: r["n"] for r in self.missing(bounds).groupBy(*SERIES).agg(F.sum("n").alias("n")).collect()}
+        return {tuple(r): lacking.get(tuple(r), 0) for r in bounds.select(*SERIES).collect()}
 
-    def run(self, wanted: list[tuple[tuple, str]], start_ts: int, end_ts: int, targets: list[tuple[int, int]] = ()) -> dict[tuple, int]:
-        """Fill each (series, timeframe), roll up along ``targets`` (source, target minutes), compact.
+    def roll_up(self, targets: list[tuple[int, int]], since: dict[int, int]) -> None:
+        """Build (source, target minutes) anew from where the source has changed: ``since`` by its minutes.
 
-        Returns the missing candles of each series. A series that fails is noted in ``failed`` and the others go on.
+        Slots that were open begin with the last one stored, so the build starts there where that is earlier.
         """
-        out = {}
-        for series, timeframe in wanted:
-            try:
-                out[series] = self.fill(series, timeframe, start_ts, end_ts)
-            except Exception as e:  # noqa: BLE001  one bad series must not stop the rest
-                self.failed[series] = str(e)[:500]
+        since = dict(since)
         for source, target in rollup.layers(list(targets)):
-            self.store.write(rollup.rollup(self.store.scan(), source, target))
-        if out:
+            marks = {(r["market"], r["category"], r["symbol"], r["timeframe_minutes"]): (r["min_ts"], r["max_ts"]) for r in self.store.marks().collect()}  # a row for each series
+            own = [s for s in marks if s[3] == source]
+            if not own or source not in since:
+                continue
+            open_from = min(marks[(*s[:3], target)][1] if (*s[:3], target) in marks else marks[s][0] for s in own)
+            start = min(since[source], open_from) - target * MINUTE_MS
+            rows = self.store.scan(series=own, start_ts=start)
+            made = rollup.incremental_rollup(rows, source, target, start, max(marks[s][1] for s in own), dedup=False)
+            self.store.write(made)
+            since[target] = start
+
+    def run(self, wanted: Wanted, start_ts: int, end_ts: int | None, targets: list[tuple[int, int]] = (), now_ms: int | None = None) -> dict[tuple, int]:
+        """One pass: fill each (series, timeframe), roll up along ``targets``. The missing candles of each series."""
+        bounds = self.bounds(wanted, start_ts, end_ts, now_ms)
+        before = {(r["market"], r["category"], r["symbol"], r["timeframe_minutes"]): r["n"] for r in self.store.marks().collect()}
+        gaps_at = {r["timeframe_minutes"]: r["a"] for r in self.missing(bounds).groupBy("timeframe_minutes").agg(F.min("start_ts").alias("a")).collect()}
+        left = self.fill(self.begun(bounds) if self.probe else bounds)
+        after = {(r["market"], r["category"], r["symbol"], r["timeframe_minutes"]): r["n"] for r in self.store.marks().collect()}
+        changed = {s[3] for s in after if after[s] != before.get(s)}
+        self.roll_up(list(targets), {m: a for m, a in gaps_at.items() if m in changed})
+        if left:
             self.store.compact()
             self.store.vacuum()
-        return out
+        return left
+
+    def poll(self, wanted: Wanted, start_ts: int, targets: list[tuple[int, int]] = (), every_s: float = 60.0, passes: int | None = None, clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep) -> dict[tuple, int]:
+        """Passes up to the last closed candles, one every ``every_s`` seconds, for ever unless ``passes`` are given.
+
+        A pass that fails is noted in ``failed`` and the next one asks again, since what is missing is found anew.
+        """
+        left: dict[tuple, int] = {}
+        done = 0
+        while passes is None or done < passes:
+            began = clock()
+            try:
+                left = self.run(wanted, start_ts, None, targets, int(began * 1000))
+            except Exception as e:  # noqa: BLE001  the next pass may succeed
+                self.failed[("pass", done)] = str(e)[:500]
+            done += 1
+            if passes is None or done < passes:
+                sleep(max(0.0, began + every_s - clock()))
+        return left
 
 
 def training_features(store: CandleStore, symbols: DataFrame, timeframes: DataFrame, start_ts: int | None = None, engines: tuple[indicators.Engine, ...] = indicators.DEFAULT_ENGINES, dtype: str = "double") -> DataFrame:

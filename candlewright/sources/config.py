@@ -28,6 +28,17 @@ def load_json(path: str) -> dict:
     return json.loads(Path(path).read_text())
 
 
+def load_config(path: str) -> dict:
+    """An object from a JSON or, by its ending, a YAML file on the driver; YAML needs PyYAML."""
+    if Path(path).suffix not in (".yaml", ".yml"):
+        return load_json(path)
+    try:
+        import yaml
+    except ImportError as e:
+        raise ImportError(f"{path}: PyYAML is not installed; use JSON") from e
+    return yaml.safe_load(Path(path).read_text()) or {}
+
+
 def save_json(value: dict, path: str) -> None:
     """Write aside, flush to disk, rename: readers see the old or the new file."""
     handle, aside = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(path)))

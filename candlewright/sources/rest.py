@@ -1,8 +1,10 @@
-"""Candles from REST exchanges as a Python data source: one partition for each request, raw payloads as rows.
+"""Candles from REST exchanges: requests as rows, which executors fetch and answer with raw payloads.
 
-A request is planned on the driver from the exchange's configuration; executors fetch, wait and try again. Payload
-text becomes candles by ``payloads.parse``, in Spark. With a ``replay`` folder the payloads come from files instead of
-the network, which is how tests run.
+Requests are planned as a table from what is missing, for all series at once, and dealt to a fixed number of lanes for each
+exchange. A lane is one task; it has its part of the exchange's rate and sends its requests one after another, so the
+rate of all lanes together is the exchange's whatever the number of requests. Payload text becomes candles by
+``payloads.parse``, in Spark. The data source ``rest_candles`` does the same for one series, in batch and as a stream. With
+a ``replay`` folder the payloads come from files instead of the network, which is how tests run.
 """
 
 from __future__ import annotations
@@ -16,17 +18,22 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
-from candlewright.schema import MINUTE_MS
+from candlewright.schema import MINUTE_MS, SERIES
+from candlewright.session import ship
 
 RAW = "exchange string, symbol string, timeframe string, start_ts long, end_ts long, status int, payload string"
 #: 1 January 2011, from where a request without a start begins.
 EARLIEST_MS = 1_293_840_000_000
-ATTEMPTS = 3
+ATTEMPTS, LANES = 3, 4
+#: What an exchange says to who asks too often.
+REFUSED = (418, 429)
+Answer = tuple[int, bytes, dict]
 
 
 @dataclass(frozen=True)
@@ -70,7 +77,8 @@ def request(exchange: Exchange, symbol: str, timeframe: str, minutes: int, start
     unit = 1000 if exchange.timestamp_format == "seconds" else 1
     known = {"{symbol}": symbol, "{timeframe}": timeframe_for(exchange, timeframe, minutes), "{start}": str(begin // unit), "{end}": None if end is None else str(end // unit), "{limit}": str(limit)}
     made = {k: limit if k == "limit" and not isinstance(v, str) else known.get(v, v) if isinstance(v, str) else v for k, v in exchange.params.items()}
-    return exchange.api_url.replace("{symbol}", symbol.lower()), {k: v for k, v in made.items() if v or v == 0}
+    absent = [k for k, v in made.items() if v is None or v == ""]
+    return exchange.api_url.replace("{symbol}", symbol.lower()), {k: v for k, v in made.items() if k not in absent}
 
 
 def plan_requests(intervals: DataFrame, minutes: int, limit: int = 1000) -> DataFrame:
@@ -86,44 +94,156 @@ def windows(start_ts: int, end_ts: int, minutes: int, limit: int) -> list[tuple[
     return [(at, min(at + step, end_ts)) for at in range(start_ts, end_ts, step)]
 
 
-class Pacer:
-    """Requests a second: halved when the exchange complains, one more after each success, up to where it began."""
+@dataclass
+class Lane:
+    """The instants at which one of several callers of an exchange may send, each with an equal part of its rate.
+
+    The part shrinks to a half when the exchange refuses, but all lanes together may always send one request a second;
+    an answer gives back a lane's part of one request a second, up to where it began.
+    """
+
+    whole: float
+    lanes: int = 1
+    factor: float = 1.0
+    due: float = 0.0
 
-    def __init__(self, spacing: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
-        self.most = self.rate = 1.0 / spacing if spacing > 0 else float("inf")
-        self.clock, self.sleep, self.next = clock, sleep, 0.0
+    @property
+    def rate(self) -> float:
+        return self.whole * self.factor / self.lanes
 
-    def wait(self) -> None:
-        now = self.clock()
-        if self.next > now:
-            self.sleep(self.next - now)
-        self.next = max(now, self.next) + 1.0 / self.rate
+    def book(self, now: float) -> float:
+        """Take the next instant; how long to wait for it."""
+        at = max(self.due, now)
+        self.due = at + 1 / self.rate
+        return at - now
 
-    def refused(self) -> None:
-        self.rate = max(1.0, self.rate / 2)
+    def heard(self, status: int) -> None:
+        if status in REFUSED:
+            self.factor = max(self.factor / 2, min(1.0, 1 / self.whole))
+        elif status == 200:
+            self.factor = min(1.0, self.factor + 1 / self.whole)
 
-    def answered(self) -> None:
-        self.rate = min(self.most, self.rate + 1.0)
+
+def lane_of(exchange: Exchange, lanes: int = 1) -> Lane:
+    return Lane(1 / exchange.rate_limit if exchange.rate_limit > 0 else 1e9, lanes)
+
+
+@dataclass
+class Caller:
+    """Sends requests of one lane: waits for its turn, tries again after refusals and errors, longer each time."""
+
+    exchange: Exchange
+    lane: Lane
+    get: Callable[[str], Answer] | None = None
+    clock: Callable[[], float] = time.monotonic
+    sleep: Callable[[float], None] = time.sleep
+
+    def __call__(self, url: str, params: dict, attempts: int = ATTEMPTS) -> tuple[int, str | None]:
+        """(status, text); no text where the last attempt failed. Status 0 stands for no answer at all."""
+        address = f"{url}?{urllib.parse.urlencode(params)}" if params else url
+        status = 0
+        for left in reversed(range(attempts)):
+            self.sleep(self.lane.book(self.clock()))
+            try:
+                status, body, headers = (self.get or http_get)(address)
+            except OSError:
+                status, body, headers = 0, b"", {}
+            self.lane.heard(status)
+            if status == 200:
+                return status, body.decode(errors="replace")
+            if 400 <= status < 500 and status not in REFUSED:
+                break  # the request itself is wrong, and will be again
+            if left:
+                told = str(headers.get("Retry-After", ""))
+                self.sleep(min(self.exchange.max_backoff, float(told) if told.isdigit() else self.exchange.backoff_base * 2 ** (attempts - 1 - left)))
+        return status, None
 
 
-def fetch(url: str, params: dict, exchange: Exchange, pacer: Pacer, get: Callable[[str], tuple[int, bytes, dict]], attempts: int = ATTEMPTS) -> tuple[int, str | None]:
-    """(status, text) of a request; refusals and errors are tried again after a while, and then give no text."""
-    status = 0
-    for k in range(attempts):
-        pacer.wait()
+@dataclass
+class Desk:
+    """Answers requests of one lane, from the exchange or a replay folder, under whichever name of a symbol works."""
+
+    caller: Caller
+    limit: int = 1000
+    replay: str | None = None
+    worked: dict[str, str] = field(default_factory=dict)
+
+    def ask(self, name: str, timeframe: str, minutes: int, start_ts: int, end_ts: int) -> tuple[int, str | None]:
+        url, params = request(self.caller.exchange, name, timeframe, minutes, start_ts, end_ts, self.limit)
+        if not url:
+            return 0, None
+        if self.replay is None:
+            return self.caller(url, params)
+        file = Path(self.replay) / f"{name}-{timeframe}-{start_ts}.json"
+        return (200, file.read_text()) if file.exists() else (404, None)
+
+    def answer(self, symbol: str, names: list[str], timeframe: str, minutes: int, start_ts: int, end_ts: int) -> tuple[int, str | None, str | None]:
+        """(status, text, name): by the name that worked last, else by each in turn until one does."""
+        status = 0
+        for name in dict.fromkeys([*([self.worked[symbol]] if symbol in self.worked else []), *(names or [symbol])]):
+            status, text = self.ask(name, timeframe, minutes, start_ts, end_ts)
+            if status == 200:
+                self.worked[symbol] = name
+                return status, text, name
+            if status == 0 or status in REFUSED or status >= 500:
+                break  # not the name's fault
+        return status, None, None
+
+    def has_candles(self, names: list[str], symbol: str, timeframe: str, minutes: int, start_ts: int, path: tuple[str, ...]) -> bool:
+        """Whether a window from ``start_ts`` on has any candle."""
+        _, text, _ = self.answer(symbol, names, timeframe, minutes, start_ts, start_ts + self.limit * minutes * MINUTE_MS)
         try:
-            status, body, headers = get(f"{url}?{urllib.parse.urlencode(params)}" if params else url)
-        except OSError:
-            status, body, headers = 0, b"", {}
-        if status == 200:
-            pacer.answered()
-            return status, body.decode(errors="replace")
-        if status in (418, 429):
-            pacer.refused()
-        if k + 1 < attempts:
-            told = str(headers.get("Retry-After", ""))
-            pacer.sleep(min(exchange.max_backoff, float(told) if told.isdigit() else exchange.backoff_base * 2**k))
-    return status, None
+            rows = json.loads(text or "[]")
+            for part in path if isinstance(rows, dict) else ():
+                rows = rows[part]
+        except (ValueError, KeyError, TypeError):
+            return False
+        return bool(rows) and isinstance(rows, (list, dict))
+
+
+REQUESTS = ["names", "timeframe", "request_start", "request_end"]
+
+
+def answers(requests: DataFrame, exchange: Exchange, limit: int = 1000, lanes: int = LANES, replay: str | None = None, get: Callable[[str], Answer] | None = None) -> DataFrame:
+    """The columns of ``requests``, then status, payload and name (that of the symbol which worked).
+
+    ``requests`` has the series, names (array, in the order to try), timeframe, request_start and request_end. They are dealt
+    to ``lanes`` tasks, and each sends its own in the order of time. Write the result before it is used twice.
+    """
+    ship(requests.sparkSession)
+    asked = requests.withColumn("_lane", F.pmod(F.xxhash64(*SERIES, "request_start"), F.lit(lanes)).cast("int"))
+    dealt = asked.repartitionById(lanes, F.col("_lane")).sortWithinPartitions("request_start", *SERIES).drop("_lane")
+
+    def send(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        desk = Desk(Caller(exchange, lane_of(exchange, lanes), get), limit, replay)
+        for part in parts:
+            made = [desk.answer(r.symbol, list(r.names) if r.names is not None else [], r.timeframe, int(r.timeframe_minutes), int(r.request_start), int(r.request_end)) for r in part.itertuples()]
+            part["status"], part["payload"], part["name"] = zip(*made, strict=True) if made else ([], [], [])
+            yield part
+
+    return dealt.mapInPandas(send, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema) + ", status int, payload string, name string")
+
+
+def first_candles(series: DataFrame, exchange: Exchange, path: tuple[str, ...] = (), limit: int = 1000, lanes: int = LANES, replay: str | None = None) -> DataFrame:
+    """The columns of ``series``, then first_ts: from where on the exchange has candles between start_ts and end_ts, or null.
+
+    Each series takes a bisection of windows, about the logarithm of their number in requests, in one of ``lanes`` tasks.
+    """
+    ship(series.sparkSession)
+    dealt = series.withColumn("_lane", F.pmod(F.xxhash64(*SERIES), F.lit(lanes)).cast("int")).repartitionById(lanes, F.col("_lane")).drop("_lane")
+
+    def probe(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        desk = Desk(Caller(exchange, lane_of(exchange, lanes)), limit, replay)
+        for part in parts:
+            found = []
+            for r in part.itertuples():
+                names, minutes = list(r.names) if r.names is not None else [], int(r.timeframe_minutes)
+                at = earliest(lambda ts, r=r, n=names, m=minutes: desk.has_candles(n, r.symbol, r.timeframe, m, ts, path), int(r.start_ts), int(r.end_ts), minutes * limit)
+                found.append(at)
+            part["first_ts"] = pd.array(found, dtype="Int64")
+            yield part
+
+    return dealt.mapInPandas(probe, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema) + ", first_ts long")
 
 
 def http_get(url: str) -> tuple[int, bytes, dict]:
@@ -150,39 +270,46 @@ def earliest(available: Callable[[int], bool], start_ts: int, end_ts: int, minut
 
 
 @dataclass
-class Window(InputPartition):
-    start_ts: int
-    end_ts: int
+class Windows(InputPartition):
+    """The requests of one lane."""
+
+    windows: list[tuple[int, int]]
+
+
+def _dealt(options: dict, start_ts: int, end_ts: int) -> list[Windows]:
+    lanes = int(options.get("lanes", LANES))
+    all_ = windows(start_ts, end_ts, int(options["minutes"]), int(options.get("limit", 1000)))
+    return [Windows(all_[i::lanes]) for i in range(min(lanes, len(all_)))]
 
 
-def _read(options: dict, part: Window) -> Iterator[tuple]:
+def _read(options: dict, part: Windows, strict: bool = False) -> Iterator[tuple]:
     exchange = Exchange.of(options["exchange"], json.loads(options["config"]))
-    symbol, timeframe, minutes, limit = options["symbol"], options["timeframe"], int(options["minutes"]), int(options.get("limit", 1000))
-    url, params = request(exchange, symbol, timeframe, minutes, part.start_ts, part.end_ts, limit)
-    if not url:
-        return
-    if folder := options.get("replay"):
-        file = Path(folder) / f"{symbol}-{timeframe}-{part.start_ts}.json"
-        status, text = (200, file.read_text()) if file.exists() else (404, None)
-    else:
-        status, text = fetch(url, params, exchange, Pacer(exchange.rate_limit), http_get)
-    yield options["exchange"], symbol, timeframe, part.start_ts, part.end_ts, status, text
+    desk = Desk(Caller(exchange, lane_of(exchange, int(options.get("lanes", LANES)))), int(options.get("limit", 1000)), options.get("replay"))
+    symbol, timeframe, minutes = options["symbol"], options["timeframe"], int(options["minutes"])
+    for start_ts, end_ts in part.windows:
+        status, text = desk.ask(symbol, timeframe, minutes, start_ts, end_ts)
+        if strict and status != 200 and (status == 0 or status in REFUSED or status >= 500):
+            raise OSError(f"{exchange.name} answered {symbol} {timeframe} from {start_ts} with status {status}")
+        yield options["exchange"], symbol, timeframe, start_ts, end_ts, status, text
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = options
 
-    def partitions(self) -> list[Window]:
-        o = self.options
-        return [Window(*w) for w in windows(int(o["start_ts"]), int(o["end_ts"]), int(o["minutes"]), int(o.get("limit", 1000)))]
+    def partitions(self) -> list[Windows]:
+        return _dealt(self.options, int(self.options["start_ts"]), int(self.options["end_ts"]))
 
-    def read(self, partition: Window) -> Iterator[tuple]:
+    def read(self, partition: Windows) -> Iterator[tuple]:
         return _read(self.options, partition)
 
 
 class _StreamReader(DataSourceStreamReader):
-    """Each micro-batch asks for at most ``batch_candles`` more candles, up to end_ts or the last closed candle."""
+    """Each micro-batch asks for at most ``batch_candles`` more candles, up to end_ts or the last closed candle.
+
+    A request that the exchange refuses, fails or does not answer fails the micro-batch, which then asks for the same
+    candles again; the offset does not pass what was not read. What it says it does not have (404) is passed.
+    """
 
     def __init__(self, options: dict) -> None:
         self.options = options
@@ -197,16 +324,16 @@ class _StreamReader(DataSourceStreamReader):
         self.at = min(now, (int(self.options["start_ts"]) if self.at is None else self.at) + int(self.options.get("batch_candles", 10_000)) * step)
         return {"ts": self.at}
 
-    def partitions(self, start: dict, end: dict) -> list[Window]:
+    def partitions(self, start: dict, end: dict) -> list[Windows]:
         self.at = max(self.at or 0, end["ts"])
-        return [Window(*w) for w in windows(start["ts"], end["ts"], int(self.options["minutes"]), int(self.options.get("limit", 1000)))]
+        return _dealt(self.options, start["ts"], end["ts"])
 
-    def read(self, partition: Window) -> Iterator[tuple]:
-        return _read(self.options, partition)
+    def read(self, partition: Windows) -> Iterator[tuple]:
+        return _read(self.options, partition, strict=True)
 
 
 class RestCandles(DataSource):
-    """Format ``rest_candles``. Options: exchange, config (JSON), symbol, timeframe, minutes, start_ts, end_ts, limit, replay."""
+    """Format ``rest_candles``. Options: exchange, config (JSON), symbol, timeframe, minutes, start_ts, end_ts, limit, lanes, replay."""
 
     @classmethod
     def name(cls) -> str:

@@ -95,6 +95,7 @@ class LiveIndicators:
     rsi: int = 14
     averages: list[Average] = field(default_factory=list)
     last: float | None = None
+    broken: bool = False
 
     def __post_init__(self) -> None:
         fast, slow, signal = self.macd
@@ -103,7 +104,11 @@ class LiveIndicators:
     def names(self) -> list[str]:
         return [*(f"ema_{n}" for n in self.ema), "macd", "macd_signal", "macd_hist", f"rsi_{self.rsi}"]
 
-    def step(self, x: float) -> list[float | None]:
+    def step(self, x: float | None) -> list[float | None]:
+        """The indicators at a bar; as in batch, a bar without a value after the first one with one ends them."""
+        self.broken = self.broken or (x is None and self.last is not None)
+        if x is None or self.broken:
+            return [None] * len(self.names())
         *fan, fast, slow, signal, up, down = self.averages
         out: list[float | None] = [a.step(x) for a in fan]
         a, b = fast.step(x), slow.step(x)
@@ -116,11 +121,11 @@ class LiveIndicators:
         return [*out, macd, sig, None if sig is None else macd - sig, rsi]
 
     def dump(self) -> tuple:
-        return (float("nan") if self.last is None else self.last, [float(v) for a in self.averages for v in (a.n, a.total, a.value)])
+        return (float("inf") if self.broken else float("nan") if self.last is None else self.last, [float(v) for a in self.averages for v in (a.n, a.total, a.value)])
 
     def load(self, state: tuple) -> LiveIndicators:
         last, flat = state
-        self.last = None if last != last else last
+        self.last, self.broken = None if last != last else last, last == float("inf")
         for i, a in enumerate(self.averages):
             a.n, a.total, a.value = int(flat[3 * i]), flat[3 * i + 1], flat[3 * i + 2]
         return self
@@ -129,8 +134,9 @@ class LiveIndicators:
 def live_features(candles: DataFrame, indicators: LiveIndicators | None = None) -> DataFrame:
     """Series, ts, close and the indicators of a stream of closed candles, each series in the order of time.
 
-    The state of a series is a few numbers whatever its age. Candles without a finite close are passed over. A batch
-    must not bring candles from before those of an earlier one; these are for a backfill in batch.
+    The state of a series is a few numbers whatever its age. A candle without a finite close after one with one ends the
+    indicators of its series. A batch must not bring candles from before those of an earlier one; these are for a backfill
+    in batch. A task holds what a batch brings of one series: bound it by the source (``maxFilesPerTrigger``).
     """
     ship(candles.sparkSession)
     template = indicators or LiveIndicators()
@@ -141,10 +147,11 @@ def live_features(candles: DataFrame, indicators: LiveIndicators | None = None)
         if state.exists:
             own.load(state.get)
         rows = pd.concat(list(parts)).sort_values("ts")
-        made = [(*key, int(ts), float(x), *own.step(float(x))) for ts, x in zip(rows["ts"], rows["close"], strict=True) if pd.notna(x) and abs(x) != float("inf")]
+        closes = [float(x) if pd.notna(x) and abs(x) != float("inf") else None for x in rows["close"]]
+        made = [(*key, int(ts), x, *own.step(x)) for ts, x in zip(rows["ts"], closes, strict=True)]
         state.update(own.dump())
         frame = pd.DataFrame(made, columns=[*SERIES, "ts", "close", *names])
-        frame[names] = frame[names].astype("float64")
+        frame[["close", *names]] = frame[["close", *names]].astype("float64")
         yield frame
 
     out = "market string, category string, symbol string, timeframe_minutes int, ts long, close double, " + ", ".join(f"{n} double" for n in names)

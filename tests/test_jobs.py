@@ -26,8 +26,10 @@ def test_an_ingest_pass(spark, tmp_path):
     n = {r.timeframe_minutes: r["count"] for r in store.scan().groupBy("timeframe_minutes").count().collect()}
     assert n == {60: 22, 180: 8, 360: 4}
     replay(tmp_path / "in", 18, 2)  # the gap is asked for by itself now
-    assert job.fill(SERIES, "1h", START, START + 23 * HOUR) == 0
-    assert job.missing(SERIES, START, START + 23 * HOUR).count() == 0
+    before = {r.ts: r.volume for r in store.scan().where("timeframe_minutes = 360").collect()}
+    assert job.run([(SERIES, "1h")], START, START + 23 * HOUR, [(60, 180), (180, 360)]) == {SERIES: 0}
+    after = {r.ts: r.volume for r in store.scan().where("timeframe_minutes = 360").collect()}
+    assert after.keys() == before.keys() and sum(after.values()) == sum(before.values()) + 8 == 96
     symbols = config.symbols(spark, {"Crypto": {"active": True, "symbols_config": {"AA": {"active": True, "symbols": {"AAUSD": {"active": True}}}}}})
     frames = spark.createDataFrame([("1h", 60)], "name string, minutes int")
     assert training_features(store, symbols, frames).count() == 24
@@ -42,3 +44,21 @@ def test_one_bad_series_does_not_stop_the_rest(spark, tmp_path):
     bad = ("Crypto", "AA", "AAUSD", 0)
     assert job.run([(bad, "0m"), (SERIES, "1h")], START, START + 9 * HOUR) == {SERIES: 0}
     assert bad in job.failed
+
+
+def test_variants_probe_and_polling(spark, tmp_path):
+    store = CandleStore(spark, f"file://{tmp_path}/store").create()
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in (40, 50):  # nothing before bar 40, and only under another name
+        rows = [[START + (k + i) * HOUR, "1", "2", "0.5", "1", "4"] for i in range(10)]
+        (folder / f"aa-usd-1h-{START + k * HOUR}.json").write_text(json.dumps(rows))
+    variants = spark.createDataFrame([("Crypto", "AA", "AAUSD", ["AA/USD", "aa-usd"])], "market string, category string, symbol string, variants array<string>")
+    job = Ingest(spark, store, "bars", BARS, limit=10, replay=str(folder), variants=variants, probe=True)
+    now = iter([START / 1000 + 60 * 3600 + 5] * 9)
+    slept = []
+    left = job.poll([(SERIES, "1h")], START, [(60, 180)], every_s=30, passes=2, clock=lambda: next(now), sleep=slept.append)
+    assert left == {SERIES: 0} and slept == [30.0] and not job.failed
+    assert [(r.symbol, r.name) for r in job.winners().collect()] == [("AAUSD", "aa-usd")]
+    marks = {r.timeframe_minutes: (r.n, (r.min_ts - START) // HOUR) for r in store.marks().collect()}
+    assert marks == {60: (20, 40), 180: (7, 39)}

@@ -21,15 +21,16 @@ def test_request_comes_from_config():
     assert params == {"step": "3600", "limit": 1000, "start": str(START // 1000), "end": str(END // 1000)}
 
 
-def test_request_windows():
-    _, far = ask(end_ts=START + 365 * 86_400_000)
-    assert int(far["end"]) - int(far["start"]) == 1000 * 3600
-    _, ten = ask(limit=10)
-    assert ten["limit"] == 10 and int(ten["end"]) - int(ten["start"]) == 36000
-    assert "end" not in ask(end_ts=None)[1]
-    assert int(ask(end_ts=0)[1]["end"]) == START // 1000 + 3_600_000
-    assert ask(start_ts=None, end_ts=None)[1]["start"] == str(rest.EARLIEST_MS // 1000)
-    assert ask(start_ts=0)[1]["start"] == "0"
+def test_windows_end_where_asked_or_when_full():
+    quarter = lambda **more: rest.request(rest.Exchange.of("bars", BARS | {"timestamp_format": "milliseconds"}), "ETHEUR", "15m", 15, **more)[1]
+    width = 900_000
+    for candles, limit in ((3, 8), (8, 8), (9, 8), (500, 96)):
+        got = quarter(start_ts=START, end_ts=START + candles * width, limit=limit)
+        assert int(got["end"]) - int(got["start"]) == min(candles, limit) * width
+    assert quarter(start_ts=START, end_ts=START + width // 3)["end"] == str(START + width // 3)
+    assert set(quarter(start_ts=7, end_ts=None)) == {"step", "limit", "start"} and quarter(start_ts=7)["start"] == "7"
+    assert quarter(start_ts=START, end_ts=0, limit=4)["end"] == str(START + 4 * width)
+    assert quarter()["start"] == str(rest.EARLIEST_MS) and quarter(start_ts=0)["start"] == "0"
 
 
 def test_no_request_of_an_inactive_exchange():
@@ -42,28 +43,68 @@ def test_plan_shares_edges(spark):
     assert got == [(0, 100), (100, 200), (200, 250)] == [(a // 60_000, b // 60_000) for a, b in rest.windows(0, 250 * 60_000, 1, 100)]
 
 
-def test_fetch_backs_off_and_gives_up():
-    slept, answers = [], [(429, b"", {"Retry-After": "7"}), (500, b"", {}), (200, b"[]", {})]
-    pacer = rest.Pacer(0.25, clock=lambda: 0.0, sleep=slept.append)
-    assert rest.fetch("u", {}, rest.Exchange("x", "u"), pacer, lambda url: answers.pop(0)) == (200, "[]")
-    assert 7.0 in slept and 4.0 in slept and pacer.rate == 3.0
-    bad = lambda url: (503, b"", {})
-    assert rest.fetch("u", {}, rest.Exchange("x", "u", max_backoff=1.0), pacer, bad) == (503, None)
+class Clock:
+    def __init__(self):
+        self.now, self.sent = 0.0, []
 
-    def lost(url):
-        raise OSError
+    def sleep(self, seconds):
+        self.now += seconds
 
-    assert rest.fetch("u", {}, rest.Exchange("x", "u"), pacer, lost) == (0, None)
 
+def caller(answers, lanes=1, clock=None, **more):
+    clock = clock or Clock()
+    exchange = rest.Exchange("x", "u", **more)
 
-def test_pacer_bounds():
-    p = rest.Pacer(0.25, clock=lambda: 0.0, sleep=lambda s: None)
-    for _ in range(9):
-        p.refused()
-    assert p.rate == 1.0
-    for _ in range(9):
-        p.answered()
-    assert p.rate == 4.0
+    def get(url):
+        clock.sent.append(clock.now)
+        made = answers(len(clock.sent)) if callable(answers) else answers.pop(0)
+        if isinstance(made, Exception):
+            raise made
+        return made
+
+    return rest.Caller(exchange, rest.lane_of(exchange, lanes), get, lambda: clock.now, clock.sleep), clock
+
+
+def test_a_caller_tries_again_later():
+    ask, clock = caller([(429, b"", {"Retry-After": "7"}), (500, b"", {}), (200, b"[]", {})])
+    assert ask("u", {"a": 1}) == (200, "[]") and clock.sent == [0.0, 7.0, 11.0]
+    assert caller([(503, b"", {})] * 3, max_backoff=1.0)[0]("u", {}) == (503, None)
+    assert caller([OSError()] * 3)[0]("u", {}) == (0, None)
+    ask, clock = caller([(404, b"", {})])
+    assert ask("u", {}) == (404, None) and len(clock.sent) == 1
+
+
+def test_a_lane_slows_down_and_recovers():
+    lane = rest.Lane(8.0)
+    assert [lane.book(0.0) for _ in range(3)] == [0.0, 0.125, 0.25]
+    rates = []
+    for status in (429, 429, 418, 429, 429, 503, 200, 200, *[200] * 9):
+        lane.heard(status)
+        rates.append(lane.rate)
+    assert rates[:8] == [4.0, 2.0, 1.0, 1.0, 1.0, 1.0, 2.0, 3.0] and rates[-1] == 8.0
+    assert rest.Lane(8.0, 4).rate == 2.0 and rest.Lane(0.5).rate == 0.5
+
+
+@pytest.mark.parametrize("lanes", [1, 4])
+def test_all_lanes_together_keep_to_the_rate(lanes):
+    sent = []
+    for _ in range(lanes):
+        ask, clock = caller(lambda k: (429, b"", {}) if k % 10 == 0 else (200, b"[]", {}), lanes, rate_limit=0.25)
+        while clock.now < 100:
+            ask("u", {})
+        sent += clock.sent
+    assert len([t for t in sent if t < 100]) <= 4 * 100 + lanes and len(sent) > 100
+    worst = max(sum(a <= t < a + 10 for t in sent) for a in range(90))
+    assert worst <= 40 + lanes
+
+
+def test_other_names_are_tried_and_the_one_that_works_is_kept(tmp_path):
+    for at in (0, 1):
+        (tmp_path / f"btcusd-1m-{at}.json").write_text("[[1]]")
+    desk = rest.Desk(rest.Caller(rest.Exchange.of("x", BARS), rest.Lane(1e9)), 10, str(tmp_path))
+    assert desk.answer("BTC", ["BTC/USD", "btcusd"], "1m", 1, 0, 9) == (200, "[[1]]", "btcusd") and desk.worked == {"BTC": "btcusd"}
+    assert desk.answer("BTC", ["BTC/USD"], "1m", 1, 1, 9) == (200, "[[1]]", "btcusd")
+    assert desk.answer("ETH", [], "1m", 1, 0, 9) == (404, None, None)
 
 
 def test_earliest_is_found_by_bisection():
@@ -124,6 +165,9 @@ def test_config_files_and_problems(tmp_path):
     config.save_json({"a": 1}, path)
     config.save_json({"a": 2}, path)
     assert config.load_json(path) == {"a": 2} and len(list(tmp_path.iterdir())) == 1
+    (tmp_path / "c.yaml").write_text("a:\n  b: [1, 2]\n")
+    assert config.load_config(str(tmp_path / "c.yaml")) == {"a": {"b": [1, 2]}} and config.load_config(path) == {"a": 2}
+    (tmp_path / "c.yaml").unlink()
     with pytest.raises(FileNotFoundError):
         config.load_json(str(tmp_path / "none.json"))
     good = {k: {"minutes": m} for k, m in config.STANDARD_MINUTES.items()}

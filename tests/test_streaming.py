@@ -51,6 +51,19 @@ def test_live_indicators_over_batches(spark, tmp_path):
         np.testing.assert_allclose(got[c], want[c], rtol=1e-12, equal_nan=True)
 
 
+def test_a_hole_ends_live_indicators():
+    one, two = live.LiveIndicators((2,), (2, 3, 2), 2), live.LiveIndicators((2,), (2, 3, 2), 2)
+    assert [one.step(x)[0] for x in (None, 1.0, 3.0, 4.0, None, 5.0)][:3] == [None, None, 2.0] and one.broken
+    assert two.load(one.dump()).step(6.0) == [None] * 5 and two.broken
+
+
+def test_tensors_share_the_block(spark):
+    torch = pytest.importorskip("torch")
+    f = indicators.with_features(candles(spark, [(JAN_2024 + i * HOUR, 0, 0, 0, float(i), 1) for i in range(12)], 60), (indicators.EmaFan((3,)),))
+    made = export.tensors(export.entry(f, ("m", "c", "S", 60), ["close", "ema_3"]))
+    assert torch.equal(made["block"][:, 0], made["close"]) and made["block"].dtype == torch.float64 and len(made["timestamp"]) == 12
+
+
 def test_until_complete():
     left = [5, 3, 1, 1]
     assert live.until_complete(lambda: left[0], lambda: left.pop(0)) == 1
