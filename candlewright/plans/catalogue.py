@@ -445,37 +445,52 @@ def active_series(spark, d):
     return config.dimension_series(events(spark, d, 60), active, frames).select(BAR)
 
 
-@query("build_tasks", "SELECT * FROM (VALUES ('11m', 11, '1m'), ('45m', 45, '15m'), ('90m', 90, '30m'), ('6h', 360, '3h'), ('8h', 480, '1h'), ('2d', 2880, '1d'), ('3d', 4320, '1d'), ('8d', 11520, '1d')) AS t(name, minutes, source)")
+@query("build_tasks", "SELECT n_name AS name, CAST(n_nationkey * 15 + 15 AS INTEGER) AS minutes, '15m' AS source FROM nation WHERE n_nationkey % 2 = 0 AND NOT (n_nationkey % 3 = 0 AND n_nationkey % 4 = 0)")
 def build_tasks(spark, d):
-    fetched = spark.createDataFrame([("3h", True), ("6h", False), ("8h", True)], "name string, has_data boolean")
-    return config.build_tasks(config.custom_timeframes(spark, CUSTOM), config.timeframes(spark, STANDARD), fetched)
+    """Custom timeframes named after the nations, of which every third is a standard one too and every fourth got data."""
+    n = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("int").alias("k"))
+    custom = n.select("name", (F.col("k") * 15 + 15).alias("minutes"), F.lit("15m").alias("source"), (F.col("k") % 2 == 0).alias("active"), F.lit(True).alias("active_featured"))
+    standard = n.select("name", F.lit(15).alias("minutes"), (F.col("k") % 3 == 0).alias("active"), F.lit(False).alias("active_featured"))
+    return config.build_tasks(custom, standard, n.select("name", (F.col("k") % 4 == 0).alias("has_data")))
 
 
-@query("symbol_variants", "SELECT 'click' AS symbol, ['Clk2', 'click', 'CLICK', 'CLK2', 'clk2'] AS tried UNION ALL SELECT 'purchase', ['PUR', 'pur'] UNION ALL SELECT 'signup', [] UNION ALL SELECT 'view', []")
+@query(
+    "symbol_variants",
+    """WITH s AS (SELECT c_custkey AS k, 'Ab' || c_custkey AS v, 'aB' || (c_custkey % 3) AS w, CASE WHEN c_custkey % 4 = 0 THEN 'AB' || c_custkey END AS g FROM customer),
+    t AS (SELECT k, unnest([g, v, w, upper(v), lower(v), upper(w), lower(w)]) AS x, unnest(range(7)) AS i FROM s)
+    SELECT k AS c_custkey, string_agg(x, ' ' ORDER BY i) AS tried FROM (SELECT k, x, min(i) AS i FROM t WHERE x IS NOT NULL GROUP BY k, x) GROUP BY k""",
+)
 def symbol_variants(spark, d):
-    dim = config.symbols(spark, MARKETS)
-    good = F.when(F.col("symbol") == "click", "Clk2")
-    return dim.select("symbol", config.tried_variants(F.col("variants"), good).alias("tried"))
+    k = F.col("c_custkey")
+    variants = F.array(F.concat(F.lit("Ab"), k), F.concat(F.lit("aB"), k % 3))
+    good = F.when(k % 4 == 0, F.concat(F.lit("AB"), k))
+    return spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", F.array_join(config.tried_variants(variants, good), " ").alias("tried"))
 
 
 @query(
     "timeframe_keys",
-    "SELECT * FROM (VALUES ('15m', 15), ('1h', 60), ('2d', 2880), ('1w', 10080), ('1M', 44640), ('h1', -1), ('3x', -1), ('', -1)) AS t(key, minutes)",
+    """SELECT event_id, CAST(CASE event_id % 7 WHEN 0 THEN event_id % 90 WHEN 1 THEN event_id % 90 * 60 WHEN 2 THEN event_id % 90 * 1440 WHEN 3 THEN event_id % 90 * 10080 WHEN 4 THEN event_id % 90 * 44640
+    ELSE -1 END AS INTEGER) AS minutes FROM events""",
 )
 def timeframe_keys(spark, d):
-    keys = spark.createDataFrame([(k,) for k in ("15m", "1h", "2d", "1w", "1M", "h1", "3x", "")], "key string")
-    return keys.select("key", F.coalesce(t.timeframe_minutes(F.col("key")).cast("int"), F.lit(-1)).alias("minutes"))
+    """Keys of every unit, of no unit, and with the unit in front."""
+    n, k = (F.col("event_id") % 90).cast("string"), F.col("event_id") % 7
+    key = F.when(k == 6, F.concat(F.lit("h"), n)).otherwise(F.concat(n, F.element_at(F.array(*[F.lit(u) for u in ("m", "h", "d", "w", "M", "x")]), (F.least(k, F.lit(5)) + 1).cast("int"))))
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", F.coalesce(t.timeframe_minutes(key).cast("int"), F.lit(-1)).alias("minutes"))
 
 
 @query(
     "timeframe_text",
-    "SELECT style, name, CASE style WHEN 'seconds' THEN CAST(m * 60 AS VARCHAR) WHEN 'minutes' THEN CAST(m AS VARCHAR) WHEN 'hours' THEN CAST(m // 60 AS VARCHAR) ELSE name END AS shown FROM (VALUES ('30m', 30), ('1h', 60), ('1d', 1440)) AS t(name, m), (VALUES ('seconds'), ('minutes'), ('hours'), ('default')) AS s(style)",
+    """WITH e AS (SELECT event_id, 'tf' || event_id % 48 AS name, CASE WHEN event_id % 5 > 0 THEN event_id % 48 * 1800 END AS s, CASE WHEN event_id % 7 > 0 THEN event_id % 48 * 30 END AS m, CASE WHEN event_id % 3 > 0 THEN event_id % 48 // 2 END AS h FROM events)
+    SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(coalesce(s, m * 60, h * 3600, 86400) AS VARCHAR) WHEN 1 THEN CAST(coalesce(m, h * 60, 1440) AS VARCHAR) WHEN 2 THEN CAST(coalesce(h, m // 60, 24) AS VARCHAR) ELSE name END AS shown FROM e""",
 )
 def timeframe_text(spark, d):
-    dim = config.timeframes(spark, {k: STANDARD[k] for k in ("30m", "1h", "1d")})
-    styles = spark.createDataFrame([("seconds",), ("minutes",), ("hours",), ("default",)], "style string")
-    rows = dim.withColumn("style", F.explode(F.array(*[F.lit(s) for s in ("seconds", "minutes", "hours", "default")]))).join(styles, "style", "left_semi")
-    return rows.select("style", "name", t.timeframe_text(F.col("name"), F.col("seconds"), F.col("minutes"), F.col("hours"), F.col("style")).alias("shown"))
+    """Timeframes in each style, with some of their units unknown."""
+    i = F.col("event_id")
+    n = i % 48
+    style = F.element_at(F.array(*[F.lit(x) for x in ("seconds", "minutes", "hours", "default")]), (i % 4 + 1).cast("int"))
+    shown = t.timeframe_text(F.concat(F.lit("tf"), n), F.when(i % 5 > 0, n * 1800), F.when(i % 7 > 0, n * 30), F.when(i % 3 > 0, F.floor(n / 2)), style)
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", shown.alias("shown"))
 
 
 @query(
@@ -594,9 +609,10 @@ def read_bounds(spark, d):
     return rollup.read_bounds(_bounds(lines(spark, d)), [180, 1440]).select("symbol", "first_ts", "end_ts")
 
 
-@query("exchange_selection", "SELECT 'second' AS name")
+@query("exchange_selection", "SELECT n_name AS name FROM nation WHERE n_nationkey % 5 = 3 ORDER BY n_nationkey LIMIT 1")
 def exchange_selection(spark, d):
-    return config.chosen_exchange(config.exchanges(spark, {"first": {"active": False}, "second": {"active": True}, "third": {"active": True}})).select("name")
+    n = spark.read.parquet(f"{d}/nation.parquet")
+    return config.chosen_exchange(n.select(F.col("n_name").alias("name"), (F.col("n_nationkey") % 5 == 3).alias("active"), F.col("n_nationkey").alias("position"))).select("name")
 
 
 @query("stream_candles_1h", f"WITH {sql_events(60)} SELECT {BAR_SQL} FROM c WHERE ts + 3600000 <= (SELECT max(ts) FROM c)")
