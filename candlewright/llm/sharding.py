@@ -78,9 +78,13 @@ class ShardStore:
             except Conflict:
                 continue
 
+    def small(self, target: int = TARGET) -> DataFrame:
+        """The shards of the manifest that a compaction may merge."""
+        return self.manifest().where(F.col("bytes") < 0.75 * target)
+
     def plan(self, target: int = TARGET, fanout: int = FANOUT) -> DataFrame:
         """(path, bytes, tier, run): what a compaction would rewrite. A tier waits until it has ``fanout`` shards."""
-        small = self.manifest().where(F.col("bytes") < 0.75 * target).orderBy("since", "path").limit(MAX_FILES)
+        small = self.small(target).orderBy("since", "path").limit(MAX_FILES)
         tier = F.greatest(F.lit(0), F.floor(F.log(F.col("bytes") / F.lit(LEAST)) / F.log(F.lit(fanout)))).cast("int")
         in_tier = Window.partitionBy("tier")
         in_order = in_tier.orderBy("since", "path").rowsBetween(Window.unboundedPreceding, -1)
@@ -173,7 +177,9 @@ def shard_arrivals(df: DataFrame, root: str, key: str = "doc_id", arrivals: int
     for i, part in enumerate(parts):
         store.append(df.where(part))
         if i % 2 or i == arrivals - 1:
-            while store.compact(target) is not None:
-                pass
+            more = True
+            while more:  # once, unless there are more small shards than a compaction reads
+                more = store.small(target).count() > MAX_FILES
+                more = store.compact(target) is not None and more
             store.vacuum(keep)
     return store

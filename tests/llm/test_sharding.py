@@ -44,6 +44,14 @@ def test_vacuum_leaves_what_may_still_be_committed(spark, tmp_path):
     assert len(list((tmp_path / "shards/manifests").iterdir())) == 1 and s.read().count() == 3
 
 
+def test_more_small_shards_than_a_compaction_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "MAX_FILES", 5)
+    df = docs(spark, [doc(i, words(30, i)) for i in range(120)]).repartition(8)
+    s = shard_arrivals(df, f"file://{tmp_path}/m", arrivals=2)
+    same(s.read(), df)
+    assert s.manifest().count() <= 5 and s.version() > 3
+
+
 def test_the_version_before_can_be_kept(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sharding, "LEAST", 1024)
     df = docs(spark, [doc(i, words(30, i)) for i in range(100)]).coalesce(2)
