@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from candlewright.llm import chat
 
@@ -54,6 +55,16 @@ def test_formatted_texts_and_loss_spans(spark):
     assert chat.digests(chat.format_chat(frame(spark, []))).count() == 0
 
 
+def test_clashing_columns_and_a_very_long_text(spark):
+    long = "<s>é\\ " * 1_000_000
+    rows = [(1, 0, "user", long, ""), (1, 1, "assistant", long + "end", ""), (2, 0, "assistant", "short", "")]
+    df = frame(spark, rows)
+    for name in ("_turn", "_role", "_text", "_conv", "_null", "part", "n_turns", "formatted"):
+        df = df.withColumn(name, F.lit("mine"))
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(chat.format_chat(df)).collect()}
+    assert got == expected(rows)
+
+
 @pytest.mark.parametrize(("rows_at_once", "size"), [(3, 8 << 20), (7, 8 << 20), (4096, 1)])
 def test_parts_are_bounded_and_in_order(monkeypatch, rows_at_once, size):
     monkeypatch.setattr(chat, "PART_ROWS", rows_at_once)

@@ -122,7 +122,10 @@ def test_small_languages_teach_and_take_the_widest_limit(spark, monkeypatch):
     assert m.predict(["wvk qxz jqk zzx wvk"])[0] == ["dd"]
 
 
-def test_languages_and_grams_are_bounded(spark):
+@pytest.mark.parametrize("most", [4096, 1])
+def test_languages_and_grams_are_bounded(spark, monkeypatch, most):
+    # With 1 every number of occurrences is beyond those told apart, as all are in a large corpus.
+    monkeypatch.setattr(langid, "MOST_SEEN", most)
     df = docs(spark, corpus())
     with pytest.raises(ValueError, match="languages"):
         langid.fit(df, max_langs=2)

@@ -6,6 +6,7 @@ import os
 import numpy as np
 import public_tokenizers as P
 import pytest
+from data import clashing, docs, odd_rows
 
 import corpus_pipeline
 from candlewright.llm import langid, quality, simhash
@@ -89,6 +90,33 @@ def test_encoding_stage(stages):
         assert hashlib.sha256(bpe.decode(packed)).hexdigest() == r.decoded_sha256
 
 
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_on_odd_rows(spark, tmp_path, stage):
+    """Nulls, empty and long texts, repeated rows and columns named as the stages name theirs; and no rows at all."""
+    name, apply = corpus_pipeline.STAGES[stage]
+    rows = odd_rows()
+    for i, given in enumerate((rows, [])):
+        clashing(docs(spark, given)).write.parquet(f"{tmp_path}/{i}")
+        df = spark.read.parquet(f"{tmp_path}/{i}")
+        out = apply(spark, df, SF)
+        if stage < 4:
+            assert out.columns == df.columns, name
+        got = out.collect()
+        ids = [r.doc_id for r in got]
+        assert set(ids) <= {r[0] for r in given}
+        if not given:
+            assert not got
+        elif stage == 4:
+            assert len(got) == len(rows) and next(r for r in got if r.doc_id == 2).n_tokens == 0
+        elif stage == 3:
+            assert not {2, 3, 4} & set(ids) and None in ids  # without words there is nothing to take
+        elif stage == 2:
+            # 2, 3 and 4 have fingerprint 0; 1 and both rows of 8 are copies; a null key always stays.
+            assert {1, 2, 5, 6, 7, None} <= set(ids) and not {3, 4, 8} & set(ids) and len(ids) == len(set(ids))
+        elif stage == 1:
+            assert not {2, 3, 4} & set(ids)
+
+
 def test_run_is_the_stages_in_turn(spark, stages):
     got = sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256").collect())
     assert got == sorted((r.doc_id, r.ids_sha256) for r in stages[-1][1].select("doc_id", "ids_sha256").collect())
