@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.session import ship
@@ -45,6 +49,32 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, counted: str = "true") -> tuple[DataFrame, int]:
+    """``df`` with ``_number`` 0, 1, 2, ... in the given order, and how many rows the condition ``counted`` holds for.
+
+    Rows are sorted by range, numbered within their range as they pass, and written; then each range begins where those
+    before it end. One row a range reaches the driver. Rows that are equal in ``order`` come in any order.
+    """
+    spark = arrow_limits(df.sparkSession)
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(seen, seen + batch.num_rows))], names=[*batch.schema.names, "_place"])
+            seen += batch.num_rows
+
+    ranges = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    rows, _ = cut(ranges.mapInArrow(count, f"{kind}, _place long").withColumn("_range", F.spark_partition_id()), name)
+    sizes = sorted(rows.groupBy("_range").agg(F.count("*"), F.count_if(F.expr(counted))).collect())
+    before, starts = 0, []
+    for at, n, _ in sizes:
+        starts.append((at, before))
+        before += n
+    offsets = spark.createDataFrame(starts, "_range int, _before long")
+    return rows.join(F.broadcast(offsets), "_range").withColumn("_number", F.col("_before") + F.col("_place")).drop("_range", "_before", "_place"), sum(m for _, _, m in sizes)
+
+
 def split_hot(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFrame:
     """Add ``tile``, ``chunk`` and ``chunks`` (0: not dealt out).
 
