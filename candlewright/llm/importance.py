@@ -1,8 +1,8 @@
 """Target-distribution importance resampling (operator 13).
 
-Features are runs of 1 to 3 words. A dictionary of the distinct n-grams of the whole corpus is counted, each string in it is
-hashed once, and the counts are summed up by bucket, once for the corpus and once for the target. The gain of a bucket is the
-logarithm of the ratio of its shares. Documents weigh the gains of their features, and the largest weights with Gumbel noise are drawn.
+Features are runs of 1 to 3 words. A dictionary of distinct n-grams is counted, each string in it is hashed once, and the counts are
+summed up by bucket, once for the corpus and once for the target. Each task keeps dictionaries of its own by default, since one
+for the whole corpus is a shuffle of nearly all n-grams. The gain of a bucket is the logarithm of the ratio of its shares. Documents weigh the gains of their features, and the largest weights with Gumbel noise are drawn.
 """
 
 from __future__ import annotations
@@ -39,11 +39,17 @@ def features(data: np.ndarray, offsets: np.ndarray, longest: int = LONGEST) -> I
             yield row[at], code, strings(text, begin[first], end[first + n - 1])
 
 
-def bucket_counts(df: DataFrame, text: str = "text", buckets: int = BUCKETS, longest: int = LONGEST) -> np.ndarray:
+def hashed(found: pa.Array, buckets: int) -> np.ndarray:
+    """The bucket of each string: its UTF-8 bytes' CRC-32, modulo ``buckets``."""
+    return np.fromiter((zlib.crc32(s) for s in found.cast(pa.large_binary()).to_pylist()), np.int64, len(found)) % buckets
+
+
+def bucket_counts(df: DataFrame, text: str = "text", buckets: int = BUCKETS, longest: int = LONGEST, one_dictionary: bool = False) -> np.ndarray:
     """How many features of all texts fall into each bucket; null texts have none.
 
-    The distinct strings of a task's texts come with their counts, a shuffle by string sums them up, and each string is hashed
-    once. One row a bucket reaches the driver.
+    A task counts the distinct strings of a few megabytes of text at a time, hashes each once and adds the counts up by bucket. With
+    ``one_dictionary`` strings are counted over the whole corpus first, by a shuffle of all of them, and each is hashed once
+    there; the counts are the same. One row a bucket reaches the driver.
     """
     arrow_limits(df.sparkSession)
 
@@ -52,9 +58,21 @@ def bucket_counts(df: DataFrame, text: str = "text", buckets: int = BUCKETS, lon
             for _, code, found in features(data, offsets, longest):
                 yield pa.RecordBatch.from_arrays([found.cast(pa.string()), pa.array(np.bincount(code))], names=["feature", "n"])
 
-    dictionary = df.select(F.col(text).alias("_text")).mapInArrow(distinct, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    hashed = dictionary.select((F.crc32(F.col("feature").cast("binary")) % buckets).alias("bucket"), "n")
-    rows = hashed.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for _, data, offsets in slices(batches):
+            for _, code, found in features(data, offsets, longest):
+                np.add.at(total, hashed(found, buckets), np.bincount(code))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["bucket", "n"])
+
+    texts = df.select(F.col(text).alias("_text"))
+    if one_dictionary:
+        dictionary = texts.mapInArrow(distinct, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        parts = dictionary.select((F.crc32(F.col("feature").cast("binary")) % buckets).alias("bucket"), "n")
+    else:
+        parts = texts.mapInArrow(by_bucket, "bucket long, n long")
+    rows = parts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(buckets, np.int64)
     out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
     return out
@@ -86,7 +104,7 @@ def weigh(df: DataFrame, gain: np.ndarray, text: str = "text", keep: tuple[str,
         for batch, data, offsets in slices(batches):
             n, weight, words = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             for i, (row, code, found) in enumerate(features(data, offsets, longest)):
-                per = known.value[np.fromiter((zlib.crc32(s) for s in found.cast(pa.large_binary()).to_pylist()), np.int64, len(found)) % len(known.value)]
+                per = known.value[hashed(found, len(known.value))]
                 here = np.bincount(row, minlength=batch.num_rows)
                 n += here
                 words += here if not i else 0
