@@ -1,7 +1,7 @@
 """Quality rules (operator 11): counts of a text, and a log-likelihood ratio of hashed n-grams with a fixed threshold.
 
-Runs of ``N`` bytes are hashed into ``BUCKETS`` buckets. Two multinomials with one added count a bucket, of trusted texts
-and of the raw corpus, give each bucket a gain ``floor(1000 * ln(trusted share / raw share))``. A text's verdict is the
+Runs of ``N`` bytes are hashed into ``BUCKETS`` buckets. Two multinomials, of trusted texts and
+of the raw corpus, each with one more count, give each bucket a gain ``floor(1000 * ln(trusted share / raw share))``. A text's verdict is the
 sum of gains over all of its runs against ``threshold`` times their number: whole numbers, so it does not depend on how rows are dealt.
 """
 
@@ -70,11 +70,15 @@ def bucket_counts(df: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def gains(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Thousandths of a nat for each bucket, from the counts of both sides; no trusted n-grams at all give no gain anywhere."""
+    """Thousandths of a nat for each bucket, from the counts of both sides; buckets without raw n-grams have 0.
+
+    Both shares have one count more, on the scale of the trusted side, so what is rare says little and what is frequent much, on
+    few texts as on many. No trusted n-grams at all give no gain anywhere.
+    """
     if not trusted.sum():
         return np.zeros(len(raw), np.int64)
-    t, r = trusted.astype(float), raw.astype(float)
-    return np.floor(1000 * np.log((t + 1) * (r.sum() + len(r)) / ((r + 1) * (t.sum() + len(t))))).astype(np.int64)
+    usual = raw * (trusted.sum() / raw.sum())
+    return np.where(raw > 0, np.floor(1000 * np.log((trusted + 1) / (usual + 1))), 0).astype(np.int64)
 
 
 def trusted_texts(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality") -> DataFrame:

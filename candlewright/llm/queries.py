@@ -147,9 +147,9 @@ grams AS MATERIALIZED (
     FROM octets),
 raw AS (SELECT bucket, count(*) AS r FROM grams GROUP BY bucket),
 trusted AS (SELECT bucket, count(*) AS t FROM grams SEMI JOIN marks USING (doc_id) GROUP BY bucket),
-sums AS (SELECT (SELECT sum(r) FROM raw) AS rs, (SELECT sum(t) FROM trusted) AS ts),
+sums AS (SELECT (SELECT CAST(sum(r) AS DOUBLE) FROM raw) AS rs, (SELECT CAST(sum(t) AS DOUBLE) FROM trusted) AS ts),
 gain AS (
-    SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST(rs AS DOUBLE) + 65536) / ((CAST(r AS DOUBLE) + 1) * (CAST(ts AS DOUBLE) + 65536)))) AS BIGINT) AS g
+    SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) / (CAST(r AS DOUBLE) * (ts / rs) + 1))) AS BIGINT) AS g
     FROM raw LEFT JOIN trusted USING (bucket), sums),
 scored AS (SELECT doc_id, count(*) AS n_grams, CAST(sum(g) AS BIGINT) AS gain FROM grams JOIN gain USING (bucket) GROUP BY doc_id),
 found AS (

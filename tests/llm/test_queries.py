@@ -20,11 +20,14 @@ COLUMNS = {
     "op8_byte_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op9_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op10_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op11_quality_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    "op12_collocations": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
+    "op13_importance": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
-def test_there_are_ten():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_there_are_thirteen():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -33,7 +36,7 @@ def test_query(spark, name):
     kinds = dict(df.dtypes)
     assert all(kinds[c] == k for c, k in COLUMNS.get(name, {}).items())
     rows = df.collect()
-    table = {"op2_chat": None, "op6_nearest": None, "op7_near_vectors": "embeddings"}.get(name, "documents")
+    table = {"op2_chat": None, "op6_nearest": None, "op7_near_vectors": "embeddings", "op12_collocations": None}.get(name, "documents")
     assert rows if table is None else len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
