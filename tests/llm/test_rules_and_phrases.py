@@ -159,8 +159,13 @@ def test_radix_order():
 
 
 def test_windows_end_at_rare_words_and_pieces():
-    got = windows(np.array([1, 2, 0, 3, 4, 5, 6, 7, 8]), np.array([0, 0, 0, 0, 0, 1, 1, 1, 1]), 3)
-    assert got.tolist() == [[1, 2, 0], [3, 4, 0], [5, 6, 7], [6, 7, 8], [7, 8, 0]]
+    ids, piece = np.array([1, 2, 0, 3, 4, 5, 6, 7, 8]), np.array([0, 0, 0, 0, 0, 1, 1, 1, 1])
+    at, got = windows(ids, piece, 3)
+    assert at.tolist() == [0, 3, 5, 6, 7] and got.tolist() == [[1, 2, 0], [3, 4, 0], [5, 6, 7], [6, 7, 8], [7, 8, 0]]
+    assert windows(ids, piece, 3, 3)[1].tolist() == [[5, 6, 7], [6, 7, 8]]
+    pairs = np.array([(5 << 32) | 6, (6 << 32) | 7])
+    assert windows(ids, piece, 4, 2, pairs)[1].tolist() == [[5, 6, 7, 0], [6, 7, 0, 0]]
+    assert windows(ids[:0], piece[:0], 4, 2, pairs)[1].tolist() == []
 
 
 def test_ngram_codes_stay_in_their_group():
