@@ -25,6 +25,9 @@ SPREAD = 2654435761
 #: Gain for each n-gram, in thousandths of a nat, from which a text is kept.
 THRESHOLD = -100
 
+#: Documents that teach the trusted multinomial at most; the raw one has all documents.
+MAX_TRUSTED = 50_000
+
 SYMBOLS = byte_class(b"#*$%&|<>")
 #: Words of a window that is looked for again in the text, and the share of words in such windows that a text may have, in hundredths.
 WINDOW, MOST_REPEATED, FEWEST_WORDS = 5, 20, 10
@@ -81,9 +84,17 @@ def gains(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.where(raw > 0, np.floor(1000 * np.log((trusted + 1) / (usual + 1))), 0).astype(np.int64)
 
 
-def trusted_texts(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality") -> DataFrame:
-    """Texts of the rows of ``df`` whose key ``labels`` marks 1, and nowhere 0; a key marked twice counts once, null keys never."""
-    marks = labels.groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_mark")).where("_mark = 1")
+def trusted_texts(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", max_trusted: int | None = MAX_TRUSTED) -> DataFrame:
+    """Texts of the rows of ``df`` whose key ``labels`` marks 1, and nowhere 0; a key marked twice counts once, null keys never.
+
+    Of more than ``max_trusted`` such keys about that many teach, chosen by a digest of the key; so few are broadcast, and no text is
+    shuffled. None takes them all, whose texts a shuffle brings to them.
+    """
+    marks = labels.groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_mark")).where("_mark = 1 AND _key IS NOT NULL").select("_key")
+    if max_trusted is not None:
+        many = marks.count()
+        draw = F.conv(F.substring(F.sha2(F.col("_key").cast("string").cast("binary"), 256), 1, 8), 16, 10).cast("long")
+        marks = F.broadcast(marks.where(draw < F.lit(min(1.0, max_trusted / max(many, 1))) * (1 << 32)))
     return df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(marks, "_key", "left_semi").select(F.col("_text").alias(text))
 
 

@@ -127,7 +127,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM said GROUP BY conv_id""",
     "op11_quality_rules": r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, encode(coalesce(text, '')) AS raw FROM documents),
-marks AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+marks AS (
+    SELECT doc_id FROM good
+    WHERE CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) < least(1.0::DOUBLE, 50000::DOUBLE / (SELECT count(*) FROM good)) * 4294967296),
 words AS (
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS pos, word
     FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos

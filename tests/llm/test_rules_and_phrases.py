@@ -79,7 +79,8 @@ def test_rules_tell_junk_from_prose(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(0, 200, 2)] + [(2, 0), (None, 1)] + [(1000 + i, 0) for i in range(20)], "doc_id long, quality int")
     df = docs(spark, good + junk)
     trusted = quality_rules.trusted_texts(df, labels)
-    assert trusted.count() == 99  # not the one that is marked both ways
+    assert trusted.count() == 99 == quality_rules.trusted_texts(df, labels, max_trusted=None).count()  # not the one that is marked both ways
+    assert 25 < quality_rules.trusted_texts(df, labels, max_trusted=50).count() < 75
     got = {r.doc_id: r.kept for r in quality_rules.apply_rules(df, quality_rules.fit(df, trusted), keep=("doc_id",)).collect()}
     assert all(got[i] for i in range(200)) and not any(got[1000 + i] for i in range(40))
 
