@@ -129,12 +129,54 @@ def test_languages_and_grams_are_bounded(spark, monkeypatch, most):
     df = docs(spark, corpus())
     with pytest.raises(ValueError, match="languages"):
         langid.fit(df, max_langs=2)
-    whole, few = langid.fit(df), langid.fit(df, max_cells=9 * 60)
-    assert len(whole.hashes[4]) > len(few.hashes[4]) and len(few.hashes[4]) <= 180
+    whole, few = langid.fit(df), langid.fit(df, max_grams=180)
+    held = [sum(len(m.hashes[4]) for m in x.models) for x in (whole, few)]
+    assert held[0] > held[1] and 120 < held[1] <= 240
     texts = [words(40, 5000 + i, k) for i in range(9) for k in ("aa", "bb", "cc")]
     assert few.predict(texts)[0] == ["aa", "bb", "cc"] * 9
 
 
+def test_discounts_are_those_of_all_grams(spark):
+    rows = corpus()
+    df = docs(spark, rows)
+    whole, few = langid.fit(df), langid.fit(df, max_grams=300)
+    counts = spark.createDataFrame([(0, int(k), int(n)) for k, n in [(1 << 48 | 2, 1), (1 << 48 | 3, 1), (2 << 48 | 2, 1), (7, 2), (1 << 32 | 7, 5)]], "lang int, gram long, n long")
+    keys, n = (np.array([r[i] for r in sorted(counts.collect(), key=lambda r: r["gram"])]) for i in (1, 2))
+    assert langid._discounts_of(counts)[0] == langid.discounts(keys.view(np.uint64), n)
+    # What stays has its own counts and the discounts of before: of a frequent 4-gram both models say much the same.
+    often = langid.grams(*(lambda c: (c[0], np.flatnonzero(c[2])))(langid.symbols([rows[0][1]])))
+    assert whole.log_probabilities(often).shape == few.log_probabilities(often).shape == (len(often), 3)
+
+
+def alike(langs, texts, letters, seed):
+    """Texts of made languages that share their letters and most of their habits."""
+    rng, usual = np.random.default_rng(seed), np.random.default_rng(7).dirichlet(np.full(20, 0.5), 20)
+    alphabet = np.array(list("abcdefghijklmnopqrst"))
+    for name in range(langs):
+        own = np.random.default_rng(1000 + name).dirichlet(np.full(20, 0.5), 20)
+        steps = np.cumsum(0.75 * usual + 0.25 * own, axis=1)
+        for _ in range(texts):
+            at, made = 0, []
+            for x in rng.random(letters):
+                at = min(int(np.searchsorted(steps[at], x)), 19)
+                made.append(at)
+            yield f"l{name:02d}", "".join(alphabet[made])
+
+
+def test_many_languages_that_are_alike(spark):
+    rows = [doc(i, t, k) for i, (k, t) in enumerate(alike(64, 60, 300, 1))]
+    df = docs(spark, rows)
+    asked = list(alike(64, 6, 300, 2))
+
+    def right(model):
+        return np.mean([a == k for a, (k, _) in zip(model.predict([t for _, t in asked])[0], asked, strict=True)])
+
+    unbounded, usual = right(langid.fit(df, max_grams=1 << 40)), langid.fit(df)
+    total = sum(len(m.hashes[4]) for m in usual.models)
+    assert total > 64 * 4096 and abs(right(usual) - unbounded) <= 0.01 and unbounded > 0.5
+    assert right(langid.fit(df, max_grams=total * 3 // 4)) > unbounded - 0.15
+
+
 def labelled(n=400):
     rows, marks = [], []
     for i in range(n):
