@@ -32,6 +32,8 @@ LEAST = 4
 PART = 4096
 #: What part of the nearest ones a search should find, and how many sample vectors measure that.
 RECALL, PROBES = 0.95, 192
+#: How many times as many rows a query looks at next that has not found enough keys.
+FURTHER = 8
 #: Candidates that each query gets at least, if there are as many.
 AT_LEAST = 4096
 
@@ -76,7 +78,10 @@ class Forest:
         return out
 
     def visits(self, x: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(tree, leaf) of all leaves that hold rows, in the order of the shared queue; counts by tree, leaf."""
+        """(tree, leaf) of all leaves that hold rows, in the order of the shared queue; counts by tree, leaf.
+
+        A query's counts are without the rows of its own key, which are no candidates of it.
+        """
         inner = (1 << self.depth) - 1
         x = unit(x[None])[0]
         margins = (self.normals @ x - self.thresholds) if inner else np.zeros((self.trees, 0))
@@ -132,8 +137,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
     Null keys and unusable vectors (null, zero, with null or non-finite components) take no part, as query or candidate.
     Vectors of one size are compared with each other, in a forest of their own, in the precision of their column. Rows that share a key are one candidate, whose score is that of its best vector, and
     a query's own key is none; a query key with several vectors asks by the smallest. A query with fewer than ``k``
-    candidates gets them all. ``share`` of all different rows, counted with repetition over trees, are looked at for each
-    query, ``AT_LEAST`` of them at least; None measures the share on the sample.
+    candidates gets them all. ``share`` of all different rows, counted with repetition over trees and without those of the
+    query's own key, are looked at for each query, ``AT_LEAST`` of them at least; None measures the share on the sample. A query that
+    found fewer than ``k`` keys, since few keys fill its leaves, goes on in its queue, ``FURTHER`` times as far each time.
     """
     spark = arrow_limits(df.sparkSession)
     good = df.where(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), compared(df, vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
@@ -170,9 +176,14 @@ def _found(good: DataFrame, size: int, rows: int, k: int, share: float | None, t
     counts[totals.column("tree").to_numpy(), totals.column("leaf").to_numpy()] = totals.column("n").to_numpy()
     parts = spark.sparkContext.broadcast(-(-counts // PART))  # as many numbers as the forest has leaves
     looked_at = forest.budget_for(points, counts, k) if share is None else int(share * rows)
-    leaf_counts, budget = spark.sparkContext.broadcast(counts), max(AT_LEAST, looked_at)
+    leaf_counts = spark.sparkContext.broadcast(counts)
     names = ["tree", "leaf", "part", "query", "id", "v"]
 
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = shared.value.leaves(matrix(batch.column("v"), size)) + np.arange(trees) * (1 << shared.value.depth)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy(), trees)), pa.array(own.reshape(-1))], names=["id", "place"])
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -183,9 +194,13 @@ def _found(good: DataFrame, size: int, rows: int, k: int, share: float | None, t
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column("v"), size)
-            for i in range(len(x)):
-                t, own = np.array(shared.value.search(x[i], leaf_counts.value, budget), np.int64).reshape(-1, 2).T
+            x, budget = matrix(batch.column("v"), size), batch.column("budget").to_numpy()
+            for i, mine in enumerate(batch.column("own")):
+                held = leaf_counts.value
+                if mine.is_valid:
+                    held = held.copy()
+                    held.reshape(-1)[mine.values.field("place").to_numpy()] -= mine.values.field("n").to_numpy()
+                t, own = np.array(shared.value.search(x[i], held, budget[i]), np.int64).reshape(-1, 2).T
                 n = parts.value[t, own]
                 t, own, part = np.repeat(t, n), np.repeat(own, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 one = np.full(len(t), i)
@@ -214,9 +229,33 @@ def _found(good: DataFrame, size: int, rows: int, k: int, share: float | None, t
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
 
     layout = f"tree long, leaf long, part long, query boolean, id long, v {good.schema['v'].dataType.simpleString()}"
-    asked = good.where("q").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(ask, layout)
-    met = good.select("id", "v", "h").mapInArrow(index, layout).unionAll(asked).repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part", "query")
-    return met.mapInArrow(rank, "query_id long, vec_id long, score double")
+    queries = good.where("q").groupBy("id").agg(F.min("v").alias("v"))
+    # Where the rows of query keys with several of them lie: as many numbers a key as it has rows, or as there are leaves.
+    several = good.groupBy("id").agg(F.count("*").alias("n"), F.max("q").alias("q")).where("q AND n > 1").select("id")
+    crowded = good.select("id", "v").join(several, "id", "left_semi").mapInArrow(places, "id long, place long").groupBy("id", "place").agg(F.count("*").alias("n"))
+    queries = queries.join(crowded.groupBy("id").agg(F.collect_list(F.struct("place", "n")).alias("own")), "id", "left")
+    queries, _ = cut(queries.select("id", "v", "own"), "queries")
+
+    def answers(asking: DataFrame) -> DataFrame:
+        met = good.select("id", "v", "h").mapInArrow(index, layout).unionAll(asking.mapInArrow(ask, layout)).repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part", "query")
+        return cut(met.mapInArrow(rank, "query_id long, vec_id long, score double"), "found")[0]
+
+    budget = max(AT_LEAST, looked_at)
+    out, keys = None, None
+    asking = queries
+    while True:
+        found = answers(asking.withColumn("budget", F.lit(budget).cast("long")))
+        if budget >= rows * trees:
+            break
+        # Of few keys there may be no more to find; how many there are matters only below ``k``.
+        keys = keys or good.select("id").distinct().limit(k + 1).count()
+        enough = found.groupBy(F.col("query_id").alias("id")).agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= min(k, keys - 1))
+        asking, _ = cut(asking.drop("budget").join(enough, "id", "left_anti"), "queries")
+        if asking.isEmpty():
+            break
+        done = found.join(asking.select(F.col("id").alias("query_id")), "query_id", "left_anti")
+        out, budget = done if out is None else out.unionAll(done), budget * FURTHER
+    return found if out is None else out.unionAll(found)
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, held: np.ndarray, k: int) -> list[tuple[np.ndarray, ...]]:

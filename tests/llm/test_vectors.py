@@ -60,6 +60,21 @@ def test_rows_of_one_key_take_one_place(spark, monkeypatch):
     assert ann.nearest(frame(spark, few), F.col("vec_id") == 0, k=5).count() == 5
 
 
+def test_crowded_keys_do_not_use_up_a_query(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    own, other = rng.normal(size=(8000, 8)), rng.normal(size=(3000, 8)) * 0.01 + np.eye(8)[0]
+    few = rng.normal(size=(10, 8)) - 3 * np.eye(8)[0]
+    rows = [(0, [*map(float, v)], 0) for v in own] + [(1, [*map(float, v)], 0) for v in other] + [(2 + i, [*map(float, v)], 0) for i, v in enumerate(few)]
+    got = ann.nearest(frame(spark, rows), F.col("vec_id") == 0, k=5).orderBy("rank").collect()
+    assert len(got) == 5
+    # Next to the many rows of key 1 a query must go on until it has met other keys.
+    monkeypatch.setattr(ann, "AT_LEAST", 64)
+    near = [(100, [*map(float, np.eye(8)[0] + 1e-4)], 0)]
+    got = ann.nearest(frame(spark, rows + near), F.col("vec_id") == 100, k=12, share=0.001).orderBy("rank").collect()
+    assert [r.rank for r in got] == list(range(1, 13)) and sorted(r.vec_id for r in got) == list(range(12))
+    assert got[0].vec_id == 1
+
+
 def test_sizes_are_searched_apart_and_doubles_stay_doubles(spark):
     x, y = np.random.default_rng(6).normal(size=(12, 8)), np.random.default_rng(7).normal(size=(7, 3))
     y[1] = y[0] * 1e200
