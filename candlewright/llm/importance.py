@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm._shared import arrow_limits, numbered
+from candlewright.llm._shared import arrow_limits, cut, numbered
 from candlewright.llm._words import LOWER, byte_class, coded, first_places, ngram_codes, runs, slices, spaced, strings
 
 BUCKETS, LONGEST = 10_000, 3
@@ -25,7 +25,11 @@ FEWEST_WORDS, PERCENT = 20, 5
 LETTERS = byte_class(bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)))
 
 
-def features(data: np.ndarray, offsets: np.ndarray, longest: int = LONGEST) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+#: Bytes, and where each string starts and ends in them.
+Strings = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def features(data: np.ndarray, offsets: np.ndarray, longest: int = LONGEST) -> Iterator[tuple[np.ndarray, np.ndarray, Strings]]:
     """For each length of n-gram: the row and the code of each occurrence, and the distinct strings by code."""
     low = LOWER[data]
     starts, ends, row = runs(LETTERS[low], offsets)
@@ -36,12 +40,13 @@ def features(data: np.ndarray, offsets: np.ndarray, longest: int = LONGEST) -> I
     for n, at, code in ngram_codes(words, row, longest):
         if len(at):
             first = at[first_places(code)]
-            yield row[at], code, strings(text, begin[first], end[first + n - 1])
+            yield row[at], code, (text, begin[first], end[first + n - 1])
 
 
-def hashed(found: pa.Array, buckets: int) -> np.ndarray:
+def hashed(found: Strings, buckets: int) -> np.ndarray:
     """The bucket of each string: its UTF-8 bytes' CRC-32, modulo ``buckets``."""
-    return np.fromiter((zlib.crc32(s) for s in found.cast(pa.large_binary()).to_pylist()), np.int64, len(found)) % buckets
+    data, crc32 = found[0].tobytes(), zlib.crc32
+    return np.array([crc32(data[a:b]) for a, b in zip(found[1].tolist(), found[2].tolist(), strict=True)], np.int64) % buckets
 
 
 def bucket_counts(df: DataFrame, text: str = "text", buckets: int = BUCKETS, longest: int = LONGEST, one_dictionary: bool = False) -> np.ndarray:
@@ -56,7 +61,7 @@ def bucket_counts(df: DataFrame, text: str = "text", buckets: int = BUCKETS, lon
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in slices(batches):
             for _, code, found in features(data, offsets, longest):
-                yield pa.RecordBatch.from_arrays([found.cast(pa.string()), pa.array(np.bincount(code))], names=["feature", "n"])
+                yield pa.RecordBatch.from_arrays([strings(*found).cast(pa.string()), pa.array(np.bincount(code))], names=["feature", "n"])
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
@@ -130,7 +135,8 @@ def resample(weighed: DataFrame, key: str = "doc_id", percent: int = PERCENT, fe
     Of the N rows with ``fewest`` words or more, ``floor(percent * N / 100)`` are drawn, the highest scores first, equal ones by key,
     null keys first. All rows are sorted by range, and ranks come from how many lie in the ranges before; no task sees more than its range.
     """
-    scored = weighed.withColumn("score", F.col("weight") + noise(key, seed)).withColumn("_out", F.col("n_words") < fewest)
+    spread, _ = cut(weighed, "weighed")  # else ranges would be found by weighing everything twice
+    scored = spread.withColumn("score", F.col("weight") + noise(key, seed)).withColumn("_out", F.col("n_words") < fewest)
     ranked, totals = numbered(scored, [F.col("_out").asc(), F.col("score").desc(), F.col(key).asc()], "ranked", "NOT _out")
     drawn = percent * totals // 100
     return ranked.withColumn("rank", F.when(~F.col("_out") & (F.col("_number") < drawn), F.col("_number") + 1)).drop("_out", "_number")
