@@ -10,8 +10,8 @@ into tiers, each ``fanout`` times as large as the one below, and packs the shard
 runs of about ``target`` bytes; each run is rewritten as one shard. Old files stay until ``vacuum``, which also takes
 away what writers left behind that never committed.
 
-The driver handles the names of files, of which there are as many as the data have multiples of ``target`` bytes and
-``MAX_FILES`` more, but no rows.
+The driver handles the names of folders, of which there is one for each write, of single shards where part of a write has been
+merged since, and of the ``MAX_FILES`` shards that a compaction reads at most, but no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ TARGET, FANOUT, LEAST = 128 << 20, 4, 1 << 20
 MAX_FILES = 10_000
 #: How long files that no version names are left alone: their writer may still commit.
 GRACE_MS = 24 * 3_600_000
-MANIFEST = "path string, bytes long, rows long, since long"
+MANIFEST = "path string, bytes long, rows long, since long, shards long"
 
 
 class Conflict(RuntimeError):
@@ -54,7 +54,7 @@ class ShardStore:
         return max(numbers_in(self.spark, f"{self.root}/commits"), default=0)
 
     def manifest(self, version: int | None = None) -> DataFrame:
-        """(path, bytes, rows, since): the shards of a version, and the version that added each."""
+        """(path, bytes, rows, since, shards): the shards of a version, which one added each, and how many were added with it."""
         version = self.version() if version is None else version
         if not version:
             return self.spark.createDataFrame([], MANIFEST)
@@ -63,14 +63,20 @@ class ShardStore:
     def _named(self, version: int) -> str:
         return json.loads(read_text(self.spark, f"{self.root}/commits/{version:012d}"))["manifest"]
 
+    def places(self, version: int | None = None) -> list[str]:
+        """What a reader of a version opens: the folders of writes whose shards all count, and single shards of the others."""
+        per = self.manifest(version).groupBy(F.substring_index("path", "/", 2).alias("folder")).agg(F.count("*").alias("n"), F.first("shards").alias("shards"), F.collect_list("path").alias("paths"))
+        whole = F.when(F.col("n") == F.col("shards"), F.array("folder")).otherwise(F.col("paths"))
+        return [r[0] for r in per.select(F.explode(whole)).toLocalIterator()]
+
     def read(self, version: int | None = None) -> DataFrame:
-        paths = [r["path"] for r in self.manifest(version).select("path").toLocalIterator()]
+        paths = self.places(version)
         reader = self.spark.read.schema(self.schema)
         return reader.parquet(*[f"{self.root}/{p}" for p in paths]) if paths else self.spark.createDataFrame([], self.schema)
 
     def append(self, arrivals: DataFrame) -> int:
         """Add rows as new shards; returns the version that has them. Columns go by name and must be the store's."""
-        new = self._write(arrivals.select(*self.schema.names))
+        new = self._write(arrivals.select(*[F.col(f"`{c}`") for c in self.schema.names]))
         while True:
             base = self.version()
             try:
@@ -97,13 +103,15 @@ class ShardStore:
     def compact(self, target: int = TARGET, fanout: int = FANOUT) -> int | None:
         """Merge tiers with enough shards; returns the new version, or None where there is nothing to merge."""
         base = self.version()
-        plan, _ = cut(self.plan(target, fanout).select("path", F.element_at(F.split("path", "/"), -1).alias("_file"), F.col("run").alias("_run")), "runs")  # at most MAX_FILES rows
-        many, last = plan.agg(F.count("*"), F.max("_run")).first()
+        file, run = (self._free(n) for n in ("file", "run"))
+        plan, _ = cut(self.plan(target, fanout).select("path", F.element_at(F.split("path", "/"), -1).alias(file), F.col("run").alias(run)), "runs")  # at most MAX_FILES rows
+        many, last = plan.agg(F.count("*"), F.max(run)).first()
         if not many:
             return None
         rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{r['path']}" for r in plan.select("path").toLocalIterator()])
-        rows = rows.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_file")).join(F.broadcast(plan.drop("path")), "_file")
-        new = self._write(rows.repartitionById(1 + last, F.col("_run")).select(*self.schema.names))
+        origin = rows.metadataColumn("_metadata")["file_path"]
+        rows = rows.select("*", F.element_at(F.split(origin, "/"), -1).alias(file)).join(F.broadcast(plan.drop("path")), file)
+        new = self._write(rows.repartitionById(1 + last, F.col(run)).select(*[F.col(f"`{c}`") for c in self.schema.names]))
         gone = plan.select("path")
         while True:
             old = self.manifest(base)
@@ -128,9 +136,13 @@ class ShardStore:
         for v in kept[1:]:
             live = live.union(self.manifest(v).select("path"))
         gone = 0
+        in_use = live.select(F.substring_index("path", "/", 2).alias("folder")).distinct()
         for v in old:
-            for r in self.manifest(v).select("path").join(live, "path", "left_anti").distinct().toLocalIterator():
-                gone += bool(drop_path(self.spark, f"{self.root}/{r['path']}"))
+            dead = self.manifest(v).join(live, "path", "left_anti").select("path", F.substring_index("path", "/", 2).alias("folder"))
+            partly = dead.join(in_use, "folder", "left_semi").select("path", F.lit(1).alias("n"))
+            wholly = dead.join(in_use, "folder", "left_anti").groupBy("folder").agg(F.count("*").alias("n"))
+            for r in partly.union(wholly).toLocalIterator():  # one call for each write of which nothing is left
+                gone += r[1] * bool(drop_path(self.spark, f"{self.root}/{r[0]}"))
             drop_path(self.spark, f"{self.root}/manifests/{self._named(v)}")
             drop_path(self.spark, f"{self.root}/commits/{v:012d}")
         # Of the live shards only the names of their folders come here, of which there is one for each write.
@@ -146,13 +158,20 @@ class ShardStore:
         """Write rows as shards in a folder of their own; (path, bytes, rows) of those that hold any."""
         folder = f"data/{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
-        made = self.spark.read.schema(self.schema).parquet(f"{self.root}/{folder}")
+        made = self.spark.read.schema(StructType([])).parquet(f"{self.root}/{folder}")
         file = F.concat(F.lit(f"{folder}/"), F.element_at(F.split("_metadata.file_path", "/"), -1))
-        return made.groupBy(file.alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
+        shards = made.groupBy(file.alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
+        return shards.crossJoin(F.broadcast(shards.agg(F.count("*").alias("shards"))))  # one row
+
+    def _free(self, name: str) -> str:
+        """A name that no column of the store has."""
+        while name.lower() in map(str.lower, self.schema.names):
+            name += "_"
+        return name
 
     def _commit(self, base: int, shards: DataFrame) -> int:
         name = uuid.uuid4().hex
-        shards.select("path", "bytes", "rows", "since").coalesce(1).write.parquet(f"{self.root}/manifests/{name}")
+        shards.select("path", "bytes", "rows", "since", "shards").coalesce(1).write.parquet(f"{self.root}/manifests/{name}")
         if not create_once(self.spark, f"{self.root}/commits/{base + 1:012d}", json.dumps({"manifest": name})):
             drop_path(self.spark, f"{self.root}/manifests/{name}")
             raise Conflict(f"version {base + 1} exists")
@@ -160,11 +179,11 @@ class ShardStore:
 
 
 def shard_arrivals(df: DataFrame, root: str, key: str = "doc_id", arrivals: int = 4, target: int = TARGET, keep: int = 1) -> ShardStore:
-    """A store of all rows of ``df``, appended in ``arrivals`` parts and compacted after every second one.
+    """A store of all rows of ``df``, appended in ``arrivals`` parts and compacted after every second one, until nothing merges.
 
     Parts are ranges of a whole-numbered key, with null keys in the last one, and go by a hash of any other key. The
-    newest ``keep`` versions stay readable. An empty table makes an empty store; texts, nulls in other columns and
-    repeated rows are stored as they are.
+    newest ``keep`` versions stay readable; what only older ones have goes between compactions. An empty table makes an empty
+    store; texts, nulls in other columns and repeated rows are stored as they are, columns of any name too.
     """
     store = ShardStore(df.sparkSession, root, df.schema)
     if isinstance(df.schema[key].dataType, IntegralType):
@@ -177,9 +196,7 @@ def shard_arrivals(df: DataFrame, root: str, key: str = "doc_id", arrivals: int
     for i, part in enumerate(parts):
         store.append(df.where(part))
         if i % 2 or i == arrivals - 1:
-            more = True
-            while more:  # once, unless there are more small shards than a compaction reads
-                more = store.small(target).count() > MAX_FILES
-                more = store.compact(target) is not None and more
             store.vacuum(keep)
+            while store.compact(target) is not None:
+                store.vacuum(keep)
     return store

@@ -22,6 +22,43 @@ def test_rows_come_back(spark, tmp_path):
     assert empty.read().count() == 0 and empty.read().columns == docs(spark, []).columns
 
 
+def test_columns_of_any_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST", 1024)
+    df = docs(spark, [doc(i, words(30, i)) for i in range(60)])
+    for name in ("_file", "_run", "file", "run", "File_", "path", "bytes", "since", "shards", "tier", "folder", "_metadata", "a.b", "_n"):
+        df = df.withColumn(name, F.col("doc_id") + 1)
+    s = shard_arrivals(df, f"file://{tmp_path}/n")
+    assert s.version() > 4
+    same(s.read(), df)
+
+
+def test_tiers_merge_until_nothing_is_left_to_merge(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST", 512)
+    df = docs(spark, [doc(i, words(30, i)) for i in range(400)]).repartition(24)
+    s = shard_arrivals(df, f"file://{tmp_path}/t", target=60_000)
+    same(s.read(), df)
+    assert s.plan(60_000).count() == 0 and s.manifest().count() < 24
+    live = {r.path for r in s.manifest().collect()}
+    files = {str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t/data").rglob("*.parquet")}
+    assert live <= files and len(files - live) <= len({p.split("/")[1] for p in live})
+
+
+def test_readers_open_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST", 1024)
+    df = docs(spark, [doc(i, words(30, i)) for i in range(90)])
+    s = store(spark, tmp_path, df)
+    s.append(df.where("doc_id < 30").repartition(6))
+    assert len(s.places()) == 1 and s.manifest().count() == 6
+    big = docs(spark, [doc(i, words(6000 if i > 80 else 30, i)) for i in range(30, 90)])
+    s.append(big.repartitionByRange(6, "doc_id"))
+    assert len(s.places()) == 2
+    s.compact(20_000)
+    assert 1 < len(s.places()) <= s.manifest().count()
+    same(s.read(), df.where("doc_id < 30").unionAll(big))
+    s.vacuum()
+    same(s.read(), df.where("doc_id < 30").unionAll(big))
+
+
 @pytest.mark.parametrize("kind", ["string", "decimal(20,2)", "date", "double", "int"])
 def test_keys_of_any_type(spark, tmp_path, kind):
     df = docs(spark, [doc(i, words(5, i)) for i in range(60)] + [doc(None, "none")])
