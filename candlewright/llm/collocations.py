@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.llm._shared import arrow_limits, cut, numbered, own_dir
-from candlewright.llm._words import LOWER, byte_class, coded, first_places, runs, slices, strings
+from candlewright.llm._words import LOWER, byte_class, coded, first_places, runs, slices, strings, text_bytes
 from candlewright.sources.files import drop_path
 
 #: Words of the longest phrase, and the fewest occurrences of one.
@@ -26,9 +26,9 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of frequent words that workers may hold; beyond it words get their ids by a join.
 DICTIONARY_BYTES = 32 << 20
 #: Keys of a range, which one task sorts.
-RANGE_KEYS = 1 << 21
+RANGE_KEYS = 1 << 20
 #: Keys that a task sums up before it lets them go.
-HELD_KEYS = 1 << 20
+HELD_KEYS = 1 << 18
 #: What takes a task's batches apart into ids, pieces and weights of words.
 Source = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 #: Ends of pieces; words lie between these and blanks.
@@ -204,7 +204,7 @@ def count_runs(rows: DataFrame, read: Source, shortest: int, longest: int, least
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        ids = np.frombuffer(b"".join(b"".join(b.column(0).to_pylist()) for b in parts), ">u4").astype(np.uint32).reshape(-1, longest)
+        ids = np.concatenate([text_bytes(b.column(0))[0] for b in parts]).view(">u4").astype(np.uint32).reshape(-1, longest)
         own = np.concatenate([b.column(1).to_numpy() for b in parts])
         order = radix_order(ids)
         for found, a in run_lengths(ids[order], own[order], least, shortest):
