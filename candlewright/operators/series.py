@@ -1,4 +1,4 @@
-"""Bars of a series by number, and chunks of bars with what went before them.
+"""Bars of a series by number.
 
 A series may hold a third of all rows, so nothing collects one. Bar numbers come from counts of time buckets: each
 bucket is numbered on its own and starts at the count of the buckets before it.
@@ -6,63 +6,24 @@ bucket is numbered on its own and starts at the count of the buckets before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewright.functions.moving import finite
 from candlewright.functions.time import floored
 from candlewright.schema import MINUTE_MS, SERIES
 
-#: Bars of a bucket at most, of chunks, and the lengths of the longest recursive average that go before a chunk.
-BUCKET_BARS, CHUNK_BARS, HALO_LENGTHS = 8192, 16_384, 20
+#: Bars of a bucket at most.
+BUCKET_BARS = 8192
 
 
-def numbered(candles: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
-    """``candles`` with ``bar``: 0, 1, ... by time within each series. Keys must be unique.
-
-    For each of ``sources`` also ``_past_<name>``: true from the first bar on that has no finite value of that column after
-    a bar that has one, whatever comes later. Buckets tell in which of them a series has its first value, and what
-    holes they have; within that bucket its own order decides, which the numbering has sorted anyway.
-    """
+def numbered(candles: DataFrame) -> DataFrame:
+    """``candles`` with ``bar``: 0, 1, ... by time within each series. Keys must be unique."""
     width = F.col("timeframe_minutes").cast("long") * MINUTE_MS * BUCKET_BARS
     rows = candles.withColumn("_bucket", floored(F.col("ts"), width))
-    counts = rows.groupBy(*SERIES, "_bucket").agg(F.count("*").alias("_n"), *[x for c in sources for x in _extremes(c)])
+    counts = rows.groupBy(*SERIES, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*SERIES).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*SERIES).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counts = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    for c in sources:
-        counts = counts.withColumn(f"_first_{c}", F.min(f"_low_{c}").over(whole))
-        home = floored(F.col(f"_first_{c}"), width)
-        later = F.min(F.when(F.col("_bucket") > home, F.col(f"_hole_{c}"))).over(whole)
-        at_home = F.max(F.when(F.col("_bucket") == home, F.col(f"_last_hole_{c}"))).over(whole) > F.col(f"_first_{c}")
-        counts = counts.withColumn(f"_from_{c}", F.when(F.col("_bucket") > home, F.when(at_home, F.col("_bucket")).otherwise(later)))
-        counts = counts.withColumn(f"_home_{c}", F.col("_bucket") == home).drop(f"_low_{c}", f"_hole_{c}", f"_last_hole_{c}", f"_first_{c}")
     own = Window.partitionBy(*SERIES, "_bucket").orderBy("ts")
-    upto = own.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_own", F.row_number().over(own) - 1)
-    for c in sources:
-        good = finite(F.col(c)).isNotNull()
-        rows = rows.withColumn(f"_begun_{c}", F.max(good).over(upto)).withColumn(f"_broken_{c}", F.max(~good & F.col(f"_begun_{c}")).over(upto)).drop(f"_begun_{c}")
-    rows = rows.join(counts, [*SERIES, "_bucket"]).withColumn("bar", (F.col("_base") + F.col("_own")).cast("long"))
-    for c in sources:
-        past = F.when(F.col(f"_home_{c}"), F.col(f"_broken_{c}")).otherwise(F.coalesce(F.col("ts") >= F.col(f"_from_{c}"), F.lit(False)))
-        rows = rows.withColumn(f"_past_{c}", F.coalesce(past, F.lit(False))).drop(f"_home_{c}", f"_broken_{c}", f"_from_{c}")
-    return rows.drop("_bucket", "_own", "_base")
-
-
-def _extremes(c: str) -> list[Column]:
-    """Of a bucket: when the first finite value of a column comes, and the first and last bar without one."""
-    good = finite(F.col(c)).isNotNull()
-    return [F.min(F.when(good, F.col("ts"))).alias(f"_low_{c}"), F.min(F.when(~good, F.col("ts"))).alias(f"_hole_{c}"), F.max(F.when(~good, F.col("ts"))).alias(f"_last_hole_{c}")]
-
-
-def chunked(bars: DataFrame, halo: int, chunk: int = CHUNK_BARS) -> DataFrame:
-    """``bars`` with ``chunk``: every bar in its own chunk, and again in the next ones that it is within ``halo`` of."""
-    first, last = F.floor(F.col("bar") / chunk), F.floor((F.col("bar") + halo) / chunk)
-    return bars.withColumn("chunk", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
-
-
-def own_bars(rows: DataFrame, chunk: int = CHUNK_BARS) -> DataFrame:
-    """Without the bars that a chunk has only to look back on."""
-    return rows.where(F.floor(F.col("bar") / chunk) == F.col("chunk"))
+    rows = rows.withColumn("_own", F.row_number().over(own) - 1).join(counts, [*SERIES, "_bucket"])
+    return rows.withColumn("bar", (F.col("_base") + F.col("_own")).cast("long")).drop("_bucket", "_own", "_base")

@@ -627,14 +627,14 @@ def stream_candles_1h(spark, d):
     return s.scan().select(BAR)
 
 
-@query("stream_features", f"{FEATURES_SQL} SELECT symbol, ts, ema_9, ema_26, ema_50, ema_100, ema_200, macd, macd_signal, macd_hist, rsi_14 FROM f")
+@query("stream_features", f"{FEATURES_SQL} SELECT * EXCLUDE (rn, {', '.join(PRICES)}) FROM f")
 def stream_features(spark, d):
-    """The indicators of a stream of candles, bar by bar with a few numbers of state; as in batch."""
+    """All indicators of a stream of candles, from state to state; as in batch."""
     source, out = _folder(spark, "bars"), _folder(spark, "live")
     lines(spark, d).write.parquet(source)
     made = live.live_features(spark.readStream.schema(CANDLES).parquet(source))
     made.writeStream.outputMode("append").option("checkpointLocation", _folder(spark, "live-checkpoint")).option("path", out).format("parquet").trigger(availableNow=True).start().awaitTermination()
-    names = live.LiveIndicators().names()
+    names = indicators.feature_names()[len(PRICES) :]
     return spark.read.schema(made.schema).parquet(out).select("symbol", "ts", *[F.round(n, 6).alias(n) for n in names])
 
 

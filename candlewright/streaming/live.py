@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from candlewright.functions.time import millis, slot_start
+from candlewright.operators.indicators import DEFAULT_ENGINES, Engine, Stepper
 from candlewright.schema import SERIES, as_candles
 from candlewright.session import ship
 from candlewright.sources.store import CandleStore
@@ -64,95 +65,43 @@ def until_complete(missing_count: Callable[[], int], fill: Callable[[], None], m
     return left
 
 
-@dataclass
-class Average:
-    """A seeded recursive average, bar by bar: the state is how many values came, their sum, and the average."""
-
-    length: int
-    alpha: float
-    n: int = 0
-    total: float = 0.0
-    value: float = 0.0
-
-    def step(self, x: float | None) -> float | None:
-        if x is None:
-            return None
-        self.n += 1
-        if self.n <= self.length:
-            self.total += x
-            self.value = self.total / self.length
-            return self.value if self.n == self.length else None
-        self.value = x * self.alpha + self.value * (1 - self.alpha)
-        return self.value
-
-
-@dataclass
-class LiveIndicators:
-    """EMA fan, MACD and RSI of one series, bar by bar."""
-
-    ema: tuple[int, ...] = (9, 26, 50, 100, 200)
-    macd: tuple[int, int, int] = (12, 26, 9)
-    rsi: int = 14
-    averages: list[Average] = field(default_factory=list)
-    last: float | None = None
-    broken: bool = False
-
-    def __post_init__(self) -> None:
-        fast, slow, signal = self.macd
-        self.averages = [Average(n, 2.0 / (n + 1)) for n in (*self.ema, fast, slow, signal)] + [Average(self.rsi, 1.0 / self.rsi) for _ in range(2)]
-
-    def names(self) -> list[str]:
-        return [*(f"ema_{n}" for n in self.ema), "macd", "macd_signal", "macd_hist", f"rsi_{self.rsi}"]
-
-    def step(self, x: float | None) -> list[float | None]:
-        """The indicators at a bar; as in batch, a bar without a value after the first one with one ends them."""
-        self.broken = self.broken or (x is None and self.last is not None)
-        if x is None or self.broken:
-            return [None] * len(self.names())
-        *fan, fast, slow, signal, up, down = self.averages
-        out: list[float | None] = [a.step(x) for a in fan]
-        a, b = fast.step(x), slow.step(x)
-        macd = None if a is None or b is None else a - b
-        sig = signal.step(macd)
-        delta = None if self.last is None else x - self.last
-        self.last = x
-        rise, fall = (up.step(max(delta, 0.0)), down.step(max(-delta, 0.0))) if delta is not None else (None, None)
-        rsi = None if rise is None or fall is None else 100.0 if fall == 0 else 0.0 if rise == 0 else 100.0 - 100.0 / (1.0 + rise / fall)
-        return [*out, macd, sig, None if sig is None else macd - sig, rsi]
-
-    def dump(self) -> tuple:
-        return (float("inf") if self.broken else float("nan") if self.last is None else self.last, [float(v) for a in self.averages for v in (a.n, a.total, a.value)])
-
-    def load(self, state: tuple) -> LiveIndicators:
-        last, flat = state
-        self.last, self.broken = None if last != last else last, last == float("inf")
-        for i, a in enumerate(self.averages):
-            a.n, a.total, a.value = int(flat[3 * i]), flat[3 * i + 1], flat[3 * i + 2]
-        return self
-
-
-def live_features(candles: DataFrame, indicators: LiveIndicators | None = None) -> DataFrame:
-    """Series, ts, close and the indicators of a stream of closed candles, each series in the order of time.
-
-    The state of a series is a few numbers whatever its age. A candle without a finite close after one with one ends the
-    indicators of its series. A batch must not bring candles from before those of an earlier one; these are for a backfill
-    in batch. A task holds what a batch brings of one series: bound it by the source (``maxFilesPerTrigger``).
+def live_features(candles: DataFrame, engines: tuple[Engine, ...] = DEFAULT_ENGINES, hold_ms: int = 0) -> DataFrame:
+    """(series, ts, late, the engines' sources and columns) of a stream of closed candles.
+
+    The state of a series is that of its engines, a few hundred numbers whatever its age, and the candles that it holds back:
+    a candle goes on when its series has one that is ``hold_ms`` newer, so those that come up to that much out of order leave in the
+    order of time. One that is no newer than a candle that has left already comes too late for the indicators, which would be
+    wrong from there on: it leaves with ``late`` true and without any, for a backfill in batch. Repeated times within what is
+    held back are one candle, the last to come. A candle without a finite source after one with one ends the recursive
+    averages of its series, as in batch. A task holds what a batch brings of one series: bound it by the source (``maxFilesPerTrigger``).
     """
     ship(candles.sparkSession)
-    template = indicators or LiveIndicators()
-    names = template.names()
+    names = [n for e in engines for n in e.names()]
+    sources = list(dict.fromkeys(e.source for e in engines))
 
     def apply(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        own = LiveIndicators(template.ema, template.macd, template.rsi)
-        if state.exists:
-            own.load(state.get)
-        rows = pd.concat(list(parts)).sort_values("ts")
-        closes = [float(x) if pd.notna(x) and abs(x) != float("inf") else None for x in rows["close"]]
-        made = [(*key, int(ts), x, *own.step(x)) for ts, x in zip(rows["ts"], closes, strict=True)]
-        state.update(own.dump())
-        frame = pd.DataFrame(made, columns=[*SERIES, "ts", "close", *names])
-        frame[["close", *names]] = frame[["close", *names]].astype("float64")
-        yield frame
-
-    out = "market string, category string, symbol string, timeframe_minutes int, ts long, close double, " + ", ".join(f"{n} double" for n in names)
-    return candles.groupBy(*SERIES).applyInPandasWithState(apply, out, "last double, averages array<double>", "append", GroupStateTimeout.NoTimeout)
+        done, flat, held = (None, None, []) if not state.exists else state.get
+        stepper = Stepper(engines, flat)
+        waiting = pd.DataFrame(np.array(held, float).reshape(-1, 1 + len(sources))[:, 1:], columns=sources)
+        waiting.insert(0, "ts", np.array(held, float).reshape(-1, 1 + len(sources))[:, 0].astype("int64"))
+        for part in parts:
+            rows = part[["ts", *sources]].astype({"ts": "int64", **dict.fromkeys(sources, "float64")})
+            late = rows["ts"] <= done if done is not None else pd.Series(False, index=rows.index)
+            if late.any():
+                yield frame(key, rows[late], True)
+            waiting = pd.concat([waiting, rows[~late]], ignore_index=True).drop_duplicates("ts", keep="last")
+        ready = waiting["ts"] <= waiting["ts"].max() - hold_ms
+        out = waiting[ready].sort_values("ts")
+        if len(out):
+            done = int(out["ts"].iloc[-1])
+            values = {s: np.where(np.isfinite(out[s]), out[s], np.nan) for s in sources}
+            yield frame(key, out, False, stepper.step(values))
+        rest = waiting[~ready]
+        state.update((done, stepper.flat(), [float(v) for row in rest.itertuples(index=False) for v in row]))
+
+    def frame(key: tuple, rows: pd.DataFrame, late: bool, columns: dict[str, np.ndarray] | None = None) -> pd.DataFrame:
+        made = {c: [k] * len(rows) for c, k in zip(SERIES, key, strict=True)} | {"ts": rows["ts"].to_numpy(), "late": late} | {s: rows[s].to_numpy() for s in sources}
+        return pd.DataFrame(made | {n: np.full(len(rows), np.nan) if columns is None else columns[n] for n in names})
+
+    out = "market string, category string, symbol string, timeframe_minutes int, ts long, late boolean, " + ", ".join(f"{n} double" for n in [*sources, *names])
+    return candles.groupBy(*SERIES).applyInPandasWithState(apply, out, "done long, state array<double>, held array<double>", "append", GroupStateTimeout.NoTimeout)

@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 from helpers import DAY, JAN_2024, candles, close_to, loop_average, loop_sma, loop_stdev, walk
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from candlewright.functions import moving
 from candlewright.operators import indicators as ind
 from candlewright.operators.series import numbered
+from candlewright.schema import PRICES
 
 
 def frame(spark, closes, symbol="S"):
@@ -177,3 +180,48 @@ def test_holes_end_an_average_whatever_the_size(spark, holes):
         clean = lambda c: [None if x != x else x for x in got[c]]  # noqa: B023, E731
         assert close_to(clean("ema_9"), want, 1e-12) and close_to(clean("rma_5"), loop_with_holes(xs, 5, 0.2), 1e-12)
         assert [x is None for x in clean("bb_basis")] == [None in xs[i - 4 : i + 1] or i < 4 for i in range(n)]
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_long_series_are_the_loop(spark, broadcast):
+    n = 200_000
+    xs = {k: walk(n, seed=k) for k in (1, 2)}
+    rng = np.random.default_rng(5)
+    # Minutes with gaps, so that buckets hold from one bar to thousands; one of the series has no name.
+    at = {k: np.sort(np.concatenate([np.arange(n - 40) * 2 + rng.integers(0, 2, n - 40), 2 * n + np.cumsum(rng.integers(4000, 30_000, 40))])) for k in xs}
+    frames = [pd.DataFrame({"symbol": "S" if k == 1 else None, "ts": JAN_2024 + at[k] * 60_000, "close": xs[k]}) for k in xs]
+    df = spark.createDataFrame(pd.concat(frames)).select(F.lit("m").alias("market"), F.lit("c").alias("category"), "symbol", F.lit(1).alias("timeframe_minutes"), F.col("ts").cast("long").alias("ts"), *[F.col("close").alias(c) for c in PRICES])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = ind.with_features(df).toPandas().sort_values("ts")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for k, x in xs.items():
+        own = got[got.symbol == "S"] if k == 1 else got[got.symbol.isna()]
+        want = ind.Stepper(ind.DEFAULT_ENGINES).step({"close": np.array(x)})
+        assert len(own) == n and list(own.close) == x
+        for name, column in want.items():
+            # A difference of averages is as exact as they are, of about the size of the bars.
+            near = np.abs(x).max() * 1e-14 if "macd" in name else 0
+            np.testing.assert_allclose(own[name].to_numpy(), column, rtol=1e-12, atol=near, err_msg=name)
+        np.testing.assert_allclose(own["ema_200"], [np.nan if v is None else v for v in loop_average(x, 200, 2 / 201)], rtol=1e-12)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_summaries_take_any_state_where_steps_do(seed):
+    rng = np.random.default_rng(seed)
+    engines = (ind.EmaFan((2, 9)), ind.Rma(3), ind.Macd(3, 3 + seed % 2, 3), ind.Rsi(4, 3), ind.Bollinger(5), ind.EmaFan((4,), "open"))
+    x = {s: rng.normal(100, 3, 400) for s in ("close", "open")}
+    for s in x:
+        x[s][: rng.integers(0, 30)] = np.nan
+    if seed % 3 == 2:
+        x["close"][300] = np.nan
+    whole = ind.Stepper(engines).step(x)
+    edges = np.unique(np.concatenate([[0, 400], rng.integers(0, 400, 12)]))
+    summed = ind.Stepper(engines)
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        part = {s: v[lo:hi] for s, v in x.items()}
+        made = ind.Stepper(engines, summed.flat()).step(part)
+        for name, column in made.items():
+            np.testing.assert_allclose(column, whole[name][lo:hi], rtol=1e-11, atol=1e-11, err_msg=f"{name} {lo}")
+        summed.take(ind.Stepper(engines).summary(part))

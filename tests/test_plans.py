@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from helpers import DAY, HOUR, JAN_2024, candles
 from pyspark.sql import functions as F
 
@@ -74,7 +75,24 @@ def test_long_ranges_are_made_by_many_tasks(spark):
         assert made.select(F.spark_partition_id()).distinct().count() >= 4
 
 
-def test_holes_cost_no_shuffle(spark, tmp_path):
+def final(df):
+    df.write.format("noop").mode("overwrite").save()
+    grouped = df.groupBy().agg(*[F.count(c) for c in df.columns])
+    grouped.collect()
+    return plan(grouped)
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_features_shuffle_the_bars_once(spark, tmp_path, broadcast):
     c = stored(spark, tmp_path)
-    fan, bands = (indicators.with_features(c, (e,)) for e in (indicators.EmaFan((9,)), indicators.Bollinger()))
-    assert count(fan, "Exchange ") == count(bands, "Exchange ")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        for engines in ((indicators.Bollinger(),), indicators.DEFAULT_ENGINES):
+            text = final(indicators.with_features(c, engines, chunk=50))
+            assert len(re.findall("FileScan|Scan parquet", text)) == 1
+            wide = [x for x in text.split("\n") if re.search(r"\+- Exchange hashpartitioning", x) and "_bucket" in x and "REPARTITION_BY_COL" in x]
+            assert len(wide) == 1 and text.count("ReusedExchange") == 1
+            # Beside it only rows of buckets are shuffled: by series, and to their buckets where they are too many to broadcast.
+            assert len(re.findall(r"\+- Exchange hashpartitioning", text)) == (2 if broadcast == "10m" else 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

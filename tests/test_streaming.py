@@ -35,26 +35,56 @@ def test_tick_order_is_by_time_then_number(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+ENGINES = (indicators.EmaFan((9,)), indicators.Macd(4, 9, 3), indicators.Rsi(5, 4), indicators.Bollinger(6))
+
+
+def streamed(spark, tmp_path, batches, hold_ms=0, engines=ENGINES):
+    """What a stream of these batches emits, each a run of its own over one checkpoint."""
+    for rows in batches:
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/bars")
+        made = live.live_features(spark.readStream.schema(CANDLES).parquet(f"{tmp_path}/bars"), engines, hold_ms)
+        made.writeStream.option("checkpointLocation", f"{tmp_path}/ck").option("path", f"{tmp_path}/out").format("parquet").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{tmp_path}/out").orderBy("ts", "late").toPandas()
+
+
+def bars(spark, xs, lo, hi):
+    return candles(spark, [(JAN_2024 + i * DAY, 0, 0, 0, xs[i], 1) for i in range(lo, hi)])
+
+
 def test_live_indicators_over_batches(spark, tmp_path):
     xs = walk(120)
-    rows = candles(spark, [(JAN_2024 + i * DAY, 0, 0, 0, x, 1) for i, x in enumerate(xs)])
-    for k in range(3):
-        rows.where((F.col("close").isNotNull()) & (F.col("ts") >= JAN_2024 + 40 * k * DAY) & (F.col("ts") < JAN_2024 + 40 * (k + 1) * DAY)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/bars")
-        stream = spark.readStream.schema(CANDLES).parquet(f"{tmp_path}/bars")
-        made = live.live_features(stream, live.LiveIndicators((9,), (4, 9, 3), 5))
-        made.writeStream.option("checkpointLocation", f"{tmp_path}/ck").option("path", f"{tmp_path}/out").format("parquet").trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").orderBy("ts").toPandas()
-    engines = (indicators.EmaFan((9,)), indicators.Macd(4, 9, 3), indicators.Rsi(5, 5))
-    want = indicators.with_features(rows, engines).orderBy("ts").toPandas()
-    assert len(got) == 120 and [None if x != x else x for x in got["ema_9"]] == loop_average(xs, 9, 0.2)
-    for c in ("macd", "macd_signal", "macd_hist", "rsi_5"):
-        np.testing.assert_allclose(got[c], want[c], rtol=1e-12, equal_nan=True)
-
-
-def test_a_hole_ends_live_indicators():
-    one, two = live.LiveIndicators((2,), (2, 3, 2), 2), live.LiveIndicators((2,), (2, 3, 2), 2)
-    assert [one.step(x)[0] for x in (None, 1.0, 3.0, 4.0, None, 5.0)][:3] == [None, None, 2.0] and one.broken
-    assert two.load(one.dump()).step(6.0) == [None] * 5 and two.broken
+    got = streamed(spark, tmp_path, [bars(spark, xs, 40 * k, 40 * k + 40).orderBy(F.desc("ts")) for k in range(3)])
+    want = indicators.with_features(bars(spark, xs, 0, 120), ENGINES).orderBy("ts").toPandas()
+    assert len(got) == 120 and not got.late.any() and [None if x != x else x for x in got["ema_9"]] == loop_average(xs, 9, 0.2)
+    for c in indicators.feature_names(ENGINES)[5:]:
+        np.testing.assert_allclose(got[c], want[c], rtol=1e-12, equal_nan=True, err_msg=c)
+
+
+def test_a_late_file_is_named_and_changes_nothing(spark, tmp_path):
+    xs = walk(90)
+    got = streamed(spark, tmp_path, [bars(spark, xs, 0, 30), bars(spark, xs, 60, 90), bars(spark, xs, 30, 60)])
+    late, kept = got[got.late], got[~got.late]
+    assert len(late) == 30 and late[indicators.feature_names(ENGINES)[5:]].isna().all().all() and list(late.close) == xs[30:60]
+    known = candles(spark, [(JAN_2024 + i * DAY, 0, 0, 0, xs[i], 1) for i in [*range(30), *range(60, 90)]])
+    want = indicators.with_features(known, ENGINES).orderBy("ts").toPandas()
+    np.testing.assert_allclose(kept["ema_9"], want["ema_9"], rtol=1e-12, equal_nan=True)
+
+
+def test_held_back_candles_leave_in_order(spark, tmp_path):
+    xs = walk(91)
+    got = streamed(spark, tmp_path, [bars(spark, xs, 0, 30), bars(spark, xs, 60, 90), bars(spark, xs, 30, 60), bars(spark, xs, 90, 91)], hold_ms=60 * DAY)
+    want = indicators.with_features(bars(spark, xs, 0, 91), ENGINES).orderBy("ts").toPandas()
+    assert not got.late.any() and len(got) == 31  # those that are 60 days older than the newest one
+    for c in indicators.feature_names(ENGINES)[5:]:
+        np.testing.assert_allclose(got[c], want[c][:31], rtol=1e-12, equal_nan=True, err_msg=c)
+
+
+def test_a_hole_ends_live_averages(spark, tmp_path):
+    xs = [None, 1.0, 3.0, 4.0, float("inf"), 5.0, 6.0, 7.0, 8.0]
+    rows = [candles(spark, [(JAN_2024 + i * DAY, 0, 0, 0, xs[i], 1) for i in part]) for part in (range(4), range(4, 5), range(5, 9))]
+    got = streamed(spark, tmp_path, rows, engines=(indicators.EmaFan((2,)), indicators.Bollinger(2)))
+    assert [None if x != x else x for x in got["ema_2"]] == [None, None, 2.0, 4.0 * (2 / 3) + 2.0 * (1 - 2 / 3), *[None] * 5]
+    assert [None if x != x else x for x in got["bb_basis"]] == [None, None, 2.0, 3.5, None, None, 5.5, 6.5, 7.5]
 
 
 def test_tensors_share_the_block(spark):
