@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from candlewright.functions.time import floored
 from candlewright.operators.rollup import KEYS, slot_series, spread
 from candlewright.schema import MINUTE_MS, SERIES
 
@@ -72,29 +73,51 @@ def missing_count(intervals: DataFrame, minutes: int) -> DataFrame:
     return intervals.groupBy(*SERIES).agg(F.sum(n).cast("long").alias("n_missing"))
 
 
+def _in_buckets(candles: DataFrame) -> DataFrame:
+    """(series, bucket, ts, n, next_ts): distinct timestamps, how often each comes, and the next one of its bucket, by one shuffle."""
+    place = [*SERIES, "_bucket"]
+    width = F.col("timeframe_minutes").cast("long") * MINUTE_MS * BUCKET
+    rows = candles.select(*SERIES, "ts", floored(F.col("ts"), width).alias("_bucket")).repartition(*place)
+    per_ts = rows.groupBy(*place, "ts").agg(F.count("*").alias("_n"))
+    return per_ts.withColumn("next_ts", F.lead("ts").over(Window.partitionBy(*place).orderBy("ts")))
+
+
+def _edges(buckets: DataFrame) -> DataFrame:
+    """Buckets (series, bucket, first, last, ...) with ``after``: where the series goes on in a later one."""
+    return buckets.withColumn("_after", F.lead("_first").over(Window.partitionBy(*SERIES).orderBy("_bucket")))
+
+
 def breaks(candles: DataFrame) -> DataFrame:
-    """(series, ts, next_ts): neighbours further apart than the interval. Repeated timestamps are one."""
-    from candlewright.operators.series import numbered
+    """(series, ts, next_ts): neighbours further apart than the interval. Repeated timestamps are one.
+
+    Neighbours meet within time buckets; between buckets only the first and last of each do.
+    """
+    rows = _in_buckets(candles)
+    inside = rows.where("next_ts IS NOT NULL").select(*SERIES, "ts", "next_ts")
+    edges = _edges(rows.groupBy(*SERIES, "_bucket").agg(F.min("ts").alias("_first"), F.max("ts").alias("_last")))
+    both = inside.unionByName(edges.where("_after IS NOT NULL").select(*SERIES, F.col("_last").alias("ts"), F.col("_after").alias("next_ts")))
+    return both.where(F.col("next_ts") - F.col("ts") > _step())
+
 
-    step = F.col("timeframe_minutes").cast("long") * MINUTE_MS
-    bars = numbered(candles.select(*SERIES, "ts").distinct())
-    after = bars.select(*SERIES, (F.col("bar") - 1).alias("bar"), F.col("ts").alias("next_ts"))
-    return bars.join(after, [*SERIES, "bar"]).where(F.col("next_ts") - F.col("ts") > step).select(*SERIES, "ts", "next_ts")
+def _step() -> Column:
+    return F.col("timeframe_minutes").cast("long") * MINUTE_MS
 
 
 def overview(candles: DataFrame) -> DataFrame:
     """Per series: total, distinct and duplicate candles, first and last, expected, missing and the number of gaps."""
-    step = F.col("timeframe_minutes").cast("long") * MINUTE_MS
-    per_ts = candles.groupBy(*SERIES, "ts").agg(F.count("*").alias("_n"))
-    sums = per_ts.groupBy(*SERIES).agg(F.sum("_n").alias("total"), F.count("*").alias("n_distinct"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
-    gaps = breaks(candles).groupBy(*SERIES).agg(F.count("*").alias("n_gaps"))
-    out = sums.join(gaps, SERIES, "left").withColumn("expected", (F.floor((F.col("max_ts") - F.col("min_ts")) / step) + 1).cast("long"))
-    return out.select(*SERIES, "total", "n_distinct", (F.col("total") - F.col("n_distinct")).alias("n_dup"), "min_ts", "max_ts", "expected", (F.col("expected") - F.col("n_distinct")).alias("missing"), F.coalesce("n_gaps", F.lit(0)).cast("long").alias("n_gaps"))
+    step = _step()
+    buckets = _in_buckets(candles).groupBy(*SERIES, "_bucket").agg(
+        F.sum("_n").alias("_total"), F.count("*").alias("_distinct"), F.min("ts").alias("_first"), F.max("ts").alias("_last"), F.count_if(F.col("next_ts") - F.col("ts") > step).alias("_gaps")
+    )
+    apart = F.coalesce((F.col("_after") - F.col("_last") > step).cast("long"), F.lit(0))
+    out = _edges(buckets).groupBy(*SERIES).agg(F.sum("_total").alias("total"), F.sum("_distinct").alias("n_distinct"), F.min("_first").alias("min_ts"), F.max("_last").alias("max_ts"), F.sum(F.col("_gaps") + apart).alias("n_gaps"))
+    out = out.withColumn("expected", (F.floor((F.col("max_ts") - F.col("min_ts")) / step) + 1).cast("long"))
+    return out.select(*SERIES, "total", "n_distinct", (F.col("total") - F.col("n_distinct")).alias("n_dup"), "min_ts", "max_ts", "expected", (F.col("expected") - F.col("n_distinct")).alias("missing"), F.col("n_gaps").cast("long").alias("n_gaps"))
 
 
 def top_gaps(candles: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` widest gaps of all series, with how many candles each lacks; ties to the earlier one."""
-    step = F.col("timeframe_minutes").cast("long") * MINUTE_MS
+    step = _step()
     gap = F.col("next_ts") - F.col("ts")
     rows = breaks(candles).select(*SERIES, "ts", "next_ts", gap.alias("gap_ms"), (F.floor(gap / step) - 1).cast("long").alias("n_missing"))
     return rows.orderBy(F.desc("gap_ms"), "ts", *SERIES).limit(k)

@@ -12,25 +12,6 @@ from candlewright.schema import SERIES
 BIN_MS = 90 * 86_400_000
 
 
-def disjoint(intervals: DataFrame, keys: list[str] | None = None, bin_ms: int = BIN_MS) -> DataFrame:
-    """Overlapping and touching intervals of a key joined into one; inverted intervals go.
-
-    Intervals that begin in one time bin are joined first; what they leave of each bin is joined over the bins, so one
-    key's intervals are in one window only as far as they are apart.
-    """
-    keys = SERIES if keys is None else keys
-    rows = intervals.where("start_ts <= end_ts").select(*keys, "start_ts", "end_ts").withColumn("_bin", F.floor(F.col("start_ts") / bin_ms))
-    return _joined(_joined(rows, [*keys, "_bin"]), keys).select(*keys, "start_ts", "end_ts")
-
-
-def _joined(rows: DataFrame, by: list[str]) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy("start_ts", "end_ts")
-    reach = F.max("end_ts").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = rows.withColumn("_new", F.coalesce((F.col("start_ts") > reach).cast("int"), F.lit(0)))
-    numbered = new.withColumn("_i", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*by, "_i").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")).drop("_i")
-
-
 def in_intervals(rows: DataFrame, intervals: DataFrame, keys: list[str] | None = None, bin_ms: int = BIN_MS) -> DataFrame:
     """Rows whose ``ts`` lies in an interval of their key.
 

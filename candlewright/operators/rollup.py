@@ -102,6 +102,24 @@ def incremental_rollup(candles: DataFrame, source_minutes: int, target_minutes:
     return rollup(part, source_minutes, target_minutes, now_ms, dedup, reach_of=candles).where(F.col("ts").between(start_ts, end_ts))
 
 
+def touched_slots(changes: DataFrame, source: DataFrame, built: DataFrame, target_minutes: int) -> DataFrame:
+    """(series, start_ts, end_ts): what a target has to be built from anew, of source series of which ``changes`` has intervals.
+
+    ``source`` and ``built`` are watermarks (series, min_ts, max_ts) of both timeframes. All slots that an interval reaches into, and of a series
+    with changes the slots that may have been open: from the end of the last one built, or from its first candle.
+    """
+    minutes = F.lit(target_minutes)
+
+    def end(at: Column) -> Column:
+        return slot_end(slot_start(at, minutes), minutes) - 1
+
+    hit = changes.select(*SERIES, slot_start(F.col("start_ts"), minutes).alias("start_ts"), end(F.col("end_ts")).alias("end_ts"))
+    done = built.where(F.col("timeframe_minutes") == target_minutes).select(*KEYS, F.col("max_ts").alias("_built"))
+    late = source.join(changes.select(*SERIES).distinct(), SERIES).join(done, KEYS, "left")
+    late = late.select(*SERIES, F.coalesce(end(F.col("_built")) + 1, slot_start(F.col("min_ts"), minutes)).alias("start_ts"), F.col("max_ts").alias("end_ts"))
+    return hit.unionByName(late.where("start_ts <= end_ts"))
+
+
 def read_bounds(bounds: DataFrame, targets: list[int]) -> DataFrame:
     """(keys, first_ts, end_ts): the source range that holds all slots of several targets between each row's bounds.
 

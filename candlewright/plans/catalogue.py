@@ -18,7 +18,7 @@ from candlewright.functions import time as t
 from candlewright.operators import export, gaps, indicators, intervals, rollup
 from candlewright.operators.series import numbered
 from candlewright.plans import jobs
-from candlewright.schema import CANDLES, PRICES, SERIES, as_candles
+from candlewright.schema import CANDLES, DAY_MS, PRICES, SERIES, as_candles
 from candlewright.sources import config, payloads, rest, store, tables
 from candlewright.sources.files import app_folder
 from candlewright.streaming import live
@@ -141,6 +141,18 @@ def rollup_incremental(spark, d):
     return rollup.incremental_rollup(events(spark, d, 60), 60, 360, FROM_MS, TO_MS).select(BAR)
 
 
+@query("rollup_changed", f"WITH {sql_events(60)}, {sql_rollup('c', 3600000, 360)} SELECT {BAR_SQL} FROM r")
+def rollup_changed(spark, d):
+    """Roll-ups that follow a store's writes: a first part, then late candles and one series further on, built slot by slot."""
+    c = events(spark, d, 60)
+    s = store.CandleStore(spark, _folder(spark, "changed-store")).create()
+    late = F.pmod(F.xxhash64("symbol", F.floor(F.col("ts") / (7 * DAY_MS))), F.lit(5)) == 0
+    for part in (~late & (F.col("ts") < TO_MS), late & (F.col("ts") < TO_MS), F.col("ts") >= TO_MS):
+        s.write(c.where(part))
+        jobs.roll_up(s, [(60, 360)])
+    return s.scan(F.col("timeframe_minutes") == 360).select(BAR)
+
+
 def _bounds_sql(table: str = "c") -> str:
     return f"b AS (SELECT symbol, min(ts) AS lo, max(ts) AS hi FROM {table} GROUP BY symbol)"
 

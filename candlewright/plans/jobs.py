@@ -10,12 +10,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.operators import gaps, indicators, rollup
+from candlewright.operators import gaps, indicators, intervals, rollup
 from candlewright.schema import MINUTE_MS, SERIES, as_candles
 from candlewright.sources import config, payloads, rest
-from candlewright.sources.files import drop_path, names_in, written
+from candlewright.sources.files import create_once, drop_path, names_in, numbers_in, written
 from candlewright.sources.store import CandleStore
-from candlewright.streaming.live import until_complete
 
 Wanted = list[tuple[tuple, str]]
 BOUNDS = "market string, category string, symbol string, timeframe_minutes int, timeframe string, start_ts long, end_ts long"
@@ -29,6 +28,32 @@ def requests_for(missing: DataFrame, limit: int) -> DataFrame:
     return cut.withColumn("request_end", F.least(F.col("request_start") + step, F.col("end_ts") + width))
 
 
+def roll_up(store: CandleStore, targets: list[tuple[int, int]]) -> dict[int, int]:
+    """Build what the store's (source, target minutes) lack since the last time; how many candles of each target were built.
+
+    The store's log tells what was written since, and a number in ``rolled`` beside it up to where each target has been built from it. Of each
+    series only the slots that changed are built anew, and those that were still open. A target that was never built is built from all.
+    """
+    spark, made = store.spark, {}
+    for source, target in rollup.layers(targets):
+        place = f"{store.root}/rolled/{source}-{target}"
+        done = numbers_in(spark, place)
+        last, changes = store.changes(done[-1] if done else 0, source)
+        marks = store.marks()
+        slots = rollup.touched_slots(changes, marks.where(F.col("timeframe_minutes") == source), marks, target)
+        spans = [tuple(r) for r in slots.distinct().collect()]  # as many as the log has intervals
+        if spans:
+            rows = intervals.in_intervals(store.within(spans), spark.createDataFrame(spans, slots.schema))
+            reach = marks.select(*SERIES, F.col("max_ts").alias("ts"))
+            built = store.write(rollup.rollup(rows, source, target, dedup=False, reach_of=reach))
+            made[target] = built.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        create_once(spark, f"{place}/{last:012d}", "")
+        for v in done:
+            if v < last:
+                drop_path(spark, f"{place}/{v:012d}")
+    return made
+
+
 @dataclass
 class Ingest:
     """Fetch what series lack, roll it up. ``exchange`` is a configuration as in ``rest.Exchange.of``.
@@ -103,9 +128,9 @@ class Ingest:
     def _of(self) -> rest.Exchange:
         return rest.Exchange.of(self.exchange_name, self.exchange)
 
-    def fetch(self, bounds: DataFrame) -> DataFrame:
+    def fetch(self, bounds: DataFrame, missing: DataFrame | None = None) -> DataFrame:
         """Ask for all that is missing within ``bounds``, once, and write it; (series, n) written."""
-        lacking = self.missing(bounds).join(bounds.select(*SERIES, "timeframe"), SERIES)
+        lacking = (self.missing(bounds) if missing is None else missing).join(bounds.select(*SERIES, "timeframe"), SERIES)
         asked = rest.answers(self.named(requests_for(lacking, self.limit)), self._of(), self.limit, self.lanes, self.replay)
         raw, path = written(asked, "answers")
         raw.where("status = 200").select(*SERIES[:3], "name", F.lit(int(time.time() * 1000)).alias("at_ms")).distinct().write.mode("append").parquet(f"{self.store.root}/names")
@@ -117,42 +142,29 @@ class Ingest:
         return made
 
     def fill(self, bounds: DataFrame) -> dict[tuple, int]:
-        """Fetch until nothing is missing or the number stays; the missing candles of each series then."""
-
-        def left() -> int:
-            return self.missing(bounds).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        """Fetch until nothing is missing or the number stays; the missing candles of each series then.
 
-        until_complete(left, lambda: self.fetch(bounds))
-        lacking = {tuple(r)[:4]: r["n"] for r in self.missing(bounds).groupBy(*SERIES).agg(F.sum("n").alias("n")).collect()}
-        return {tuple(r): lacking.get(tuple(r), 0) for r in bounds.select(*SERIES).collect()}
-
-    def roll_up(self, targets: list[tuple[int, int]], since: dict[int, int]) -> None:
-        """Build (source, target minutes) anew from where the source has changed: ``since`` by its minutes.
-
-        Slots that were open begin with the last one stored, so the build starts there where that is earlier.
+        What is missing is found once before each fetch and once after the last, into a table that all that asks for it reads.
         """
-        since = dict(since)
-        for source, target in rollup.layers(list(targets)):
-            marks = {(r["market"], r["category"], r["symbol"], r["timeframe_minutes"]): (r["min_ts"], r["max_ts"]) for r in self.store.marks().collect()}  # a row for each series
-            own = [s for s in marks if s[3] == source]
-            if not own or source not in since:
-                continue
-            open_from = min(marks[(*s[:3], target)][1] if (*s[:3], target) in marks else marks[s][0] for s in own)
-            start = min(since[source], open_from) - target * MINUTE_MS
-            rows = self.store.scan(series=own, start_ts=start)
-            made = rollup.incremental_rollup(rows, source, target, start, max(marks[s][1] for s in own), dedup=False)
-            self.store.write(made)
-            since[target] = start
+        before, path = None, None
+        while True:
+            lacking, new = written(self.missing(bounds), "missing")
+            if path is not None:
+                drop_path(self.spark, path)
+            path, left = new, lacking.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            if not left or (before is not None and left >= before):
+                break
+            before = left
+            self.fetch(bounds, lacking)
+        per = {tuple(r)[:4]: r["n"] for r in lacking.groupBy(*SERIES).agg(F.sum("n").alias("n")).collect()}
+        drop_path(self.spark, path)
+        return {tuple(r): per.get(tuple(r), 0) for r in bounds.select(*SERIES).collect()}
 
     def run(self, wanted: Wanted, start_ts: int, end_ts: int | None, targets: list[tuple[int, int]] = (), now_ms: int | None = None) -> dict[tuple, int]:
         """One pass: fill each (series, timeframe), roll up along ``targets``. The missing candles of each series."""
         bounds = self.bounds(wanted, start_ts, end_ts, now_ms)
-        before = {(r["market"], r["category"], r["symbol"], r["timeframe_minutes"]): r["n"] for r in self.store.marks().collect()}
-        gaps_at = {r["timeframe_minutes"]: r["a"] for r in self.missing(bounds).groupBy("timeframe_minutes").agg(F.min("start_ts").alias("a")).collect()}
         left = self.fill(self.begun(bounds) if self.probe else bounds)
-        after = {(r["market"], r["category"], r["symbol"], r["timeframe_minutes"]): r["n"] for r in self.store.marks().collect()}
-        changed = {s[3] for s in after if after[s] != before.get(s)}
-        self.roll_up(list(targets), {m: a for m, a in gaps_at.items() if m in changed})
+        roll_up(self.store, list(targets))
         if left:
             self.store.compact()
             self.store.vacuum()

@@ -18,12 +18,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
+from candlewright.functions.time import floored
+from candlewright.operators.series import BUCKET_BARS
 from candlewright.schema import CANDLES, KEY, MINUTE_MS, PRICES, SERIES, as_candles
 from candlewright.sources.files import create_once, drop_path, names_in, numbers_in, read_text
 
 #: Bars of a range, which is what the upsert of one candle rewrites at most: about 8 MB.
 RANGE_BARS = 1 << 18
+#: Bars without a candle that part what the log says of a write.
+SPAN_BARS = 64
 #: Every so many entries of the log one holds the whole state, so that readers need no more than that.
 WHOLE_EVERY = 20
 #: How long what readers and writers may still need is kept.
@@ -75,13 +80,17 @@ def intervals_to_fetch(marks: DataFrame, start_ts: int, end_ts: int) -> DataFram
 
 
 def head_tail(candles: DataFrame, k: int) -> DataFrame:
-    """The first and last ``k`` candles of each series, once each, with part = head or tail (head for both)."""
-    from candlewright.operators.series import numbered
+    """The first and last ``k`` candles of each series, once each, with part = head or tail (head for both).
 
-    bars = numbered(candles)
-    ends = bars.groupBy(*SERIES).agg((F.max("bar") + 1).alias("_n"))
-    rows = bars.join(ends, SERIES).where((F.col("bar") < k) | (F.col("bar") >= F.col("_n") - k))
-    return rows.select(*KEY, *PRICES, F.when(F.col("bar") < k, "head").otherwise("tail").alias("part"))
+    Time buckets give their own first and last ones, of which a series has few, and those are ranked once more.
+    """
+    rows = candles.withColumn("_bucket", floored(F.col("ts"), F.col("timeframe_minutes").cast("long") * MINUTE_MS * BUCKET_BARS))
+
+    def ends(df: DataFrame, *by: str) -> DataFrame:
+        up, down = (Window.partitionBy(*SERIES, *by).orderBy(o) for o in (F.asc("ts"), F.desc("ts")))
+        return df.withColumn("_up", F.row_number().over(up)).withColumn("_down", F.row_number().over(down)).where((F.col("_up") <= k) | (F.col("_down") <= k))
+
+    return ends(ends(rows, "_bucket")).select(*KEY, *PRICES, F.when(F.col("_up") <= k, "head").otherwise("tail").alias("part"))
 
 
 def _series_name(*series: Column) -> Column:
@@ -111,7 +120,7 @@ class CandleStore:
         return json.loads(read_text(self.spark, f"{self.root}/current/{version:012d}"))
 
     def _state(self) -> tuple[int, State]:
-        """The newest version, and for each series (as JSON text) and range its [snapshot, n, min_ts, max_ts]."""
+        """The newest version, and for each series (as JSON text) and range its [snapshot, n, min_ts, max_ts, files]."""
         versions = numbers_in(self.spark, f"{self.root}/current")
         later: list[dict] = []
         state: State = {}
@@ -126,8 +135,11 @@ class CandleStore:
                 state[series] = state.get(series, {}) | ranges
         return (versions[-1] if versions else 0), state
 
-    def _point(self, seen: int, changes: State) -> None:
-        """Let ranges point to new snapshots, if no other writer has changed one of them since version ``seen``."""
+    def _point(self, seen: int, changes: State, new: dict[str, list] | None = None) -> None:
+        """Let ranges point to new snapshots, if no other writer has changed one of them since version ``seen``.
+
+        ``new`` has, by series, the [first, last] times of the runs of candles that this changes; none where only files change.
+        """
         while True:
             version, state = self._state()
             for v in range(seen + 1, version + 1):
@@ -135,7 +147,7 @@ class CandleStore:
                 if any(r in ranges for series, ranges in changes.items() if series in other for r in other[series]):
                     raise Conflict(f"version {v} has changed the same ranges")
             seen = version
-            entry: dict = {"set": changes}
+            entry: dict = {"set": changes, "new": new or {}}
             if (version + 1) % WHOLE_EVERY == 0:
                 entry["whole"] = state | {series: state.get(series, {}) | ranges for series, ranges in changes.items()}
             if create_once(self.spark, f"{self.root}/current/{version + 1:012d}", json.dumps(entry, sort_keys=True)):
@@ -158,6 +170,14 @@ class CandleStore:
         rows = [(*json.loads(s), min(p[2] for p in ranges.values()), max(p[3] for p in ranges.values()), sum(p[1] for p in ranges.values())) for s, ranges in self._state()[1].items()]
         return self.spark.createDataFrame(rows, "market string, category string, symbol string, timeframe_minutes int, min_ts long, max_ts long, n long")
 
+    def within(self, spans: list[tuple]) -> DataFrame:
+        """The ranges of time that hold candles of any of ``spans`` (series, start_ts, end_ts), whole: what lies around them comes along."""
+        by: dict[str, list[tuple[int, int]]] = {}
+        for *s, a, z in spans:
+            by.setdefault(json.dumps(s), []).append((a, z))
+        state = self._state()[1]
+        return self._read([(piece[0], s, at) for s, own in by.items() for at, piece in state.get(s, {}).items() if any(piece[3] >= a and piece[2] <= z for a, z in own)])
+
     def scan(self, where: Column | None = None, series: list[tuple] | None = None, start_ts: int | None = None, end_ts: int | None = None) -> DataFrame:
         """Candles of all series, or of those listed; a store or series that is not there has no rows.
 
@@ -197,10 +217,13 @@ class CandleStore:
         try:
             first_wins(clean, F.lit(0) if arrival is None else arrival).withColumn("range", _range()).write.parquet(incoming)
             batch = self.spark.read.schema(StructType([*CANDLES.fields, StructField("range", LongType())])).parquet(incoming)
-            per = batch.groupBy(*SERIES, "range").agg(F.count("*").alias("n")).collect()  # as many as ranges are written
+            per = _spans(batch).collect()  # one for each range that is written, more only where candles lie far apart in it
             touched = {(json.dumps(list(r)[:4]), str(r["range"])) for r in per}
+            new: dict[str, list] = {}
+            for r in per:
+                new.setdefault(json.dumps(list(r)[:4]), []).append([r["a"], r["z"]])
             if touched:
-                self._merge(batch.drop("range"), touched)
+                self._merge(batch.drop("range"), touched, new)
         finally:
             drop_path(self.spark, incoming)
         totals: dict[tuple, int] = {}
@@ -208,13 +231,13 @@ class CandleStore:
             totals[tuple(r)[:4]] = totals.get(tuple(r)[:4], 0) + r["n"]
         return self.spark.createDataFrame([(*s, n) for s, n in totals.items()], "market string, category string, symbol string, timeframe_minutes int, n long")
 
-    def _merge(self, batch: DataFrame, touched: set[tuple[str, str]]) -> None:
+    def _merge(self, batch: DataFrame, touched: set[tuple[str, str]], new: dict[str, list]) -> None:
         for _ in range(ATTEMPTS):
             seen, state = self._state()
             old = [(state[s][r][0], s, r) for s, r in touched if r in state.get(s, {})]
             changes, snap = self._written(last_wins(self._read(old), batch) if old else batch)
             try:
-                return self._point(seen, changes)
+                return self._point(seen, changes, new)
             except Conflict:
                 drop_path(self.spark, f"{self.root}/snapshots/{snap}")
         raise Conflict(f"other writers changed the same ranges {ATTEMPTS} times")
@@ -228,8 +251,9 @@ class CandleStore:
         schema = StructType([*CANDLES.fields, StructField("series", StringType()), StructField("range", LongType())])
         made = self.spark.read.schema(schema).parquet(f"{self.root}/snapshots/{snap}")
         changes: State = {}
-        for r in made.groupBy(*SERIES, "range").agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z")).collect():
-            changes.setdefault(json.dumps(list(r)[:4]), {})[str(r["range"])] = [snap, r["n"], r["a"], r["z"]]
+        files = F.count_distinct("_metadata.file_path")
+        for r in made.groupBy(*SERIES, "range").agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z"), files.alias("files")).collect():
+            changes.setdefault(json.dumps(list(r)[:4]), {})[str(r["range"])] = [snap, r["n"], r["a"], r["z"], r["files"]]
         return changes, snap
 
     def compact(self, series: list[tuple] | None = None) -> int:
@@ -239,35 +263,70 @@ class CandleStore:
         """
         seen, state = self._state()
         wanted = None if series is None else {json.dumps(list(s)) for s in series}
-        many = []
-        for s, ranges in state.items():
-            for at, piece in ranges.items():
-                if (wanted is None or s in wanted) and sum(not n.startswith((".", "_")) for n in names_in(self.spark, self._path(piece[0], s, at))) > 1:
-                    many.append((piece[0], s, at))
+        many = [(piece[0], s, at) for s, ranges in state.items() if wanted is None or s in wanted for at, piece in ranges.items() if piece[4] > 1]
         if many:
             self._point(seen, self._written(self._read(many))[0])
         return len(many)
 
+    def changes(self, since: int, minutes: int | None = None) -> tuple[int, DataFrame]:
+        """The newest version, and (series, start_ts, end_ts) of what the versions after ``since`` have written, both ends included.
+
+        An interval for each write and range, more where a write has candles far apart. Where the log no longer goes back to ``since``, all that the store has is new.
+        """
+        versions = numbers_in(self.spark, f"{self.root}/current")
+        found: set[tuple] = set()
+        if versions and versions[0] > since + 1:
+            last, state = self._state()
+            found = {(*json.loads(s), piece[2], piece[3]) for s, ranges in state.items() for piece in ranges.values()}
+        else:
+            last = versions[-1] if versions else since
+            for v in versions:
+                if v > since:
+                    found |= {(*json.loads(s), a, z) for s, spans in self._entry(v)["new"].items() for a, z in spans}
+        rows = sorted(r for r in found if minutes is None or r[3] == minutes)
+        return last, self.spark.createDataFrame(rows, "market string, category string, symbol string, timeframe_minutes int, start_ts long, end_ts long")
+
     def vacuum(self, retention_ms: int = RETENTION_MS) -> int:
         """Delete snapshots of ranges that were replaced more than ``retention_ms`` ago; returns how many.
 
-        Readers need that long at most. Snapshots that no entry of the log names may belong to a writer that is about to
-        point to them; they go when they are older than that and than a day.
+        Readers need that long at most. What a vacuum has gone through is kept as a number in ``swept``, and the next one goes on from
+        there; entries of the log before the last whole one that is that old go, too, so neither the log nor a vacuum's work grows with
+        what was ever written. Snapshots that no entry names may belong to a writer that is about to point to them;
+        they go when they are older than that and than a day.
         """
         now = time.time() * 1000
-        logged = names_in(self.spark, f"{self.root}/current")
+        logged = {int(n): at for n, at in names_in(self.spark, f"{self.root}/current").items() if n.isdigit()}
+        swept = max(numbers_in(self.spark, f"{self.root}/swept"), default=0)
         latest: dict[tuple[str, str], str] = {}
+        named: set[str] = set()
         replaced: list[tuple[str, str, str]] = []
-        for v in numbers_in(self.spark, f"{self.root}/current"):
-            for series, ranges in self._entry(v)["set"].items():
+        whole, done = 0, swept
+        for v in sorted(logged):
+            entry = self._entry(v)
+            old = logged[v] <= now - retention_ms
+            if not latest and "whole" in entry:  # the oldest entry that is left: what it replaced is swept
+                latest = {(s, at): piece[0] for s, ranges in entry["whole"].items() for at, piece in ranges.items()}
+            for s, ranges in entry["set"].items():
                 for at, piece in ranges.items():
-                    before = latest.get((series, at))
-                    if before is not None and logged[f"{v:012d}"] <= now - retention_ms:
-                        replaced.append((before, series, at))
-                    latest[series, at] = piece[0]
+                    before = latest.get((s, at))
+                    named.add(piece[0])
+                    if before is not None and before != piece[0] and v > swept and old:
+                        replaced.append((before, s, at))
+                    latest[s, at] = piece[0]
+            if old:
+                done = max(done, v)
+                whole = v if "whole" in entry else whole
         gone = sum(bool(drop_path(self.spark, self._path(*piece))) for piece in replaced)
-        named = {snap for snap, _, _ in replaced} | set(latest.values())
+        if done > swept:
+            create_once(self.spark, f"{self.root}/swept/{done:012d}", "")
+            for v in numbers_in(self.spark, f"{self.root}/swept"):
+                if v < done:
+                    drop_path(self.spark, f"{self.root}/swept/{v:012d}")
+        for v in sorted(logged):
+            if v < whole:
+                drop_path(self.spark, f"{self.root}/current/{v:012d}")
         used = set(latest.values())
+        named |= used | {snap for snap, _, _ in replaced}
         for snap, changed in names_in(self.spark, f"{self.root}/snapshots").items():
             orphan = snap not in named and changed <= now - max(retention_ms, RETENTION_MS)
             emptied = snap in named and snap not in used and not any(n for d, n in self._left(snap))
@@ -281,6 +340,16 @@ class CandleStore:
         return [(d, len(names_in(self.spark, f"{base}/{d}"))) for d in names_in(self.spark, base) if d.startswith("series=")]
 
 
+def _spans(batch: DataFrame) -> DataFrame:
+    """(series, range, a, z, n): what a batch has in a range of time, in parts where it has nothing for ``SPAN_BARS`` bars."""
+    apart = F.greatest(F.col("timeframe_minutes"), F.lit(1)).cast("long") * MINUTE_MS * SPAN_BARS
+    blocks = batch.groupBy(*SERIES, "range", F.floor(F.col("ts") / apart).alias("_b")).agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z"))
+    order = Window.partitionBy(*SERIES, "range").orderBy("_b")
+    new = blocks.withColumn("_new", (F.col("a") - F.lag("z").over(order) > apart).cast("int"))
+    parts = new.withColumn("_i", F.sum(F.coalesce("_new", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return parts.groupBy(*SERIES, "range", "_i").agg(F.min("a").alias("a"), F.max("z").alias("z"), F.sum("n").alias("n")).drop("_i")
+
+
 def _range() -> Column:
     """The range of time of a candle, counted from 1970."""
     return F.floor(F.col("ts") / (F.greatest(F.col("timeframe_minutes"), F.lit(1)).cast("long") * MINUTE_MS * RANGE_BARS)).cast("long")

@@ -39,8 +39,12 @@ def event_candles(spark: SparkSession, sf_dir: str, minutes: int) -> DataFrame:
 
 
 def lineitem_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by the time they ship, then by order, line and part: one number of 13, 12, 2 and 11 digits."""
     e = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    order = F.struct(*[F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")])
+    order: Column | None = None
+    for column, digits, after in ((millis(F.col("l_shipdate")), 13, 25), (F.col("l_orderkey"), 12, 13), (F.col("l_linenumber"), 2, 11), (F.col("l_partkey"), 11, 0)):
+        part = column.cast(f"decimal({digits},0)") * F.lit(Decimal(10**after)).cast(f"decimal({after + 1},0)")
+        order = part if order is None else order + part
     return candles_from_ticks(e, F.col("l_returnflag"), millis(F.col("l_shipdate")), F.col("l_extendedprice"), F.col("l_quantity"), order, 1440)
 
 

@@ -1,7 +1,10 @@
 import json
 
-from candlewright.plans.jobs import Ingest, training_features
+from candlewright.operators import rollup
+from candlewright.plans.jobs import Ingest, roll_up, training_features
+from candlewright.schema import CANDLES
 from candlewright.sources import config
+from candlewright.sources import store as st
 from candlewright.sources.store import CandleStore
 
 START, HOUR = 1735689600000, 3_600_000
@@ -36,6 +39,56 @@ def test_an_ingest_pass(spark, tmp_path):
     assert training_features(store, symbols, frames, START + 20 * HOUR).count() == 4
 
 
+def bars(spark, symbol, first, n, volume=1.0):
+    rows = [("Crypto", "AA", symbol, 60, START + (first + i) * HOUR, 1.0, 2.0, 0.5, 1.0, volume) for i in range(n)]
+    return spark.createDataFrame(rows, CANDLES)
+
+
+def test_roll_ups_follow_each_series(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "RANGE_BARS", 2000)
+    store, targets = CandleStore(spark, f"file://{tmp_path}/store"), [(60, 180), (180, 360)]
+    store.write(bars(spark, "A", 0, 9001))
+    assert roll_up(store, targets) == {180: 3000, 360: 1500}
+    assert roll_up(store, targets) == {}
+    store.write(bars(spark, "A", 9001, 2))  # closes one slot of three hours
+    assert roll_up(store, targets) == {180: 1, 360: 0}
+    store.write(bars(spark, "B", 0, 3))  # a series that joins with three early candles
+    assert roll_up(store, targets) == {180: 1, 360: 0}
+    store.write(bars(spark, "A", 4000, 1, 7.0).unionAll(bars(spark, "A", 8000, 1, 9.0)))  # late ones, far apart
+    assert roll_up(store, targets) == {180: 2, 360: 2}
+    for source, target in targets:
+        want = rollup.rollup(store.scan(), source, target)
+        assert sorted(map(tuple, store.scan().where(f"timeframe_minutes = {target}").collect())) == sorted(map(tuple, want.collect()))
+    read = []
+    monkeypatch.setattr(CandleStore, "_read", lambda self, pieces, f=CandleStore._read: read.append(len(pieces)) or f(self, pieces))
+    store.write(bars(spark, "A", 9003, 3))
+    read.clear()
+    roll_up(store, [(60, 180)])
+    assert read[0] == 1  # one range of time of one series
+
+
+def test_a_feed_that_was_pruned_starts_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "WHOLE_EVERY", 3)
+    store = CandleStore(spark, f"file://{tmp_path}/store")
+    for i in range(7):
+        store.write(bars(spark, "A", 6 * i, 6))
+    assert store.changes(5)[0] == 7 and store.changes(5)[1].count() == 2
+    store.vacuum(0)
+    last, rows = store.changes(2)
+    assert last == 7 and [(r.start_ts, r.end_ts) for r in rows.collect()] == [(START, START + 41 * HOUR)]
+    assert store.changes(7)[1].count() == 0 and roll_up(store, [(60, 180)]) == {180: 14}
+
+
+def test_what_is_missing_is_found_once_for_each_fetch(spark, tmp_path, monkeypatch):
+    store = CandleStore(spark, f"file://{tmp_path}/store").create()
+    (tmp_path / "in").mkdir()
+    replay(tmp_path / "in", 0, 10)
+    job, looked = Ingest(spark, store, "bars", BARS, limit=10, replay=str(tmp_path / "in")), []
+    monkeypatch.setattr(Ingest, "missing", lambda self, b, f=Ingest.missing: looked.append(1) or f(self, b))
+    assert job.run([(SERIES, "1h")], START, START + 9 * HOUR) == {SERIES: 0} and len(looked) == 2
+    assert job.run([(SERIES, "1h")], START, START + 9 * HOUR) == {SERIES: 0} and len(looked) == 3
+
+
 def test_one_bad_series_does_not_stop_the_rest(spark, tmp_path):
     store = CandleStore(spark, f"file://{tmp_path}/store").create()
     (tmp_path / "in").mkdir()

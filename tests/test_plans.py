@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from candlewright.operators import gaps, indicators, intervals, rollup
 from candlewright.schema import SERIES
+from candlewright.sources import store, tables
 
 
 def plan(df):
@@ -96,3 +97,17 @@ def test_features_shuffle_the_bars_once(spark, tmp_path, broadcast):
             assert len(re.findall(r"\+- Exchange hashpartitioning", text)) == (2 if broadcast == "10m" else 3)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_series_reports_shuffle_little(spark, tmp_path):
+    c = stored(spark, tmp_path)
+    assert count(gaps.overview(c), "FileScan|Scan parquet") == 1 and count(gaps.overview(c), "Exchange hashpartitioning") == 2
+    ends = store.head_tail(c, 3)
+    assert count(ends, "FileScan|Scan parquet") == 1 and count(ends, "Exchange hashpartitioning") == 2
+    text = final(gaps.breaks(c))
+    assert len(re.findall("FileScan|Scan parquet", text)) == 1 and len(re.findall(r"\+- Exchange hashpartitioning", text)) == 2
+
+
+def test_line_items_are_hashed(spark):
+    made = tables.lineitem_candles(spark, "/root/testdata/sf0.001")
+    assert "SortAggregate" not in plan(made) and "HashAggregate" in plan(made)

@@ -121,10 +121,10 @@ def test_two_writers_of_one_range_lose_nothing(spark, tmp_path, monkeypatch):
     a.write(candles(spark, hourly(2), 60))
     point, late = a._point, [candles(spark, hourly(6)[4:], 60), candles(spark, hourly(3, 1.0)[2:], 60, "T")]
 
-    def slow(seen, changes):
+    def slow(seen, changes, new):
         if late:
             b.write(late.pop(0))  # another writer comes first
-        point(seen, changes)
+        point(seen, changes, new)
 
     monkeypatch.setattr(a, "_point", slow)
     a.write(candles(spark, hourly(4)[2:], 60))
@@ -150,3 +150,29 @@ def test_the_log_is_whole_now_and_then(spark, tmp_path, monkeypatch):
         s.write(candles(spark, hourly(i + 1)[i:], 60, f"S{i % 2}"))
     assert "whole" in s._entry(6) and "whole" not in s._entry(7)
     assert s.scan().count() == 7 and len(s.series()) == 2
+
+
+def test_a_vacuum_does_not_grow_with_the_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "WHOLE_EVERY", 4)
+    s, calls = make(spark, tmp_path), []
+    monkeypatch.setattr(st, "drop_path", lambda spark, path, f=st.drop_path: calls.append(path) or f(spark, path))
+    made = []
+    for _ in range(3):
+        for i in range(9):
+            s.write(candles(spark, hourly(3, float(i)), 60))
+        calls.clear()
+        assert s.vacuum(0) == 9 - (not made)
+        made.append(len(calls))
+        calls.clear()
+        assert s.vacuum(0) == 0 and not calls  # nothing new, nothing done
+        assert len(st.numbers_in(spark, f"{s.root}/current")) <= 4 and s.scan().count() == 3
+    assert made[2] <= made[1] <= made[0] + 4
+    assert len(list((tmp_path / "store/snapshots").iterdir())) == 1
+
+
+def test_old_pieces_stay_for_as_long_as_readers_need(spark, tmp_path):
+    s = make(spark, tmp_path)
+    for i in range(3):
+        s.write(candles(spark, hourly(2, float(i)), 60))
+    assert s.vacuum() == 0 and len(list((tmp_path / "store/snapshots").iterdir())) == 3
+    assert s.vacuum(0) == 2
