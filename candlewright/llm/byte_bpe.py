@@ -26,7 +26,7 @@ from candlewright.llm._shared import arrow_limits
 #: Characters of a text that are matched and encoded at a time.
 PIECE_CHARS = 1 << 18
 #: Matches that a worker remembers with their ids.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
 #: No match goes past a blank that stands between two ASCII letters, so a long text can be cut before it.
 _SAFE = regex.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
@@ -70,30 +70,33 @@ class ByteBpe:
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, matches: set[str]) -> None:
-        """Ids of new matches, packed as little-endian 32-bit integers. A match that is a token is that token."""
-        rest = []
+    def _ids(self, matches: set[str]) -> dict[str, bytes]:
+        """Ids of matches, packed as little-endian 32-bit integers. A match that is a token is that token."""
+        made, rest = {}, []
         for m in matches:
             rank = self.ranks.get(m.encode())
             if rank is None:
                 rest.append(m)
             else:
-                self.known[m] = struct.pack("<I", rank)
+                made[m] = struct.pack("<I", rank)
         if rest:
             mapped = [m.encode().decode("latin-1").translate(self.table) for m in rest]
             for m, ids in zip(rest, self.sp.encode(mapped, out_type=int, num_threads=1), strict=True):
-                self.known[m] = struct.pack(f"<{len(ids)}I", *(self.by_piece[i - 1] for i in ids))
+                made[m] = struct.pack(f"<{len(ids)}I", *(self.by_piece[i - 1] for i in ids))
+        return made
 
     def encode(self, text: str) -> Iterator[bytes]:
         """Packed ids of a text, part by part."""
         for part in safe_parts(text):
             matches = self.find(part)
+            long: dict[str, bytes] = {}
             if new := set(matches).difference(self.known):
                 if len(self.known) + len(new) > CACHE_ENTRIES:
                     self.known.clear()
                     new = set(matches)
-                self._learn(new)
-            yield b"".join(map(self.known.__getitem__, matches))
+                long = self._ids({m for m in new if len(m) > CACHE_CHARS})
+                self.known.update(self._ids(new.difference(long)))
+            yield b"".join(map((self.known | long if long else self.known).__getitem__, matches))
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, struct.unpack(f"<{len(packed) // 4}I", packed)))

@@ -113,3 +113,11 @@ def test_texts_are_cut_only_where_the_file_allows_it(file):
     texts = ["a b a", "  x\n\ny  z ", "", " ", "<|endoftext|> a<|endoftext|>", "don't  \t I'll 12 345"]
     assert count(texts) == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
     assert count.cuts == file.startswith("word")
+
+
+def test_long_matches_are_not_remembered():
+    bpe = ByteBpe(read_ranks(RANKS), P.PATTERN)
+    text = " ".join(words(1, i) + "x" * 40 * i for i in range(1, 9))
+    packed = b"".join(bpe.encode(text))
+    assert bpe.decode(packed) == text.encode() and packed == b"".join(bpe.encode(text))
+    assert bpe.known and max(map(len, bpe.known)) <= 64
