@@ -32,7 +32,7 @@ WEIGHTS = (5, 2, 1)
 ROUNDS = 24
 #: Shards that share the upper levels of the tree of draws, as a power of two, and such groups that a task makes.
 GROUP_LEVELS, TASK_GROUPS = 4, 64
-#: Sources that a mix may have; each shard draws for all of them, so more raise an error.
+#: Sources that a mix may have unless it is told of more; each shard draws for all of them, so more raise an error.
 MAX_SOURCES = 4096
 #: Slots up to which a draw goes slot by slot; beyond, the normal law stands for the hypergeometric one.
 SMALL_DRAW = 32
@@ -140,15 +140,19 @@ def _descended(node: Column, index: Column, down: int, stop: int, shard: int, se
     return node if down <= stop else F.aggregate(F.sequence(F.lit(down - 1), F.lit(stop), F.lit(-1)), node, step)
 
 
+def check_sources(rows: DataFrame, most: int) -> None:
+    """Raise where there are more sources than ``most``, before anything is worked out over all of them."""
+    if rows.select("source").distinct().limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} sources: raise max_sources; the memory of a shard's draws grows with them")
+
+
 def shard_counts(sources: DataFrame, shard: int = SHARD, seed: int = 11) -> DataFrame:
     """(shard, t, n, before): the slots of each output shard, and by source those in it and in the shards before it.
 
     ``sources`` has rank (0, 1, ...) and slots. Shards are full but for the last; sums over shards are the slots.
     """
     spark = sources.sparkSession
-    total, many = sources.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
-    if many > MAX_SOURCES:
-        raise ValueError(f"{many} sources: a mix has {MAX_SOURCES} at most")
+    total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     shards = -(-total // shard)
     levels = max(0, shards - 1).bit_length()
     group = min(GROUP_LEVELS, levels)
@@ -189,7 +193,7 @@ def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int
     per = counts.withColumn("offset", F.slice(sums, 1, F.size("n")))
     per = per.select("shard", "t", F.posexplode(F.arrays_zip("n", "before", "offset")).alias("_i", "_own"))
     per = per.select("shard", "t", "_i", F.col("_own.n").alias("_n"), F.col("_own.before").alias("_before"), F.col("_own.offset").alias("_offset")).where("_n > 0")
-    per = per.join(F.broadcast(some.drop("source", "weight", "target")), "_i")  # MAX_SOURCES rows at most
+    per = per.join(F.broadcast(some.drop("source", "weight", "target")), "_i")  # as many rows as check_sources allows
     j = per.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).withColumn("j", F.col("_before") + F.col("_k"))
     j = j.withColumn("pass", F.expr("j div _blocks")).withColumn("_at", F.expr("j % _blocks"))
     j = j.withColumn("block", permuted(F.col("_at"), n, [F.lit(seed), F.col("rank"), F.col("pass")]))
@@ -239,7 +243,7 @@ def pieces(rows: DataFrame, mix: DataFrame, keep: list[str], block: int = BLOCK)
     return joined.withColumn("first", F.when(F.col("words").isNotNull(), begin - F.col("off"))).withColumn("last", F.col("first") + taken)
 
 
-def mix_report(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+def mix_report(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block: int = BLOCK, shard: int = SHARD, max_sources: int = MAX_SOURCES) -> DataFrame:
     """(key, size, source_size, target, taken, first_shard) for each row.
 
     Null and empty texts have size 0 and are never taken; a null source is one source, the last. Rows that repeat a
@@ -247,6 +251,7 @@ def mix_report(df: DataFrame, text: str = "text", key: str = "doc_id", source: s
     first_shard is the first output shard with words of the row, or null.
     """
     rows, _ = cut(df.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.monotonically_increasing_id().alias("_id")), "sizes")
+    check_sources(rows, max_sources)
     sources, _ = cut(targets(rows), "targets")
     known = rows.join(sources.drop("weight"), rows["source"].eqNullSafe(sources["source"])).select("_id", "key", "size", "rank", "source_size", "target")
     mix = slots(sources, block, shard)
@@ -259,7 +264,7 @@ def mix_report(df: DataFrame, text: str = "text", key: str = "doc_id", source: s
     return out.select(F.col("key").alias(key), "size", "source_size", "target", "taken", "first_shard")
 
 
-def mix_documents(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+def mix_documents(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block: int = BLOCK, shard: int = SHARD, max_sources: int = MAX_SOURCES) -> DataFrame:
     """The mix as rows with the columns of ``df``: one for each pass over a row that takes words of it.
 
     A whole pass has the text as it was; another has the words that its slots take, in order, with the white space
@@ -269,6 +274,7 @@ def mix_documents(df: DataFrame, text: str = "text", key: str = "doc_id", source
     rows = df.select(F.struct(*[F.col(c) for c in columns]).alias("_row"), F.col(source).alias("source"), F.col(key).alias("key"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("_print"))
     # Once written, a row's number is its name: everything but the last join goes without texts.
     rows, _ = cut(rows.withColumn("_id", F.monotonically_increasing_id()), "mix-rows")
+    check_sources(rows, max_sources)
     sources, _ = cut(targets(rows), "targets")
     mix = slots(sources, block, shard)
     narrow = rows.where("size > 0").select("_id", "source", "key", "size", "_print")

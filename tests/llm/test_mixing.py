@@ -127,10 +127,14 @@ def test_draws_have_the_mean_and_spread_of_the_law(spark):
         assert abs(d[0] - few * left / t) < 5 * sd / 4000**0.5 and abs(d[1] / sd - 1) < 0.06 and d[2] >= max(0, left - t + few) and d[3] <= min(few, left)
 
 
-def test_too_many_sources_raise(spark):
-    df = spark.range(m.MAX_SOURCES + 1).select(F.col("id").alias("rank"), F.lit(1).cast("long").alias("slots"))
-    with pytest.raises(ValueError, match="sources"):
-        m.shard_counts(df)
+def test_sources_are_bounded_by_a_parameter(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "a b c", f"s{i}") for i in range(60)], "doc_id long, text string, source string")
+    monkeypatch.setattr(m, "targets", lambda *a: pytest.fail("sources are counted before their targets"))
+    for made in (m.mix_report, m.mix_documents):
+        with pytest.raises(ValueError, match="max_sources"):
+            made(df, max_sources=59)
+    monkeypatch.undo()
+    assert m.mix_report(df, max_sources=60).count() == 60
 
 
 def test_many_rows_of_one_key_are_dealt_out(spark, monkeypatch):
