@@ -20,8 +20,8 @@ from candlewright.llm._shared import arrow_limits
 
 #: Bytes of a passage; a text ends with a shorter one.
 PASSAGE = 1024
-#: Most documents, and most passages of each, that training sees. Scoring sees all passages.
-MAX_DOCS, MAX_PASSAGES = 4000, 24
+#: Most documents, and most passages of all of them together, that training sees. Scoring sees all passages.
+MAX_DOCS, MAX_PASSAGES = 4000, 96_000
 HIDDEN, GATES = 24, 12
 #: Passages that are encoded at a time.
 AT_ONCE = 1024
@@ -189,8 +189,8 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
 
     Held-out rows (crc32 of the key as text divisible by 5), null keys, texts and labels do not take part, and a key
     that ``labels`` marks twice counts with its smallest label. A key teaches once, whatever rows repeat it: by its
-    smallest text that is not empty. A document longer than ``max_passages`` passages
-    teaches with that many, spread evenly over the whole of it, so the driver gets ``max_docs * max_passages`` of them.
+    smallest text that is not empty, and by all of that text. Keys are taken in the order of their hash for as long as their
+    passages are no more than ``max_passages`` together, which the driver gets; one that does not fit any more is passed over.
     """
     spark = arrow_limits(df.sparkSession)
     marks = labels.where(F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0).where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_label"))
@@ -201,14 +201,22 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     marks = marks.where(F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(grain)) < min(1.0, max_docs / many) * grain)
     rows = df.where(F.col(text) != "").select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(marks), "_key")
     rows = rows.groupBy("_key").agg(F.min("_text").alias("_text"), F.min("_label").alias("_label"))
+    # Whole bags, as many as fit: about ``max_docs`` rows of a key and a number come here.
+    sizes = rows.select("_key", F.xxhash64(F.col("_key").cast("string")).alias("h"), F.ceil(F.octet_length("_text") / PASSAGE).alias("n")).orderBy("h", "_key").collect()
+    if sum(r["n"] for r in sizes) > max_passages:
+        left, fit_in = max_passages, []
+        for r in sizes:
+            if r["n"] <= left:
+                left -= r["n"]
+                fit_in.append((r["_key"],))
+        rows = rows.join(F.broadcast(spark.createDataFrame(fit_in, rows.select("_key").schema)), "_key", "left_semi")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts, ends, row = passages(batch.column("_text"))
             for i in np.unique(row):
                 own = np.flatnonzero(row == i)
-                own = own[np.unique(np.linspace(0, len(own) - 1, min(len(own), max_passages)).astype(int))]
-                x = np.concatenate([passage_features(data, starts[[j]], ends[[j]]) for j in own])
+                x = np.concatenate([passage_features(data, starts[part], ends[part]) for part in np.split(own, range(AT_ONCE, len(own), AT_ONCE))])
                 yield pa.RecordBatch.from_arrays([batch.column("_key").slice(i, 1), batch.column("_label").slice(i, 1), pa.array([x.tobytes()], pa.binary())], names=["k", "y", "x"])
 
     key_type = df.schema[key].dataType.simpleString()

@@ -257,11 +257,17 @@ def test_gradient_is_that_of_the_loss():
             assert g[k].reshape(-1)[at] == pytest.approx((up - down) / (2 * eps), abs=1e-6), k
 
 
-def test_passages_of_training_documents_are_a_parameter(spark):
+def test_training_takes_whole_documents(spark):
     rows = [doc(i, words(400, i, "aa" if i % 2 else "bb")) for i in range(40)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
-    few, more, all_ = (quality.fit(docs(spark, rows), labels, max_passages=n) for n in (1, 10**6, 24))
+    few, more, all_ = (quality.fit(docs(spark, rows), labels, max_passages=n) for n in (20, 10**6, 200))
     assert not np.array_equal(few.p["E"], more.p["E"]) and np.array_equal(all_.p["E"], more.p["E"])
+    # A document beyond what fits is passed over as a whole; its key alone decides, and the others teach as before.
+    long = doc(41, words(30_000, 9))
+    marked = labels.unionAll(spark.createDataFrame([(41, 1)], "doc_id long, quality int"))
+    without = quality.fit(docs(spark, [*rows, long]), marked, max_passages=200)
+    assert np.array_equal(without.p["E"], more.p["E"])
+    assert not np.array_equal(quality.fit(docs(spark, [*rows, long]), marked).p["E"], more.p["E"])
 
 
 def test_a_repeated_key_teaches_once(spark):
