@@ -7,7 +7,7 @@ new version. Readers take the files of one version and never see half of a chang
 
 Arrivals become shards as they come, one for each of the partitions that they come in. Compaction sorts small shards
 into tiers, each ``fanout`` times as large as the one below, and packs the shards of a tier, oldest first, into equal
-runs of about ``target`` bytes; each run is rewritten as one shard. Old files stay until ``vacuum``, which also takes
+runs of about ``target`` bytes; each run is rewritten as one shard by one task, without a shuffle. Old files stay until ``vacuum``, which also takes
 away what writers left behind that never committed.
 
 The driver handles the names of folders, of which there is one for each write, of single shards where part of a write has been
@@ -16,9 +16,12 @@ merged since, and of the ``MAX_FILES`` shards that a compaction reads at most, b
 
 from __future__ import annotations
 
+import functools
 import json
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +35,28 @@ from candlewright.sources.files import create_once, drop_path, names_in, numbers
 TARGET, FANOUT, LEAST = 128 << 20, 4, 1 << 20
 #: Shards that one compaction reads at most; the others are for the next.
 MAX_FILES = 10_000
+#: Runs that one job rewrites, a task each.
+RUNS = 512
 #: How long files that no version names are left alone: their writer may still commit.
 GRACE_MS = 24 * 3_600_000
 MANIFEST = "path string, bytes long, rows long, since long, shards long"
 
 
+@contextmanager
+def _partitions_stay(spark: SparkSession) -> Iterator[None]:
+    """A union of single partitions has one for each; otherwise Spark may put them together."""
+    key = "spark.sql.unionOutputPartitioning"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 class Conflict(RuntimeError):
     """Another writer committed the version first."""
 
@@ -103,16 +123,18 @@ class ShardStore:
     def compact(self, target: int = TARGET, fanout: int = FANOUT) -> int | None:
         """Merge tiers with enough shards; returns the new version, or None where there is nothing to merge."""
         base = self.version()
-        file, run = (self._free(n) for n in ("file", "run"))
-        plan, _ = cut(self.plan(target, fanout).select("path", F.element_at(F.split("path", "/"), -1).alias(file), F.col("run").alias(run)), "runs")  # at most MAX_FILES rows
-        many, last = plan.agg(F.count("*"), F.max(run)).first()
-        if not many:
+        plan, _ = cut(self.plan(target, fanout).select("path", "run"), "runs")  # at most MAX_FILES rows
+        runs: dict[int, list[str]] = {}
+        for r in plan.orderBy("run", "path").toLocalIterator():
+            runs.setdefault(r["run"], []).append(f"{self.root}/{r['path']}")
+        if not runs:
             return None
-        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{r['path']}" for r in plan.select("path").toLocalIterator()])
-        origin = rows.metadataColumn("_metadata")["file_path"]
-        rows = rows.select("*", F.element_at(F.split(origin, "/"), -1).alias(file)).join(F.broadcast(plan.drop("path")), file)
-        new = self._write(rows.repartitionById(1 + last, F.col(run)).select(*[F.col(f"`{c}`") for c in self.schema.names]))
-        gone = plan.select("path")
+        # One task reads the shards of a run and writes one; nothing is shuffled.
+        merged = [self.spark.read.schema(self.schema).parquet(*paths).coalesce(1) for paths in runs.values()]
+        with _partitions_stay(self.spark):
+            parts = [self._write(functools.reduce(DataFrame.unionAll, merged[i : i + RUNS])) for i in range(0, len(merged), RUNS)]
+        new = functools.reduce(DataFrame.unionAll, parts)
+        many, gone = sum(map(len, runs.values())), plan.select("path")
         while True:
             old = self.manifest(base)
             if old.join(gone, "path", "left_semi").count() != many:
@@ -163,12 +185,6 @@ class ShardStore:
         shards = made.groupBy(file.alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
         return shards.crossJoin(F.broadcast(shards.agg(F.count("*").alias("shards"))))  # one row
 
-    def _free(self, name: str) -> str:
-        """A name that no column of the store has."""
-        while name.lower() in map(str.lower, self.schema.names):
-            name += "_"
-        return name
-
     def _commit(self, base: int, shards: DataFrame) -> int:
         name = uuid.uuid4().hex
         shards.select("path", "bytes", "rows", "since", "shards").coalesce(1).write.parquet(f"{self.root}/manifests/{name}")
