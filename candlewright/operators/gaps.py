@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,9 +13,10 @@ from pyspark.sql.window import Window
 from candlewright.functions.time import floored
 from candlewright.operators.rollup import KEYS, slot_series, spread
 from candlewright.schema import MINUTE_MS, SERIES
+from candlewright.session import ship
 
-#: Candles of a bucket whose breaks are found together.
-BUCKET = 8192
+#: Candles of a bucket whose breaks are found together, and bits of a bitmap, as Spark's aggregate makes them.
+BUCKET, BITS = 8192, 32_768
 
 
 def expected(bounds: DataFrame, minutes: int, custom: bool = False) -> DataFrame:
@@ -54,7 +59,11 @@ def merge_intervals(missing_ts: DataFrame, minutes: int) -> DataFrame:
     parts = _islands(rows.withColumn("_s", F.col("ts")).withColumn("_e", F.col("ts")).withColumn("_n", F.lit(1).cast("long")), bucket, step)
     own = Window.partitionBy(*bucket)
     edge = (F.col("_s") == F.min("_s").over(own)) | (F.col("_s") == F.max("_s").over(own))
-    parts = parts.withColumn("_edge", edge)
+    return _merged(parts.withColumn("_edge", edge), step)
+
+
+def _merged(parts: DataFrame, step: int) -> DataFrame:
+    """(series, start_ts, end_ts, n) from runs of parts of a series, of which only those marked can go on in another part."""
     whole = _islands(parts.where("_edge"), SERIES, step).unionByName(parts.where("NOT _edge").select(*SERIES, "_s", "_e", "_n"))
     return whole.select(*SERIES, F.col("_s").alias("start_ts"), F.col("_e").alias("end_ts"), F.col("_n").alias("n"))
 
@@ -66,6 +75,50 @@ def _islands(rows: DataFrame, by: list[str], step: int) -> DataFrame:
     return numbered.groupBy(*by, "_i").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n")).drop("_i")
 
 
+def presence(candles: DataFrame, range_bars: int) -> list[Column]:
+    """The columns that place a candle in presence bitmaps: its range, the bitmap in it, and its bit there (null off the grid)."""
+    width = _step()
+    bar = F.floor(F.col("ts") / width)
+    within = bar - F.floor(bar / range_bars) * range_bars
+    return [F.floor(bar / range_bars).cast("long").alias("range"), F.floor(within / BITS).cast("int").alias("part"), F.when(F.col("ts") % width == 0, (within % BITS).cast("long")).alias("bit")]
+
+
+def missing_from_bitmaps(bounds: DataFrame, bitmaps: DataFrame, minutes: int, range_bars: int) -> DataFrame:
+    """The same as ``missing_intervals`` from bitmaps (series, range, part, bits) of what is there: no candle is read.
+
+    A row for each bitmap's worth of bars between the bounds meets its bitmap, and gives its runs of zeros; only the runs at its ends
+    can go on in the next one. Where there is no bitmap there are no candles.
+    """
+    step, parts = minutes * MINUTE_MS, -(-range_bars // BITS)
+    rows = bounds.where("start_ts <= end_ts").select(*KEYS, F.floor(F.col("start_ts") / step).alias("_a"), F.floor(F.col("end_ts") / step).alias("_z"))
+    rows = spread(rows.withColumn("range", F.explode(F.sequence(F.floor(F.col("_a") / range_bars), F.floor(F.col("_z") / range_bars)))), *KEYS, "range")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("_from", F.col("range") * range_bars + F.col("part") * BITS)
+    rows = rows.withColumn("_lo", F.greatest("_a", "_from")).withColumn("_hi", F.least(F.col("_z"), F.col("_from") + BITS - 1, (F.col("range") + 1) * range_bars - 1)).where("_lo <= _hi")
+    rows = rows.withColumn("timeframe_minutes", F.lit(minutes)).select(*SERIES, "range", "part", "_from", "_lo", "_hi")
+    met = rows.join(bitmaps.select(*SERIES, "range", "part", "bits"), [*SERIES, "range", "part"], "left").select(*SERIES, "_from", "_lo", "_hi", "bits")
+    ship(bounds.sparkSession)
+
+    def zeros(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, first, last = [], [], []
+            for i, (start, lo, hi, bits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("_from", "_lo", "_hi", "bits")), strict=True)):
+                here = np.zeros(BITS, np.uint8) if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
+                edge = np.flatnonzero(np.diff(here[lo - start : hi - start + 1], prepend=1, append=1))
+                first.append(lo + edge[::2])
+                last.append(lo + edge[1::2] - 1)
+                row.append(np.full(len(edge) // 2, i))
+            if not row:
+                continue
+            at, a, z = (np.concatenate(x).astype(np.int64) for x in (row, first, last))
+            ends = (a == batch.column("_lo").to_numpy()[at]) | (z == batch.column("_hi").to_numpy()[at])
+            series = [batch.column(c).take(pa.array(at)) for c in SERIES]
+            yield pa.RecordBatch.from_arrays([*series, pa.array(a * step), pa.array(z * step), pa.array(z - a + 1), pa.array(ends)], names=[*SERIES, "_s", "_e", "_n", "_edge"])
+
+    head = ", ".join(f"{c} {met.schema[c].dataType.simpleString()}" for c in SERIES)
+    runs = met.mapInArrow(zeros, f"{head}, _s long, _e long, _n long, _edge boolean")
+    return _merged(runs, step)
+
+
 def missing_count(intervals: DataFrame, minutes: int) -> DataFrame:
     """(series, n_missing) of intervals with both ends included; inverted intervals count 0."""
     step = minutes * MINUTE_MS

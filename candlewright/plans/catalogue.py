@@ -328,6 +328,15 @@ def missing_intervals(spark, d):
     return gaps.merge_intervals(_missing(tables.order_candles(spark, d), 1440), 1440).select("symbol", "start_ts", "end_ts", "n")
 
 
+@query("missing_from_marks", f"WITH {SQL_ORDERS}, {SQL_EXPECTED.format(ms=86400000)}, {SQL_ISLANDS.format(ms=86400000)} SELECT symbol, start_ts, end_ts, n FROM i")
+def missing_from_marks(spark, d):
+    """The gaps of stored candles from the bitmaps that the store keeps with its watermarks; no candle is read."""
+    s = store.CandleStore(spark, _folder(spark, "marked-store")).create()
+    s.write(tables.order_candles(spark, d))
+    bounds = s.marks().select(*SERIES[:3], F.col("min_ts").alias("start_ts"), F.col("max_ts").alias("end_ts"))
+    return gaps.missing_from_bitmaps(bounds, s.presence(1440), 1440, store.RANGE_BARS).select("symbol", "start_ts", "end_ts", "n")
+
+
 @query("missing_count", f"WITH {sql_events(15)}, {SQL_EXPECTED.format(ms=900000)} SELECT symbol, count(*) AS n_missing FROM x GROUP BY symbol")
 def missing_count(spark, d):
     return gaps.missing_count(gaps.merge_intervals(_missing(events(spark, d, 15), 15), 15), 15).select("symbol", "n_missing")

@@ -14,7 +14,7 @@ from candlewright.operators import gaps, indicators, intervals, rollup
 from candlewright.schema import MINUTE_MS, SERIES, as_candles
 from candlewright.sources import config, payloads, rest
 from candlewright.sources.files import create_once, drop_path, names_in, numbers_in, written
-from candlewright.sources.store import CandleStore
+from candlewright.sources.store import RANGE_BARS, CandleStore
 
 Wanted = list[tuple[tuple, str]]
 BOUNDS = "market string, category string, symbol string, timeframe_minutes int, timeframe string, start_ts long, end_ts long"
@@ -88,9 +88,12 @@ class Ingest:
         return self.spark.createDataFrame(rows, BOUNDS)
 
     def missing(self, bounds: DataFrame) -> DataFrame:
-        """(series, start_ts, end_ts, n): intervals within ``bounds``, both ends included, without a candle in the store."""
-        wanted = [tuple(r) for r in bounds.select(*SERIES).distinct().collect()]  # as many as were asked for
-        parts = [gaps.missing_intervals(bounds.where(F.col("timeframe_minutes") == m), self.store.scan(series=[s for s in wanted if s[3] == m]), m) for m in sorted({s[3] for s in wanted})]
+        """(series, start_ts, end_ts, n): intervals within ``bounds``, both ends included, without a candle in the store.
+
+        The store's bitmaps of what it has tell; candles are not read.
+        """
+        widths = sorted(r[0] for r in bounds.select("timeframe_minutes").distinct().collect())
+        parts = [gaps.missing_from_bitmaps(bounds.where(F.col("timeframe_minutes") == m), self.store.presence(m), m, RANGE_BARS) for m in widths]
         none = self.spark.createDataFrame([], "market string, category string, symbol string, timeframe_minutes int, start_ts long, end_ts long, n long")
         return functools.reduce(DataFrame.unionByName, parts, none)
 

@@ -46,6 +46,11 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def clear_tables(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote to cut lineages; results that are still to be read need them."""
+    drop_path(spark, app_folder(spark))
+
+
 def fs_of(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as its class."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from candlewright.functions.time import floored
+from candlewright.operators.gaps import presence
 from candlewright.operators.series import BUCKET_BARS
 from candlewright.schema import CANDLES, KEY, MINUTE_MS, PRICES, SERIES, as_candles
 from candlewright.sources.files import create_once, drop_path, names_in, numbers_in, read_text
@@ -153,8 +154,8 @@ class CandleStore:
             if create_once(self.spark, f"{self.root}/current/{version + 1:012d}", json.dumps(entry, sort_keys=True)):
                 return
 
-    def _path(self, snap: str, series: str, at: str) -> str:
-        return f"{self.root}/snapshots/{snap}/series={_folder(json.loads(series))}/range={at}"
+    def _path(self, snap: str, series: str, at: str, of: str = "snapshots") -> str:
+        return f"{self.root}/{of}/{snap}/series={_folder(json.loads(series))}/range={at}"
 
     def _read(self, pieces: list[tuple[str, str, str]]) -> DataFrame:
         """The candles of (snapshot, series, range)."""
@@ -178,6 +179,13 @@ class CandleStore:
         state = self._state()[1]
         return self._read([(piece[0], s, at) for s, own in by.items() for at, piece in state.get(s, {}).items() if any(piece[3] >= a and piece[2] <= z for a, z in own)])
 
+    def presence(self, minutes: int | None = None) -> DataFrame:
+        """(series, range, part, bits): bitmaps of the candles that are there, kept with the watermarks; no candle is read."""
+        kind = "market string, category string, symbol string, timeframe_minutes int, at long, part int, bits binary"
+        pieces = [(piece[0], s, at) for s, ranges in self._state()[1].items() if minutes is None or json.loads(s)[3] == minutes for at, piece in ranges.items()]
+        paths = [self._path(*p, of="presence") for p in pieces]
+        return (self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)).withColumnRenamed("at", "range")
+
     def scan(self, where: Column | None = None, series: list[tuple] | None = None, start_ts: int | None = None, end_ts: int | None = None) -> DataFrame:
         """Candles of all series, or of those listed; a store or series that is not there has no rows.
 
@@ -240,6 +248,7 @@ class CandleStore:
                 return self._point(seen, changes, new)
             except Conflict:
                 drop_path(self.spark, f"{self.root}/snapshots/{snap}")
+                drop_path(self.spark, f"{self.root}/presence/{snap}")
         raise Conflict(f"other writers changed the same ranges {ATTEMPTS} times")
 
     def _written(self, rows: DataFrame) -> tuple[State, str]:
@@ -250,9 +259,15 @@ class CandleStore:
         placed.sortWithinPartitions("series", "range", "ts").write.partitionBy("series", "range").parquet(f"{self.root}/snapshots/{snap}")
         schema = StructType([*CANDLES.fields, StructField("series", StringType()), StructField("range", LongType())])
         made = self.spark.read.schema(schema).parquet(f"{self.root}/snapshots/{snap}")
+        _, part, bit = presence(made, RANGE_BARS)
+        parts = made.withColumn("file", F.col("_metadata.file_path")).groupBy(*SERIES, "series", "range", part).agg(
+            F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z"), F.collect_set("file").alias("files"), F.bitmap_construct_agg(bit).alias("bits"), F.first("range").alias("at")
+        )
+        parts.write.partitionBy("series", "range").parquet(f"{self.root}/presence/{snap}")
+        parts = self.spark.read.schema(parts.schema).parquet(f"{self.root}/presence/{snap}")
         changes: State = {}
-        files = F.count_distinct("_metadata.file_path")
-        for r in made.groupBy(*SERIES, "range").agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z"), files.alias("files")).collect():
+        files = F.size(F.array_distinct(F.flatten(F.collect_list("files"))))
+        for r in parts.groupBy(*SERIES, "range").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("z").alias("z"), files.alias("files")).collect():
             changes.setdefault(json.dumps(list(r)[:4]), {})[str(r["range"])] = [snap, r["n"], r["a"], r["z"], r["files"]]
         return changes, snap
 
@@ -317,6 +332,8 @@ class CandleStore:
                 done = max(done, v)
                 whole = v if "whole" in entry else whole
         gone = sum(bool(drop_path(self.spark, self._path(*piece))) for piece in replaced)
+        for piece in replaced:
+            drop_path(self.spark, self._path(*piece, of="presence"))
         if done > swept:
             create_once(self.spark, f"{self.root}/swept/{done:012d}", "")
             for v in numbers_in(self.spark, f"{self.root}/swept"):
@@ -332,6 +349,7 @@ class CandleStore:
             emptied = snap in named and snap not in used and not any(n for d, n in self._left(snap))
             if orphan or emptied:
                 drop_path(self.spark, f"{self.root}/snapshots/{snap}")
+                drop_path(self.spark, f"{self.root}/presence/{snap}")
         return gone
 
     def _left(self, snap: str) -> list[tuple[str, int]]:

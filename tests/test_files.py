@@ -45,3 +45,10 @@ def test_the_core_queries_survive_a_missing_module(missing):
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; q = e.queries(); assert 'candles_1h' in q and 'candles_1h' in e.oracle_sql(); print(len(q))"
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120, check=True)
     assert int(done.stdout) >= 50
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    df, path = files.written(spark.range(3), "kept")
+    assert df.count() == 3 and files.names_in(spark, path)
+    files.clear_tables(spark)
+    assert not files.names_in(spark, files.app_folder(spark))

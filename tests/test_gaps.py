@@ -1,4 +1,8 @@
+import random
+
+import pytest
 from helpers import DAY, HOUR, JAN_2024, candles
+from pyspark.sql import functions as F
 
 from candlewright.operators import gaps, intervals
 from candlewright.schema import SERIES
@@ -90,3 +94,19 @@ def test_as_of_takes_the_last_slot(spark):
     slots = hours(spark, [1, 7, 9]).select(*SERIES, "ts").withColumnRenamed("ts", "slot_start")
     got = [(None if r.slot_start is None else (r.slot_start - JAN_2024) // HOUR) for r in intervals.last_at_or_before(c, slots, bin_ms=4 * HOUR).orderBy("ts").collect()]
     assert got == [None, 1, 7, 7, 9]
+
+
+@pytest.mark.parametrize(("range_bars", "bits"), [(1 << 18, 32_768), (100, 32_768), (96, 32)])
+def test_bitmaps_miss_what_candles_miss(spark, monkeypatch, range_bars, bits):
+    rng = random.Random(range_bars)
+    have = sorted(rng.sample(range(-700, 700), 500)) + [900]
+    c = hours(spark, have).unionByName(hours(spark, [3, 4]).withColumn("symbol", F.lit("T"))).unionByName(hours(spark, [5]).withColumn("ts", F.col("ts") + 60_000))
+    rows = [("m", "c", k, JAN_2024 + a * HOUR, JAN_2024 + z * HOUR + 59_000) for k, a, z in (("S", -690, 650), ("T", 0, 9), ("U", 10, 12), ("S", 800, 1000), ("V", 5, 4))]
+    bounds = spark.createDataFrame(rows, "market string, category string, symbol string, start_ts long, end_ts long")
+    place = gaps.presence(c, range_bars)
+    if bits != gaps.BITS:  # as many bits as Spark's bitmaps have, of which a part counts
+        monkeypatch.setattr(gaps, "BITS", bits)
+        place = gaps.presence(c, range_bars)
+    made = c.select("*", *place).groupBy(*SERIES, "range", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    got = gaps.missing_from_bitmaps(bounds, made, 60, range_bars)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, gaps.missing_intervals(bounds, c, 60).select(got.columns).collect()))

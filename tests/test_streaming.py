@@ -94,6 +94,19 @@ def test_tensors_share_the_block(spark):
     assert torch.equal(made["block"][:, 0], made["close"]) and made["block"].dtype == torch.float64 and len(made["timestamp"]) == 12
 
 
+def test_tensors_are_views_of_the_entry(spark, monkeypatch):
+    import sys
+    import types
+
+    # Stands for torch where it is not installed: what it would get are the entry's own arrays.
+    monkeypatch.setitem(sys.modules, "torch", types.SimpleNamespace(from_numpy=lambda a: a))
+    f = indicators.with_features(candles(spark, [(JAN_2024 + i * HOUR, 0, 0, 0, float(i), 1) for i in range(12)], 60), (indicators.EmaFan((3,)),))
+    entry = export.entry(f, ("m", "c", "S", 60), ["close", "ema_3"])
+    made = export.tensors(entry)
+    assert made["names"] == ["close", "ema_3"] and np.shares_memory(made["block"], entry["feat"]) and np.shares_memory(made["ema_3"], entry["feat"])
+    assert list(made["close"]) == list(range(12)) and made["timestamp"].dtype == np.int64 and len(made["timestamp"]) == 12
+
+
 def test_until_complete():
     left = [5, 3, 1, 1]
     assert live.until_complete(lambda: left[0], lambda: left.pop(0)) == 1
