@@ -19,7 +19,7 @@ BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
 def arrow_limits(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches by bytes as well as rows, and give the package to the executors' Python.
 
-    One batch of very long texts must not fill a worker.
+    One batch of very long texts must not fill a worker. Both settings stay in the session: plans are made after this returns.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -31,11 +31,6 @@ def own_dir(spark: SparkSession) -> str:
     return app_folder(spark)
 
 
-def clear_tables(spark: SparkSession) -> None:
-    """Delete the tables that operators of this application wrote; results that are still to be read need them."""
-    drop_path(spark, own_dir(spark))
-
-
 def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it again: ends the lineage, survives lost executors."""
     return written(df, name)
